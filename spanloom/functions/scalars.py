@@ -2,10 +2,27 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def aware_utc(value: datetime) -> datetime:
+    """A naive value is taken as UTC, so that no machine's time zone is applied."""
+    return value.replace(tzinfo=UTC) if value.tzinfo is None else value.astimezone(UTC)
+
+
+def instant(value: datetime | Column) -> Column:
+    """A point in time as a column."""
+    return value if isinstance(value, Column) else F.lit(aware_utc(value))
+
+
+def utc_text(ts: Column) -> Column:
+    """A timestamp as ISO text in the session's zone (UTC), whole seconds."""
+    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")
+
+
 def whole_or_zero(text: Column, largest: int) -> Column:
     """Digits within range as a long, anything else 0.
 

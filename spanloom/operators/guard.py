@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.scalars import instant
 from spanloom.registry import Registry, registry_df, static_values
 
 
@@ -16,7 +17,7 @@ def top_k_values(spans: DataFrame, registry: Registry, as_of: datetime | Column)
 
     Ties are broken by value, so the result is the same on every run.
     """
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
+    now = instant(as_of)
     parts = []
     for d in registry.top_k:
         since = now - F.expr(f"INTERVAL {int(d.top_k_window_hours)} HOURS")
@@ -44,8 +45,7 @@ def build_allowlist(
     rows = static_values(spans.sparkSession, registry)
     if registry.top_k:
         rows = rows.unionByName(top_k_values(spans, registry, as_of).select("dimension", "value"))
-    now = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    return rows.withColumn("updated_at", now.cast("timestamp"))
+    return rows.withColumn("updated_at", instant(as_of))
 
 
 def guard_dimensions(spans: DataFrame, allowlist: DataFrame, registry: Registry) -> DataFrame:

@@ -8,7 +8,6 @@ spans only add another row.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ SUM_STATES = (
 QUANTILE_STATES = ("ttft", "duration")
 
 
-def _initial_states(k: int) -> list[Column]:
+def initial_states(k: int) -> list[Column]:
     def total(column: str, name: str) -> Column:
         return F.sum(F.col(column).cast("bigint")).alias(name)
 
@@ -82,7 +81,7 @@ def rollup_1m(
     marked = spans.withColumn("__failed", F.col("status_class") != "ok")
     guarded = guard_dimensions(marked, allowlist, registry)
     return guarded.groupBy(S.minute_of(F.col("ts")).alias(MINUTE), *registry.columns).agg(
-        *_initial_states(k)
+        *initial_states(k)
     )
 
 
@@ -182,13 +181,3 @@ def coverage_by_minute(spans: DataFrame, states: DataFrame) -> DataFrame:
         )
         .filter(F.col("raw_rows") != F.col("rollup_spans"))
     )
-
-
-def backfill_end(plan: DataFrame) -> datetime | None:
-    """Where a backfill window ends: the first minute the rollup already covers."""
-    row = plan.select("raw_min", "raw_max", "rollup_min").first()
-    if row is None or row["raw_min"] is None:
-        return None
-    if row["rollup_min"] is None:
-        return row["raw_max"]
-    return max(row["rollup_min"], row["raw_min"])
