@@ -97,14 +97,16 @@ def merge_states(states: DataFrame, keys: Sequence[str]) -> DataFrame:
     return states.groupBy(*keys).agg(*_merged_states())
 
 
-def finalize(states: DataFrame, by: Sequence[str | Column] = ()) -> DataFrame:
-    """Turn states into values per group.
+def finalize(
+    states: DataFrame, by: Sequence[str | Column] = (), extra: Sequence[Column] = ()
+) -> DataFrame:
+    """Turn states into values per group; ``extra`` adds aggregates of plain columns.
 
     Every figure a reader may want is declared; those not selected afterwards
     are pruned from the aggregate, sketches included.
     """
-    merged = states.groupBy(*by).agg(*_merged_states())
-    keys = merged.columns[: len(by)]
+    merged = states.groupBy(*by).agg(*extra, *_merged_states())
+    keys = merged.columns[: len(by) + len(extra)]
     zero = F.lit(0).cast("bigint")
 
     def count(c: str) -> Column:
