@@ -520,9 +520,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["e15_state_cascade"] = _minute(
         f"SELECT date_trunc('day', ts_minute) AS day, {_sum('spans')}, {_sum('input_tokens')}, "
-        f"{_sum('errors')}, {_r6('sum(kv_cache_sum) / sum(kv_cache_cnt)', 'kv_cache_avg')}, "
-        f"{_r6('max(kv_cache_max)', 'kv_cache_max')}, "
-        f"{_r6('sum(itl_sum) / sum(itl_cnt)', 'itl_avg')} FROM minute GROUP BY 1"
+        f"{_sum('errors')}, {_r6('max(kv_cache_max)', 'kv_cache_max')} FROM minute GROUP BY 1"
     )
     q["e21_nearest_rank"] = _runs(
         """SELECT h.run_id, h.phase, count(latency_ms) AS n,
@@ -727,7 +725,7 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT ts_minute AS time, {_sum('input_tokens')}, {_sum('output_tokens')} "
         "FROM minute GROUP BY 1"
     )
-    # Minutes with up to 4096 values are held without loss, and the reader returns
+    # Minutes with up to 2000 values are held without loss, and the reader returns
     # an observed value.
     sketched = ", ".join(
         f"round(quantile_disc(ttft_ms, {p}) FILTER (WHERE ttft_ms > 0), 6) AS {c}"

@@ -268,9 +268,7 @@ def _(t: Tables) -> DataFrame:
 @register("c01_message_split")
 def _(t: Tables) -> DataFrame:
     parsed = decode.parse_messages(t.messages)
-    return parsed.groupBy(F.col("doc").isNotNull().alias("readable")).agg(
-        F.count("*").alias("messages")
-    )
+    return parsed.groupBy("readable").agg(F.count("*").alias("messages"))
 
 
 @register("c02_closed_range")
@@ -475,7 +473,7 @@ def _(t: Tables) -> DataFrame:
     hours = t.hour.select(day, *[c for c in t.hour.columns if c != "ts_hour"])
     days = rollup.merge_states(hours, ["day", "operation"])
     return rollup.finalize(days, ["day"]).select(
-        "day", "spans", "input_tokens", "errors", "kv_cache_avg", "kv_cache_max", "itl_avg"
+        "day", "spans", "input_tokens", "errors", "kv_cache_max"
     )
 
 

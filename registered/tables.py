@@ -90,7 +90,7 @@ class Tables:
     @property
     def message_files(self) -> str:
         def write(path: str) -> None:
-            self.messages.repartition(4, "offset").write.json(path)
+            self.messages.repartition(8, "offset").write.json(path)
 
         return self._once("messages", write)
 
@@ -101,7 +101,7 @@ class Tables:
         def write(path: str) -> None:
             store = TableStore(self.spark, path)
             store.publish_allowlist(self.allowlist, self.registry)
-            stream = read_message_files(self.spark, self.message_files, max_files=2)
+            stream = read_message_files(self.spark, self.message_files, max_files=3)
             checkpoint = scratch_dir(self.spark, "ingest-checkpoint")
             start_ingest(
                 stream, store, self.registry, checkpoint, {"availableNow": True}

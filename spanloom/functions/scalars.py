@@ -26,15 +26,18 @@ def utc_text(ts: Column) -> Column:
 def whole_or_zero(text: Column, largest: int) -> Column:
     """Digits within range as a long, anything else 0.
 
-    A plain cast would trim blanks, so the digits are checked first.
+    A plain cast would trim blanks and take signs, so the digits are checked
+    first. Ten of them after leading zeros hold every accepted value.
     """
-    number = F.when(text.rlike("^[0-9]+$"), text.try_cast("bigint"))
-    return F.when(number.between(0, largest), number).otherwise(F.lit(0)).cast("bigint")
+    number = text.try_cast("bigint")
+    return F.when(text.rlike("^0*[0-9]{1,10}$") & (number <= largest), number).otherwise(
+        F.lit(0).cast("bigint")
+    )
 
 
 def float_or_zero(text: Column) -> Column:
-    """A 32-bit float, or 0 for text that is not a number."""
-    number = F.when(~text.rlike(r"^\s|\s$"), text.try_cast("float"))
+    """A 32-bit float, or 0 for text that is not a number or has blanks around it."""
+    number = F.when(F.length(text) == F.length(F.trim(text)), text.try_cast("float"))
     return F.coalesce(number, F.lit(0.0).cast("float"))
 
 
@@ -62,7 +65,7 @@ def kind_name(ordinal: Column, names: dict[int, str], default: str = "unspecifie
 
 
 def first_wins_map(entries: Column) -> Column:
-    """Array of ``struct(k, v)`` to a map, keeping the first of each key.
+    """Array of ``struct(k, v)`` entries to a map, keeping the first of each key.
 
     ``map_from_entries`` raises on repeated or null keys, which would end a
     stream, so both are removed before it.

@@ -1,9 +1,11 @@
 """Decode trace messages in OTLP JSON into typed span rows.
 
 Every step is total: a malformed span gives a row with empty fields and a
-malformed message goes to the dead letters, so no input can stop a stream. JSON
-is read as VARIANT; ``from_json`` with a schema would null a whole message over
-one element of the wrong type.
+malformed message goes to the dead letters, so no input can stop a stream.
+
+Messages that fit the wire schema, nearly all, are read by ``from_json``. It
+reports a message in which any element has another type, and would lose that
+element's neighbours; such messages are read again as VARIANT, field by field.
 """
 
 from __future__ import annotations
@@ -23,105 +25,201 @@ from spanloom.schema import (
 )
 
 
+_CORRUPT = "_corrupt"
+_VALUE = "struct<stringValue: string, intValue: string, doubleValue: string, boolValue: string>"
+_ATTRIBUTES = f"array<struct<key: string, value: {_VALUE}>>"
+_SPAN = (
+    "struct<traceId: string, spanId: string, parentSpanId: string, name: string, kind: int, "
+    f"startTimeUnixNano: string, endTimeUnixNano: string, attributes: {_ATTRIBUTES}>"
+)
+_RESOURCES = (
+    f"array<struct<resource: struct<attributes: {_ATTRIBUTES}>, "
+    f"scopeSpans: array<struct<spans: array<{_SPAN}>>>>>"
+)
+
+
 def _get(document: Column, path: str, kind: str) -> Column:
     return F.try_variant_get(document, path, kind)
 
 
-def _text(document: Column, path: str) -> Column:
-    return F.coalesce(_get(document, path, "string"), F.lit(""))
+def _fields(document: Column, names: tuple[str, ...], path: str = "$") -> list[Column]:
+    out = []
+    for name in names:
+        out += [F.lit(name), _get(document, f"{path}.{name}", "string")]
+    return out
+
+
+def _loose_attributes(document: Column, path: str) -> Column:
+    kinds = ("stringValue", "intValue", "doubleValue", "boolValue")
+    return F.transform(
+        _get(document, path, "array<variant>"),
+        lambda a: F.named_struct(
+            F.lit("key"),
+            _get(a, "$.key", "string"),
+            F.lit("value"),
+            F.named_struct(*_fields(a, kinds, "$.value")),
+        ),
+    )
+
+
+def _loose_span(span: Column) -> Column:
+    return F.named_struct(
+        *_fields(span, ("traceId", "spanId", "parentSpanId", "name")),
+        F.lit("kind"),
+        _get(span, "$.kind", "int"),
+        *_fields(span, ("startTimeUnixNano", "endTimeUnixNano")),
+        F.lit("attributes"),
+        _loose_attributes(span, "$.attributes"),
+    )
 
 
-def _entries(attributes: Column, value) -> Column:
+def _loose_resources(document: Column) -> Column:
+    """The wire schema out of a VARIANT; what has another type becomes null, alone."""
     return F.transform(
-        attributes,
-        lambda a: F.named_struct(F.lit("k"), _get(a, "$.key", "string"), F.lit("v"), value(a)),
+        _get(document, "$.resourceSpans", "array<variant>"),
+        lambda rs: F.named_struct(
+            F.lit("resource"),
+            F.named_struct(F.lit("attributes"), _loose_attributes(rs, "$.resource.attributes")),
+            F.lit("scopeSpans"),
+            F.transform(
+                _get(rs, "$.scopeSpans", "array<variant>"),
+                lambda ss: F.named_struct(
+                    F.lit("spans"),
+                    F.transform(_get(ss, "$.spans", "array<variant>"), _loose_span),
+                ),
+            ),
+        ),
+    )
+
+
+def parse_messages(messages: DataFrame) -> DataFrame:
+    """Add ``readable`` and ``resources``, the message in the wire schema.
+
+    A message is readable when its payload is a JSON object.
+    """
+    is_object = F.col("value").rlike(r"^\s*\{")
+    strict = F.from_json(
+        "value",
+        f"struct<resourceSpans: {_RESOURCES}, {_CORRUPT}: string>",
+        {"columnNameOfCorruptRecord": _CORRUPT},
+    )
+    fits = F.col("__strict").isNotNull() & F.col(f"__strict.{_CORRUPT}").isNull()
+    # Parsed a second time only where the first reading did not fit.
+    loose = F.when(~F.col("__fits"), F.try_parse_json("value"))
+    return (
+        messages.withColumn("__strict", F.when(is_object, strict))
+        .withColumn("__fits", fits)
+        .withColumn("__loose", F.when(is_object, loose))
+        .select(
+            *messages.columns,
+            (F.col("__fits") | F.col("__loose").isNotNull()).alias("readable"),
+            F.when(F.col("__fits"), F.col("__strict.resourceSpans"))
+            .otherwise(_loose_resources(F.col("__loose")))
+            .alias("resources"),
+        )
     )
 
 
 def _any_value(a: Column) -> Column:
+    value = a["value"]
     kinds = ("stringValue", "intValue", "doubleValue", "boolValue")
-    return F.coalesce(*[_get(a, f"$.value.{kind}", "string") for kind in kinds], F.lit(""))
+    return F.coalesce(*[value[k] for k in kinds], F.lit(""))
 
 
 def _resource_value(a: Column) -> Column:
-    return F.coalesce(_get(a, "$.value.stringValue", "string"), F.lit(""))
+    return F.coalesce(a["value"]["stringValue"], F.lit(""))
 
 
-def _as_map(entries: Column) -> Column:
-    """Entries to a map. Clean entries, nearly all of them, skip the pairwise check."""
-    keys = F.transform(entries, lambda e: e["k"])
-    clean = (F.size(F.array_distinct(keys)) == F.size(keys)) & ~F.exists(
-        keys, lambda k: k.isNull()
-    )
-    built = F.when(clean, F.map_from_entries(entries)).when(
-        entries.isNotNull(), S.first_wins_map(entries)
+def _as_map(keys: Column, values: Column) -> Column:
+    """Two arrays to a map. Distinct keys without null, nearly always, need no clean-up."""
+    clean = F.size(F.array_except(keys, F.array(F.lit(None).cast("string")))) == F.size(keys)
+    built = F.when(clean, F.map_from_arrays(keys, values)).when(
+        keys.isNotNull(), S.first_wins_map(F.arrays_zip(keys.alias("k"), values.alias("v")))
     )
     return F.coalesce(built, F.create_map().cast("map<string,string>"))
 
 
-def parse_messages(messages: DataFrame) -> DataFrame:
-    """Add ``doc``, the parsed message; null when the payload is not a JSON object."""
-    is_object = F.col("value").rlike(r"^\s*\{")
-    return messages.withColumn("doc", F.when(is_object, F.try_parse_json("value")))
+def _unnest(df: DataFrame, nested: str, name: str, *kept: Column) -> DataFrame:
+    """One row per array element.
+
+    The outer form keeps the optimizer from adding a size filter below it, which
+    would parse every message again.
+    """
+    return (
+        df.select(*kept, F.posexplode_outer(nested).alias("__at", name))
+        .filter(F.col("__at").isNotNull())
+        .drop("__at")
+    )
 
 
 def flatten_messages(messages: DataFrame) -> DataFrame:
-    """One row per span: the span document and the resource's attributes."""
-    resources = parse_messages(messages).select(
-        F.explode(_get(F.col("doc"), "$.resourceSpans", "array<variant>")).alias("rs")
-    )
-    scopes = resources.select(
-        _entries(
-            _get(F.col("rs"), "$.resource.attributes", "array<variant>"), _resource_value
-        ).alias("resource_entries"),
-        F.explode(_get(F.col("rs"), "$.scopeSpans", "array<variant>")).alias("ss"),
-    )
-    return scopes.select(
-        "resource_entries",
-        F.explode(_get(F.col("ss"), "$.spans", "array<variant>")).alias("span"),
+    """One row per span: the span and its resource's attributes."""
+    resources = _unnest(parse_messages(messages), "resources", "rs")
+    scopes = _unnest(
+        resources, "rs.scopeSpans", "ss", F.col("rs.resource.attributes").alias("resource")
     )
+    return _unnest(scopes, "ss.spans", "span", F.col("resource"))
 
 
 def decode_spans(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """All spans of all readable messages, in the schema of the raw table."""
-    span = F.col("span")
-    fields = flatten_messages(messages).select(
-        "resource_entries",
-        _entries(_get(span, "$.attributes", "array<variant>"), _any_value).alias("span_entries"),
-        S.nanos_or_zero(_text(span, "$.startTimeUnixNano")).alias("start_ns"),
-        S.nanos_or_zero(_text(span, "$.endTimeUnixNano")).alias("end_ns"),
-        _text(span, "$.traceId").alias("trace_id"),
-        _text(span, "$.spanId").alias("span_id"),
-        _text(span, "$.parentSpanId").alias("parent_span_id"),
-        _text(span, "$.name").alias("span_name"),
-        S.kind_name(_get(span, "$.kind", "int"), SPAN_KINDS).alias("span_kind"),
+    """All spans of all readable messages, in the schema of the raw table.
+
+    Each step below is its own projection: a value used by several expressions
+    of the next step is computed once.
+    """
+
+    def text(name: str) -> Column:
+        return F.coalesce(F.col(f"span.{name}"), F.lit(""))
+
+    listed = flatten_messages(messages).select(
+        text("startTimeUnixNano").alias("start_ns"),
+        text("endTimeUnixNano").alias("end_ns"),
+        text("traceId").alias("trace_id"),
+        text("spanId").alias("span_id"),
+        text("parentSpanId").alias("parent_span_id"),
+        text("name").alias("span_name"),
+        S.kind_name(F.col("span.kind"), SPAN_KINDS).alias("span_kind"),
+        F.col("span.attributes.key").alias("keys"),
+        F.transform("span.attributes", _any_value).alias("values"),
+        F.col("resource.key").alias("resource_keys"),
+        F.transform("resource", _resource_value).alias("resource_values"),
+    )
+    plain = ("trace_id", "span_id", "parent_span_id", "span_name", "span_kind")
+    mapped = listed.select(
+        *plain,
+        S.nanos_or_zero(F.col("start_ns")).alias("start_ns"),
+        S.nanos_or_zero(F.col("end_ns")).alias("end_ns"),
+        _as_map(F.col("keys"), F.col("values")).alias("attributes"),
+        _as_map(F.col("resource_keys"), F.col("resource_values")).alias("resource"),
     )
-    # The maps are built in a step of their own and looked up in the next one, so
-    # that each is evaluated once per span.
-    mapped = fields.select(
-        "*",
-        _as_map(F.col("span_entries")).alias("attributes"),
-        _as_map(F.col("resource_entries")).alias("resource"),
+    wanted = {
+        **STRING_ATTRIBUTES,
+        **{key: column for key, (column, _) in COUNT_ATTRIBUTES.items()},
+        **MEASURE_ATTRIBUTES,
+    }
+    named = mapped.select(
+        *plain,
+        "start_ns",
+        "end_ns",
+        "attributes",
+        S.text_of(F.col("resource"), SERVICE_ATTRIBUTE).alias("service_name"),
+        *[S.text_of(F.col("attributes"), key).alias(c) for key, c in wanted.items()],
     )
-    attributes = F.col("attributes")
-    columns = {
+    typed = {
         "ts": S.millis_timestamp(F.col("start_ns")),
         "duration_ms": F.coalesce(
             F.try_subtract(F.col("end_ns"), F.col("start_ns")) / 1_000_000.0, F.lit(0.0)
         ),
-        "service_name": S.text_of(F.col("resource"), SERVICE_ATTRIBUTE),
         "ingested_at": F.date_trunc(
             "second", F.current_timestamp() if ingested_at is None else ingested_at
         ),
     }
-    for key, column in STRING_ATTRIBUTES.items():
-        columns[column] = S.text_of(attributes, key)
-    for key, (column, largest) in COUNT_ATTRIBUTES.items():
-        columns[column] = S.whole_or_zero(S.text_of(attributes, key), largest)
-    for key, column in MEASURE_ATTRIBUTES.items():
-        columns[column] = S.float_or_zero(S.text_of(attributes, key))
-    return mapped.select(
-        *[columns.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SPANS]
+    for column, largest in COUNT_ATTRIBUTES.values():
+        typed[column] = S.whole_or_zero(F.col(column), largest)
+    for column in MEASURE_ATTRIBUTES.values():
+        typed[column] = S.float_or_zero(F.col(column))
+    return named.select(
+        *[typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SPANS]
     )
 
 
@@ -134,7 +232,7 @@ def dead_letters(messages: DataFrame, ingested_at: Column | None = None) -> Data
         .when(~value.rlike(r"^\s*\{"), "not a JSON object")
         .otherwise("malformed JSON")
     )
-    return parse_messages(messages).filter(F.col("doc").isNull()).select(
+    return parse_messages(messages).filter(~F.col("readable")).select(
         F.date_trunc(
             "second", F.current_timestamp() if ingested_at is None else ingested_at
         ).alias("ingested_at"),

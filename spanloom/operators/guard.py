@@ -51,27 +51,43 @@ def build_allowlist(
 def guard_dimensions(spans: DataFrame, allowlist: DataFrame, registry: Registry) -> DataFrame:
     """Rewrite every dimension: absent -> none, registered -> itself, anything else -> other.
 
-    The allowlist holds one row per (dimension, value) and at most
-    ``registry.max_allowlist_rows`` rows, so its joins are broadcast by size.
+    Both lookups are bounded by the budgets. The few values of the static
+    dimensions travel as one row of arrays; a top-k dimension, which may list
+    hundreds of values, is looked up by a hash join.
     """
-    out = spans
-    for d in registry.dimensions:
-        known = allowlist.filter(F.col("dimension") == d.name).select(
-            F.col("value").alias(f"__allowed_{d.column}")
-        )
-        allowed = F.col(f"__allowed_{d.column}")
-        raw = F.col(d.column)
-        out = (
-            out.join(known, raw == allowed, "left")
-            .withColumn(
-                d.column,
-                F.when(raw == "", registry.none_bucket)
-                .when(allowed.isNotNull(), raw)
-                .otherwise(registry.other_bucket),
+    named = F.col("dimension")
+    static, top_k = registry.static, registry.top_k
+    out, registered = spans, {}
+    if static:
+        lists = (
+            allowlist.filter(named.isin(*[d.name for d in static]))
+            .groupBy()
+            .agg(
+                *[
+                    F.collect_set(F.when(named == d.name, F.col("value"))).alias(f"__in_{d.column}")
+                    for d in static
+                ]
             )
-            .drop(f"__allowed_{d.column}")
         )
-    return out
+        # One row.
+        out = out.crossJoin(F.broadcast(lists))
+        for d in static:
+            registered[d.column] = F.array_contains(f"__in_{d.column}", F.col(d.column))
+    for d in top_k:
+        known = allowlist.filter(named == d.name).select(F.col("value").alias(f"__in_{d.column}"))
+        out = out.join(known, F.col(d.column) == F.col(f"__in_{d.column}"), "left")
+        registered[d.column] = F.col(f"__in_{d.column}").isNotNull()
+    return out.select(
+        *[
+            F.when(F.col(c) == "", registry.none_bucket)
+            .when(registered[c], F.col(c))
+            .otherwise(registry.other_bucket)
+            .alias(c)
+            if c in registered
+            else F.col(c)
+            for c in spans.columns
+        ]
+    )
 
 
 def _long_form(df: DataFrame, registry: Registry, *carry: Column) -> DataFrame:

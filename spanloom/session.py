@@ -14,9 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Sketch states are object aggregates. The default of 128 groups makes the
-    # map side sort nearly every rollup batch; small states are cheap to hold.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    # Groups with sketches a task holds before it sorts instead. A pair of empty
+    # quantile sketches takes 32 KB, which no memory manager accounts for.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "512",
 }
 
 

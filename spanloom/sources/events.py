@@ -7,8 +7,6 @@ every value can be recomputed in another engine.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,83 +20,68 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def _pick(key: Column, options: list[str]) -> Column:
-    first = F.when(key == 0, options[0])
-    return reduce(lambda acc, i: acc.when(key == i, options[i]), range(1, len(options)), first)
+def _pick(key: str, options: list[str] | tuple[str, ...]) -> str:
+    arms = " ".join(f"WHEN {i} THEN '{option}'" for i, option in enumerate(options))
+    return f"CASE {key} {arms} END"
 
 
 def spans_from_events(events: DataFrame, registry: Registry | None = None) -> DataFrame:
     """One span per event. Measures stay doubles so that sums can be compared exactly."""
-    models = list((registry or default_registry())["model"].values)
-    n = F.col("event_id")
-    user = F.col("user_id")
-    kind = F.col("event_type")
-    k = F.get_json_object("props", "$.k").cast("int")
-    quarter = F.call_function("div", n, F.lit(4).cast("bigint"))
-    is_tool = kind == "signup"
-    is_agent = kind == "purchase"
-    is_embedding = kind == "click"
-    is_call = ~(is_tool | is_agent)
-    failed = kind == "error"
-    none = F.lit("")
-    zero = F.lit(0.0)
-
-    operation = (
-        F.when(is_tool, "execute_tool")
-        .when(is_agent, "invoke_agent")
-        .when(is_embedding, "embeddings")
-        .otherwise("chat")
+    models = (registry or default_registry())["model"].values
+    # Read once per row and used by many columns below.
+    base = events.selectExpr(
+        "event_id",
+        "user_id",
+        "value",
+        "date_trunc('millisecond', ts) AS ts",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "event_type = 'signup' AS is_tool",
+        "event_type NOT IN ('signup', 'purchase') AS is_call",
+        "event_type = 'error' AS failed",
+        "CASE event_type WHEN 'signup' THEN 'execute_tool' WHEN 'purchase' THEN 'invoke_agent' "
+        "WHEN 'click' THEN 'embeddings' ELSE 'chat' END AS operation",
+        "CASE WHEN event_type = 'signup' THEN '' WHEN event_id % 97 = 0 THEN 'shadow-deploy-v9' "
+        f"ELSE {_pick('event_id % 5', models)} END AS model",
     )
-    model = (
-        F.when(is_tool, none)
-        .when(n % 97 == 0, "shadow-deploy-v9")
-        .otherwise(_pick(n % 5, models))
+    return base.selectExpr(
+        "ts",
+        "concat('t', event_id div 4) AS trace_id",
+        "concat('s', event_id) AS span_id",
+        "CASE WHEN event_id % 4 = 0 THEN '' ELSE concat('s', event_id - event_id % 4) END "
+        "AS parent_span_id",
+        "trim(concat(operation, ' ', model)) AS span_name",
+        "CASE operation WHEN 'invoke_agent' THEN 'server' WHEN 'execute_tool' THEN 'internal' "
+        "ELSE 'client' END AS span_kind",
+        "value * 10 + 1 AS duration_ms",
+        # Four digits at least; longer numbers stay whole.
+        "concat('tenant-', lpad(user_id, greatest(4, length(user_id)), '0')) AS tenant_id",
+        "CASE WHEN is_tool THEN '' WHEN user_id < 8 THEN 'enterprise' WHEN user_id < 38 "
+        "THEN 'pro' ELSE 'free' END AS tenant_tier",
+        "model",
+        "operation",
+        "CASE operation WHEN 'execute_tool' THEN '' WHEN 'invoke_agent' THEN '/v1/agents/invoke' "
+        "WHEN 'embeddings' THEN '/v1/embeddings' ELSE '/v1/chat/completions' END AS route",
+        "CASE WHEN is_tool THEN '' WHEN event_id % 211 = 0 THEN 'antarctica-1' ELSE "
+        f"{_pick('user_id % 3', ['us-east-1', 'us-west-2', 'eu-central-1'])} END AS region",
+        "CASE WHEN failed THEN "
+        f"{_pick('event_id % 3', ['server_error', 'timeout', 'client_error'])} "
+        "ELSE 'ok' END AS status_class",
+        "CASE WHEN is_tool THEN 'tool-runner' ELSE 'inference-gateway' END AS service_name",
+        "CAST(IF(is_call, k * 10, 0) AS BIGINT) AS input_tokens",
+        "CAST(IF(operation = 'chat', k * 4, 0) AS BIGINT) AS output_tokens",
+        "CAST(IF(is_call, k * 3, 0) AS BIGINT) AS cached_prompt_tokens",
+        "IF(is_call, CAST(k AS DOUBLE) / 100D, 0D) AS kv_cache_utilization",
+        "IF(is_call, value, 0D) AS ttft_ms",
+        "IF(is_call, value / 20, 0D) AS itl_ms",
+        "IF(is_call AND k > 80, value, 0D) AS queue_time_ms",
+        "IF(is_call, 1 + k % 48, 0) AS batch_size",
+        "concat('r', event_id) AS request_id",
+        "CASE WHEN failed THEN "
+        f"{_pick('event_id % 3', ['engine_overloaded', 'deadline_exceeded', 'invalid_request'])} "
+        "ELSE '' END AS error_type",
+        "timestamp_micros(unix_micros(ts) + CAST(round((value * 10 + 1) * 1000) AS BIGINT) "
+        "+ (event_id % 10) * 1000000) AS ingested_at",
     )
-    arrives = F.round((F.col("value") * 10 + 1) * 1000).cast("bigint") + (n % 10) * 1_000_000
-    ts = F.date_trunc("millisecond", "ts")
-    columns = {
-        "ts": ts,
-        "trace_id": F.concat(F.lit("t"), quarter.cast("string")),
-        "span_id": F.concat(F.lit("s"), n.cast("string")),
-        "parent_span_id": F.when(n % 4 == 0, none).otherwise(
-            F.concat(F.lit("s"), (n - n % 4).cast("string"))
-        ),
-        "span_name": F.trim(F.concat_ws(" ", operation, model)),
-        "span_kind": F.when(is_agent, "server").when(is_tool, "internal").otherwise("client"),
-        "duration_ms": F.col("value") * 10 + 1,
-        "tenant_id": F.format_string("tenant-%04d", user),
-        "tenant_tier": F.when(is_tool, none)
-        .when(user < 8, "enterprise")
-        .when(user < 38, "pro")
-        .otherwise("free"),
-        "model": model,
-        "operation": operation,
-        "route": F.when(is_tool, none)
-        .when(is_agent, "/v1/agents/invoke")
-        .when(is_embedding, "/v1/embeddings")
-        .otherwise("/v1/chat/completions"),
-        "region": F.when(is_tool, none)
-        .when(n % 211 == 0, "antarctica-1")
-        .otherwise(_pick(user % 3, ["us-east-1", "us-west-2", "eu-central-1"])),
-        "status_class": F.when(
-            failed, _pick(n % 3, ["server_error", "timeout", "client_error"])
-        ).otherwise("ok"),
-        "service_name": F.when(is_tool, "tool-runner").otherwise("inference-gateway"),
-        "input_tokens": F.when(is_call, k * 10).otherwise(0).cast("bigint"),
-        "output_tokens": F.when(is_call & ~is_embedding, k * 4).otherwise(0).cast("bigint"),
-        "cached_prompt_tokens": F.when(is_call, k * 3).otherwise(0).cast("bigint"),
-        "kv_cache_utilization": F.when(is_call, k / 100.0).otherwise(zero),
-        "ttft_ms": F.when(is_call, F.col("value")).otherwise(zero),
-        "itl_ms": F.when(is_call, F.col("value") / 20).otherwise(zero),
-        "queue_time_ms": F.when(is_call & (k > 80), F.col("value")).otherwise(zero),
-        "batch_size": F.when(is_call, 1 + k % 48).otherwise(0).cast("int"),
-        "request_id": F.concat(F.lit("r"), n.cast("string")),
-        "error_type": F.when(
-            failed, _pick(n % 3, ["engine_overloaded", "deadline_exceeded", "invalid_request"])
-        ).otherwise(none),
-        "ingested_at": F.timestamp_micros(F.unix_micros(ts) + arrives),
-    }
-    return events.select(*[c.alias(name) for name, c in columns.items()])
 
 
 def spans_with_redelivery(events: DataFrame, registry: Registry | None = None) -> DataFrame:

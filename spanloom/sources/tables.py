@@ -92,6 +92,8 @@ class TableStore:
             .partitionBy("dt", "write_id")
         )
         if table == "spans_raw":
+            # Sized by the ids a row group really has.
+            writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
             for column in ("trace_id", "request_id"):
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(self.path(table))
