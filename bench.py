@@ -85,7 +85,7 @@ def main() -> None:
     messages = load_messages(spark, tables.message_files)
     tables.spans.agg(F.count("*")).collect()
 
-    best("job_decode", lambda: decode.decode_spans(messages, F.lit(LAST)))
+    best("job_decode", lambda: decode.decode_spans(messages, LAST))
     store = TableStore(spark, f"{root}/hot")
     once("job_allowlist", lambda: store.publish_allowlist(tables.allowlist, tables.registry))
     once("job_ingest_batch", lambda: ingest_batch(messages, 0, store, tables.registry))

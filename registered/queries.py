@@ -191,7 +191,7 @@ def _(t: Tables) -> DataFrame:
 
 
 def _decoded(t: Tables) -> DataFrame:
-    return decode.decode_spans(load_messages(t.spark, t.message_files), F.lit(LAST))
+    return decode.decode_spans(load_messages(t.spark, t.message_files), LAST)
 
 
 @register("b01_flatten")
@@ -651,7 +651,7 @@ def _run_stream(t: Tables, stream: DataFrame, name: str, mode: str = "append") -
 @register("j04_windowed_states")
 def _(t: Tables) -> DataFrame:
     """Minutes closed by a watermark of a day; the last day is still open."""
-    spans = decode.decode_spans(read_message_files(t.spark, t.message_files), F.lit(LAST))
+    spans = decode.decode_spans(read_message_files(t.spark, t.message_files), LAST)
     states = windowed_states(spans, t.store.read_allowlist(), t.registry, "1 day")
     closed = _run_stream(t, states, "windowed")
     return rollup.finalize(closed, [F.to_date("ts_minute").alias("day")]).select(
@@ -817,7 +817,7 @@ _STATES: dict[str, Callable[[Tables], DataFrame]] = {
     "q40_landed_summary": lambda t: readback.landed(
         t.spans,
         t.minute,
-        decode.dead_letters(t.messages, F.lit(LAST)),
+        decode.dead_letters(t.messages, LAST),
         L.lake_scan(t.spark, t.lake),
     ),
     "q41_latency_by_model": lambda t: readback.latency_by_model(t.spans),

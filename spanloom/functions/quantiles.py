@@ -4,8 +4,8 @@
 window over a group sorts it in one task. Here equal values are first counted
 together, a histogram over order-preserving buckets finds the bucket that holds
 each wanted rank, and only the values of those buckets are ranked. A bucket is
-1/16384 of an octave wide, so it holds at most 512 different 32-bit floats, the
-type of every measure in the span schema.
+1/16384 of an octave wide, so it holds fewer than 720 different 32-bit floats,
+the type of every measure in the span schema.
 """
 
 from __future__ import annotations
@@ -49,7 +49,8 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles of ``value`` per group, one column per entry of ``quantiles``.
 
-    Nulls are ignored; a group without values is absent from the result. Methods:
+    Nulls are ignored; a group without values is absent from the result, and the
+    ungrouped result of no values is one row of nulls. Methods:
     ``cont`` interpolates, ``disc`` takes the first value whose cumulative share
     reaches p, ``nearest`` takes position ``int(n * p)``.
     """
@@ -88,12 +89,17 @@ def exact_quantiles(
     targets = (
         spread.withColumn("__w", held)
         .filter(F.size("__w") > 0)
-        .select(*keys, "__b", "__lo", "__n", "__w")
+        .select(
+            *[F.col(k).alias(f"__t{k}") for k in [*keys, "__b"]], "__lo", "__n", "__w"
+        )
     )
+    # Null is a group of its own, as in any aggregate.
+    same = [F.col(k).eqNullSafe(F.col(f"__t{k}")) for k in keys]
+    same.append(F.col("__b") == F.col("__t__b"))
     inside = Window.partitionBy(*keys, "__b").orderBy("__v")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        counted.join(targets, [*keys, "__b"])
+        counted.join(targets, same)
         .withColumn("__end", F.col("__lo") + F.sum("__c").over(inside))
         .withColumn(
             "__w",

@@ -10,6 +10,8 @@ element's neighbours; such messages are read again as VARIANT, field by field.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -161,7 +163,7 @@ def flatten_messages(messages: DataFrame) -> DataFrame:
     return _unnest(scopes, "ss.spans", "span", F.col("resource"))
 
 
-def decode_spans(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def decode_spans(messages: DataFrame, ingested_at: datetime | Column | None = None) -> DataFrame:
     """All spans of all readable messages, in the schema of the raw table.
 
     Each step below is its own projection: a value used by several expressions
@@ -211,7 +213,7 @@ def decode_spans(messages: DataFrame, ingested_at: Column | None = None) -> Data
             F.try_subtract(F.col("end_ns"), F.col("start_ns")) / 1_000_000.0, F.lit(0.0)
         ),
         "ingested_at": F.date_trunc(
-            "second", F.current_timestamp() if ingested_at is None else ingested_at
+            "second", F.current_timestamp() if ingested_at is None else S.instant(ingested_at)
         ),
     }
     for column, largest in COUNT_ATTRIBUTES.values():
@@ -223,7 +225,7 @@ def decode_spans(messages: DataFrame, ingested_at: Column | None = None) -> Data
     )
 
 
-def dead_letters(messages: DataFrame, ingested_at: Column | None = None) -> DataFrame:
+def dead_letters(messages: DataFrame, ingested_at: datetime | Column | None = None) -> DataFrame:
     """Messages that hold no JSON object, with their origin and the start of the payload."""
     value = F.col("value")
     reason = (
@@ -234,7 +236,7 @@ def dead_letters(messages: DataFrame, ingested_at: Column | None = None) -> Data
     )
     return parse_messages(messages).filter(~F.col("readable")).select(
         F.date_trunc(
-            "second", F.current_timestamp() if ingested_at is None else ingested_at
+            "second", F.current_timestamp() if ingested_at is None else S.instant(ingested_at)
         ).alias("ingested_at"),
         "topic",
         "partition",

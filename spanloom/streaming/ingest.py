@@ -27,7 +27,7 @@ def ingest_batch(
 ) -> None:
     """Process one block of messages; running it again with the same id changes nothing."""
     write_id = f"batch-{batch_id:012d}"
-    arrived = F.lit(datetime.now(UTC))
+    arrived = datetime.now(UTC)
     # Read for the raw table and again for the rollup. Lost blocks are decoded
     # again from the source.
     spans = decode_spans(messages, arrived).persist(StorageLevel.MEMORY_AND_DISK)
