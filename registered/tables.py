@@ -7,6 +7,7 @@ data folder, into the shared scratch folder, and reused by the queries after it.
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,31 +44,31 @@ class Tables:
         self.registry = registry()
         self.events = E.read_events(spark, sf_dir)
 
-    @property
+    @cached_property
     def spans(self) -> DataFrame:
         return E.spans_from_events(self.events, self.registry)
 
-    @property
+    @cached_property
     def redelivered(self) -> DataFrame:
         return E.spans_with_redelivery(self.events, self.registry)
 
-    @property
+    @cached_property
     def allowlist(self) -> DataFrame:
         return build_allowlist(self.spans, self.registry, LAST)
 
-    @property
+    @cached_property
     def minute(self) -> DataFrame:
         return rollup_1m(self.spans, self.allowlist, self.registry)
 
-    @property
+    @cached_property
     def hour(self) -> DataFrame:
         return rollup_1h(self.minute)
 
-    @property
+    @cached_property
     def health(self) -> DataFrame:
         return E.health_from_events(self.events)
 
-    @property
+    @cached_property
     def messages(self) -> DataFrame:
         """One message per trace; every thirteenth is cut short and unreadable."""
         messages = E.messages_from_spans(self.spans)

@@ -141,39 +141,69 @@ def _as_map(keys: Column, values: Column) -> Column:
     return F.coalesce(built, F.create_map().cast("map<string,string>"))
 
 
-def _unnest(df: DataFrame, nested: str, name: str, *kept: Column) -> DataFrame:
-    """One row per array element.
+def _unnest(df: DataFrame, nested: str, name: str, *kept: Column | str) -> DataFrame:
+    """One row per array element, and one for each dead letter where those are carried along.
 
     The outer form keeps the optimizer from adding a size filter below it, which
     would parse every message again.
     """
+    dead = ["dead"] if "dead" in df.columns else []
+    keep = F.col("__at").isNotNull()
+    if dead:
+        keep = keep | F.col("dead").isNotNull()
     return (
-        df.select(*kept, F.posexplode_outer(nested).alias("__at", name))
-        .filter(F.col("__at").isNotNull())
+        df.select(*dead, *kept, F.posexplode_outer(nested).alias("__at", name))
+        .filter(keep)
         .drop("__at")
     )
 
 
-def flatten_messages(messages: DataFrame) -> DataFrame:
-    """One row per span: the span and its resource's attributes."""
-    resources = _unnest(parse_messages(messages), "resources", "rs")
+def _arrival(ingested_at: datetime | Column | None) -> Column:
+    now = F.current_timestamp() if ingested_at is None else S.instant(ingested_at)
+    return F.date_trunc("second", now)
+
+
+def _dead(ingested_at: datetime | Column | None) -> Column:
+    """The dead letter of an unreadable message: its origin and the start of the payload."""
+    value = F.col("value")
+    reason = (
+        F.when(value.isNull(), "no payload")
+        .when(F.trim(value) == "", "empty payload")
+        .when(~value.rlike(r"^\s*\{"), "not a JSON object")
+        .otherwise("malformed JSON")
+    )
+    return F.struct(
+        _arrival(ingested_at).alias("ingested_at"),
+        "topic",
+        "partition",
+        "offset",
+        reason.alias("error"),
+        F.coalesce(F.substring(value, 1, MAX_DEAD_LETTER_CHARS), F.lit("")).alias("raw_message"),
+    )
+
+
+def flatten_messages(parsed: DataFrame) -> DataFrame:
+    """One row per span of parsed messages, with its resource's attributes."""
+    resources = _unnest(parsed, "resources", "rs")
     scopes = _unnest(
         resources, "rs.scopeSpans", "ss", F.col("rs.resource.attributes").alias("resource")
     )
-    return _unnest(scopes, "ss.spans", "span", F.col("resource"))
+    return _unnest(scopes, "ss.spans", "span", "resource")
 
 
-def decode_spans(messages: DataFrame, ingested_at: datetime | Column | None = None) -> DataFrame:
-    """All spans of all readable messages, in the schema of the raw table.
+def _decode(parsed: DataFrame, ingested_at: datetime | Column | None) -> DataFrame:
+    """Parsed messages to typed spans.
 
     Each step below is its own projection: a value used by several expressions
     of the next step is computed once.
     """
+    dead = ["dead"] if "dead" in parsed.columns else []
 
     def text(name: str) -> Column:
         return F.coalesce(F.col(f"span.{name}"), F.lit(""))
 
-    listed = flatten_messages(messages).select(
+    listed = flatten_messages(parsed).select(
+        *dead,
         text("startTimeUnixNano").alias("start_ns"),
         text("endTimeUnixNano").alias("end_ns"),
         text("traceId").alias("trace_id"),
@@ -186,7 +216,7 @@ def decode_spans(messages: DataFrame, ingested_at: datetime | Column | None = No
         F.col("resource.key").alias("resource_keys"),
         F.transform("resource", _resource_value).alias("resource_values"),
     )
-    plain = ("trace_id", "span_id", "parent_span_id", "span_name", "span_kind")
+    plain = (*dead, "trace_id", "span_id", "parent_span_id", "span_name", "span_kind")
     mapped = listed.select(
         *plain,
         S.nanos_or_zero(F.col("start_ns")).alias("start_ns"),
@@ -212,35 +242,49 @@ def decode_spans(messages: DataFrame, ingested_at: datetime | Column | None = No
         "duration_ms": F.coalesce(
             F.try_subtract(F.col("end_ns"), F.col("start_ns")) / 1_000_000.0, F.lit(0.0)
         ),
-        "ingested_at": F.date_trunc(
-            "second", F.current_timestamp() if ingested_at is None else S.instant(ingested_at)
-        ),
+        "ingested_at": _arrival(ingested_at),
     }
     for column, largest in COUNT_ATTRIBUTES.values():
         typed[column] = S.whole_or_zero(F.col(column), largest)
     for column in MEASURE_ATTRIBUTES.values():
         typed[column] = S.float_or_zero(F.col(column))
     return named.select(
-        *[typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SPANS]
+        *[typed.get(f.name, F.col(f.name)).cast(f.dataType).alias(f.name) for f in SPANS], *dead
     )
 
 
-def dead_letters(messages: DataFrame, ingested_at: datetime | Column | None = None) -> DataFrame:
-    """Messages that hold no JSON object, with their origin and the start of the payload."""
-    value = F.col("value")
-    reason = (
-        F.when(value.isNull(), "no payload")
-        .when(F.trim(value) == "", "empty payload")
-        .when(~value.rlike(r"^\s*\{"), "not a JSON object")
-        .otherwise("malformed JSON")
-    )
-    return parse_messages(messages).filter(~F.col("readable")).select(
-        F.date_trunc(
-            "second", F.current_timestamp() if ingested_at is None else S.instant(ingested_at)
-        ).alias("ingested_at"),
-        "topic",
-        "partition",
-        "offset",
-        reason.alias("error"),
-        F.coalesce(F.substring(value, 1, MAX_DEAD_LETTER_CHARS), F.lit("")).alias("raw_message"),
+def decode_messages(
+    messages: DataFrame, ingested_at: datetime | Column | None = None
+) -> DataFrame:
+    """Spans and dead letters in one pass: the span columns, and ``dead``, null for a span.
+
+    Meant to be persisted before it is taken apart: a filter on ``dead`` would
+    otherwise be pushed below the parser and parse once more.
+    """
+    parsed = parse_messages(messages).select(
+        F.when(~F.col("readable"), _dead(ingested_at)).alias("dead"), "resources"
     )
+    return _decode(parsed, ingested_at)
+
+
+def spans_of(decoded: DataFrame) -> DataFrame:
+    return decoded.filter(F.col("dead").isNull()).drop("dead")
+
+
+def dead_letters_of(decoded: DataFrame) -> DataFrame:
+    return decoded.filter(F.col("dead").isNotNull()).select("dead.*")
+
+
+def decode_spans(
+    messages: DataFrame, ingested_at: datetime | Column | None = None
+) -> DataFrame:
+    """All spans of all readable messages, in the schema of the raw table."""
+    return _decode(parse_messages(messages).select("resources"), ingested_at)
+
+
+def dead_letters(
+    messages: DataFrame, ingested_at: datetime | Column | None = None
+) -> DataFrame:
+    """Messages that hold no JSON object."""
+    unreadable = parse_messages(messages).filter(~F.col("readable"))
+    return unreadable.select(_dead(ingested_at).alias("dead")).select("dead.*")

@@ -56,3 +56,13 @@ def has_data(spark: SparkSession, path: str) -> bool:
         if name.endswith(".parquet") and not name.startswith(("_", ".")):
             return True
     return False
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file, replacing one of that name."""
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.functions import sketches as K
-from spanloom.operators.decode import dead_letters, decode_spans
+from spanloom.operators.decode import dead_letters_of, decode_messages, spans_of
 from spanloom.operators.guard import guard_dimensions
 from spanloom.operators.rollup import MINUTE, initial_states, rollup_1h, rollup_1m
 from spanloom.registry import Registry
@@ -28,12 +28,12 @@ def ingest_batch(
     """Process one block of messages; running it again with the same id changes nothing."""
     write_id = f"batch-{batch_id:012d}"
     arrived = datetime.now(UTC)
-    # Read for the raw table and again for the rollup. Lost blocks are decoded
-    # again from the source.
-    spans = decode_spans(messages, arrived).persist(StorageLevel.MEMORY_AND_DISK)
+    # Read for each of the tables. Lost blocks are decoded again from the source.
+    decoded = decode_messages(messages, arrived).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        spans = spans_of(decoded)
         store.write(spans, "spans_raw", write_id)
-        store.write(dead_letters(messages, arrived), "dead_letters", write_id)
+        store.write(dead_letters_of(decoded), "dead_letters", write_id)
         # The newest allowlist snapshot, read again for every batch.
         minute = rollup_1m(spans, store.read_allowlist(), registry).persist(
             StorageLevel.MEMORY_AND_DISK
@@ -44,7 +44,7 @@ def ingest_batch(
         finally:
             minute.unpersist()
     finally:
-        spans.unpersist()
+        decoded.unpersist()
 
 
 def start_ingest(

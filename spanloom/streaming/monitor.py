@@ -2,36 +2,34 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQueryListener
 
 from spanloom.operators.health import consumer_lag
+from spanloom.sources import files
 from spanloom.sources.metrics import progress_offsets
 
 
 class ProgressLog(StreamingQueryListener):
-    """Appends every progress event to a JSON-lines file on the driver.
+    """Keeps the progress events of all streams as small files in a shared folder.
 
-    A bounded number of events is kept per file; ``lag_samples`` reads them all.
+    One file per event and query, so one per trigger; the names of older events
+    come around again after ``kept`` batches.
     """
 
-    def __init__(self, folder: str, events_per_file: int = 10_000) -> None:
-        self.folder = folder
-        self.events_per_file = events_per_file
-        self.count = 0
-        os.makedirs(folder, exist_ok=True)
+    def __init__(self, spark: SparkSession, folder: str, kept: int = 50_000) -> None:
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self.kept = kept
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
-        part = self.count // self.events_per_file
-        self.count += 1
-        line = " ".join(event.progress.json.splitlines())
-        with open(f"{self.folder}/progress-{part:06d}.json", "a", encoding="utf-8") as out:
-            out.write(line + "\n")
+        progress = event.progress
+        name = f"{progress.id}-{progress.batchId % self.kept:08d}.json"
+        line = " ".join(progress.json.splitlines())
+        files.write_text(self.spark, f"{self.folder}/{name}", line + "\n")
 
     def onQueryIdle(self, event) -> None:  # noqa: N802
         pass

@@ -189,13 +189,14 @@ def test_allowlist_versions(spark, tables, folder):
 def test_progress_events_become_lag(spark, folder):
     class Event:
         class progress:  # noqa: N801
+            id, batchId = "q", 3  # noqa: N815
             json = (
                 '{"timestamp": "2024-01-01T00:00:00.000Z", "batchId": 3, "numInputRows": 5,\n'
                 ' "sources": [{"endOffset": {"otel.spans": {"0": 10, "1": 4}},'
                 ' "latestOffset": {"otel.spans": {"0": 25, "1": 4, "2": 7}}}]}'
             )
 
-    log = ProgressLog(folder + "/progress", events_per_file=1)
+    log = ProgressLog(spark, folder + "/progress")
     log.onQueryProgress(Event)
     (row,) = lag_samples(spark, folder + "/progress").collect()
     assert (row["total_lag"], row["max_partition_lag"], row["partitions"]) == (22, 15, 3)
