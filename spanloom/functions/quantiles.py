@@ -49,7 +49,7 @@ def exact_quantiles(
 ) -> DataFrame:
     """Quantiles of ``value`` per group, one column per entry of ``quantiles``.
 
-    Nulls are ignored; a group without values is absent from the result, and the
+    Nulls and NaN are ignored; a group without values is absent from the result, and the
     ungrouped result of no values is one row of nulls. Methods:
     ``cont`` interpolates, ``disc`` takes the first value whose cumulative share
     reaches p, ``nearest`` takes position ``int(n * p)``.
@@ -59,7 +59,7 @@ def exact_quantiles(
     source = df.select(*[F.col(c).alias(k) for c, k in zip(names, keys)], value.alias("__v"))
     # Adding 0.0 turns -0.0 into 0.0, which sorts the same as it does elsewhere.
     counted = (
-        source.filter(F.col("__v").isNotNull())
+        source.filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
         .select(*keys, (F.col("__v").cast("double") + F.lit(0.0)).alias("__v"))
         .groupBy(*keys, "__v")
         .agg(F.count("*").alias("__c"))

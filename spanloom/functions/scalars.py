@@ -36,9 +36,16 @@ def whole_or_zero(text: Column, largest: int) -> Column:
 
 
 def float_or_zero(text: Column) -> Column:
-    """A 32-bit float, or 0 for text that is not a number or has blanks around it."""
-    number = F.when(F.length(text) == F.length(F.trim(text)), text.try_cast("float"))
-    return F.coalesce(number, F.lit(0.0).cast("float"))
+    """A finite 32-bit float; 0 for anything else, for NaN and for blanks around a number.
+
+    NaN counts as above every number in Spark, so letting it through would make
+    it look measured and turn every sum it enters into NaN.
+    """
+    number = text.try_cast("float")
+    finite = number.between(F.lit(-3.4028235e38), F.lit(3.4028235e38))
+    return F.when(finite & (F.length(text) == F.length(F.trim(text))), number).otherwise(
+        F.lit(0.0).cast("float")
+    )
 
 
 def nanos_or_zero(text: Column) -> Column:

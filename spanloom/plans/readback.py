@@ -14,8 +14,11 @@ def landed(
     spans: DataFrame, states: DataFrame, dead: DataFrame, lake: DataFrame
 ) -> DataFrame:
     """One row: raw figures, rollup size and reduction, dead letters, lake duplication."""
-    raw = spans.agg(
-        F.count("*").alias("spans"),
+    # The distinct counts copy their input once each, so rows are counted per
+    # tenant and trace first.
+    per_trace = spans.groupBy("tenant_id", "trace_id").agg(F.count("*").alias("n"))
+    raw = per_trace.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("spans"),
         F.count_distinct("tenant_id").alias("tenants"),
         F.count_distinct("trace_id").alias("traces"),
     )

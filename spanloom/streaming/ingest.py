@@ -7,9 +7,10 @@ raw rows at every moment, and a replayed batch replaces what it wrote before.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,27 +23,45 @@ from spanloom.registry import Registry
 from spanloom.sources.tables import TableStore
 
 
+def _write_states(
+    spans: DataFrame, write_id: str, store: TableStore, registry: Registry
+) -> None:
+    # The newest allowlist snapshot, read again for every batch.
+    minute = rollup_1m(spans, store.read_allowlist(), registry).persist(
+        StorageLevel.MEMORY_AND_DISK
+    )
+    try:
+        store.write(minute, "spans_1m", write_id)
+        store.write(rollup_1h(minute), "spans_1h", write_id)
+    finally:
+        minute.unpersist()
+
+
 def ingest_batch(
     messages: DataFrame, batch_id: int, store: TableStore, registry: Registry
 ) -> None:
-    """Process one block of messages; running it again with the same id changes nothing."""
+    """Process one block of messages; running it again with the same id changes nothing.
+
+    The tables are written side by side, so that the tail of one write does not
+    leave the cluster idle. The batch fails if any of them does.
+    """
     write_id = f"batch-{batch_id:012d}"
     arrived = datetime.now(UTC)
     # Read for each of the tables. Lost blocks are decoded again from the source.
     decoded = decode_messages(messages, arrived).persist(StorageLevel.MEMORY_AND_DISK)
+    spans, dead = spans_of(decoded), dead_letters_of(decoded)
+    writes = (
+        lambda: store.write(spans, "spans_raw", write_id),
+        lambda: store.write(dead, "dead_letters", write_id),
+        lambda: _write_states(spans, write_id, store, registry),
+    )
     try:
-        spans = spans_of(decoded)
-        store.write(spans, "spans_raw", write_id)
-        store.write(dead_letters_of(decoded), "dead_letters", write_id)
-        # The newest allowlist snapshot, read again for every batch.
-        minute = rollup_1m(spans, store.read_allowlist(), registry).persist(
-            StorageLevel.MEMORY_AND_DISK
-        )
-        try:
-            store.write(minute, "spans_1m", write_id)
-            store.write(rollup_1h(minute), "spans_1h", write_id)
-        finally:
-            minute.unpersist()
+        with ThreadPoolExecutor(len(writes)) as pool:
+            # Inherits the stream's job group: stopping it stops these jobs too.
+            inherit = inheritable_thread_target(messages.sparkSession)
+            running = [pool.submit(inherit(write)) for write in writes]
+        for write in running:
+            write.result()
     finally:
         decoded.unpersist()
 

@@ -188,8 +188,9 @@ def test_whole_numbers(spark, text, expected):
 
 @pytest.mark.parametrize(
     ("text", "expected"),
-    [("0.5", 0.5), ("-2", -2.0), ("1e3", 1000.0), (" 1", 0.0), ("1 ", 0.0), ("x", 0.0), ("", 0.0)],
-)
+    [("0.5", 0.5), ("-2", -2.0), ("1e3", 1000.0), (" 1", 0.0), ("1 ", 0.0), ("x", 0.0), ("", 0.0),
+     ("NaN", 0.0), ("Infinity", 0.0), ("1e99", 0.0), ("3.4028235e38", 3.4028234663852886e38)],
+)
 def test_floats(spark, text, expected):
     df = spark.createDataFrame([(text,)], "x string")
     assert df.select(S.float_or_zero(F.col("x"))).first()[0] == expected

@@ -38,7 +38,8 @@ def data():
 @pytest.mark.parametrize("method", ["cont", "disc", "nearest"])
 def test_against_a_sorted_list(spark, method):
     groups = data()
-    rows = [(g, v) for g, values in groups.items() for v in values] + [("empty", None)]
+    rows = [(g, v) for g, values in groups.items() for v in values]
+    rows += [("empty", None), ("empty", float("nan")), ("pair", None), ("pair", float("nan"))]
     df = spark.createDataFrame(rows, "g string, v double").repartition(4)
     found = {r["g"]: r for r in exact_quantiles(df, ["g"], F.col("v"), PS, method).collect()}
     assert set(found) == set(groups)
