@@ -653,9 +653,10 @@ def oracle_sql() -> dict[str, str]:
         f"{_sum('errors')} FROM minute WHERE ts_minute + INTERVAL 1 MINUTE <= "
         "(SELECT max(ts) - INTERVAL 1 DAY FROM guarded WHERE readable) GROUP BY 1"
     )
-    q["j06_late_rows"] = _spans(
-        "SELECT span_id, ts, ingested_at FROM spans WHERE ts < TIMESTAMP '2024-01-15 12:00:00' "
-        "AND ingested_at > TIMESTAMP '2024-01-15 12:00:02'"
+    q["j06_late_rows"] = _lake(
+        "SELECT date_trunc('hour', ts) AS window_start, count(*) AS late_rows, "
+        "max(ingested_at) AS last_arrival FROM again "
+        "WHERE ingested_at > date_trunc('hour', ts) + INTERVAL 3602 SECOND GROUP BY 1"
     )
     q["j07_dedup_stream"] = "SELECT count(*) AS rows, count(*) AS spans FROM events"
 

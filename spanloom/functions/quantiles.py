@@ -93,9 +93,13 @@ def exact_quantiles(
             *[F.col(k).alias(f"__t{k}") for k in [*keys, "__b"]], "__lo", "__n", "__w"
         )
     )
-    # Null is a group of its own, as in any aggregate.
-    same = [F.col(k).eqNullSafe(F.col(f"__t{k}")) for k in keys]
-    same.append(F.col("__b") == F.col("__t__b"))
+    # Null is a group of its own, as in any aggregate. The bucket, never null, is
+    # compared the same way: plain equality would add a null filter to one of the
+    # two uses of ``counted``, and its shuffle could not be reused for the other.
+    same = [F.col(k).eqNullSafe(F.col(f"__t{k}")) for k in [*keys, "__b"]]
+    if not keys:
+        # At most two rows for each quantile.
+        targets = F.broadcast(targets)
     inside = Window.partitionBy(*keys, "__b").orderBy("__v")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
