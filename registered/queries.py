@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from registered.tables import FIRST, LAST, PERIOD, Tables, comparable
 from spanloom.functions.quantiles import exact_quantiles
-from spanloom.functions.scalars import hour_of, minute_of
+from spanloom.functions.scalars import hour_of, minute_of, single_row
 from spanloom.operators import decode, dedup, grading, guard, health, quality, rollup
 from spanloom.operators.backfill import backfill_states
 from spanloom.plans import bi, dashboards, live, readback
@@ -355,19 +355,8 @@ def _(t: Tables) -> DataFrame:
     """Source and lake figures side by side, and whether they agree."""
     source = L.fingerprint(L.export_columns(t.redelivered))
     stored = L.fingerprint(L.lake_scan(t.spark, t.lake))
-    a = source.select(*[F.col(c).alias(f"source_{c}") for c in L.FINGERPRINT])
-    b = stored.select(*[F.col(c).alias(f"lake_{c}") for c in L.FINGERPRINT])
-    same = [F.col(f"source_{c}") == F.col(f"lake_{c}") for c in L.FINGERPRINT if c != "duration_ms"]
-    close = F.abs(F.col("source_duration_ms") - F.col("lake_duration_ms")) <= F.greatest(
-        F.lit(1.0), F.abs("source_duration_ms") * 1e-6
-    )
-    agree = close
-    for s in same:
-        agree = agree & s
-    return a.crossJoin(b).select(
-        F.col("source_rows").alias("rows"),
-        F.col("lake_traces").alias("traces"),
-        agree.alias("agree"),
+    return L.compare_fingerprints(source, stored).select(
+        F.col("source_rows").alias("rows"), F.col("lake_traces").alias("traces"), "agree"
     )
 
 
@@ -629,9 +618,10 @@ def _(t: Tables) -> DataFrame:
 @register("j02_incremental_states")
 def _(t: Tables) -> DataFrame:
     """Rows written by each batch, and that their sum is the number of raw spans."""
-    states = t.store.read("spans_1m").agg(F.sum("spans").alias("state_spans"))
-    raw = t.store.read("spans_raw").agg(F.count("*").alias("raw_spans"))
-    return states.crossJoin(raw)
+    raw = single_row(t.store.read("spans_raw").agg(F.count("*").alias("n")))
+    return t.store.read("spans_1m").agg(F.sum("spans").alias("state_spans")).select(
+        "*", raw["n"].alias("raw_spans")
+    )
 
 
 def _run_stream(t: Tables, stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -704,9 +694,8 @@ def _(t: Tables) -> DataFrame:
 def _(t: Tables) -> DataFrame:
     """The reader sees the files the manifest lists; raises otherwise."""
     spans, deduped = L.open_lake(t.spark, t.lake, verify=True)
-    return spans.agg(F.count("*").alias("spans")).crossJoin(
-        deduped.agg(F.count("*").alias("spans_deduped"))
-    )
+    kept = single_row(deduped.agg(F.count("*").alias("n")))
+    return spans.agg(F.count("*").alias("spans")).select("*", kept["n"].alias("spans_deduped"))
 
 
 @register("m07_compaction")

@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.functions.scalars import single_row
+
 BUCKETS_PER_OCTAVE = 16384
 # Above the bucket of the smallest positive double, so that signs do not mix.
 _OFFSET = 1080 * BUCKETS_PER_OCTAVE
@@ -146,13 +148,8 @@ def with_quantiles(
     """Add exact quantile columns to a result that has one row per group of ``by``."""
     found = exact_quantiles(df, by, value, quantiles, method)
     if not by:
-        # Both sides are one row; the left join keeps the row of an empty input.
-        one = F.lit(1).alias("__one")
-        return (
-            aggregated.select("*", one)
-            .join(found.select("*", one), "__one", "left")
-            .drop("__one")
-        )
+        row = single_row(found)
+        return aggregated.select("*", *[row[c].alias(c) for c in quantiles])
     renamed = [F.col(c).alias(f"__r{i}") for i, c in enumerate(by)]
     right = found.select(*renamed, *quantiles)
     match = [aggregated[c].eqNullSafe(F.col(f"__r{i}")) for i, c in enumerate(by)]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import UTC, datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,11 @@ def instant(value: datetime | Column) -> Column:
     return value if isinstance(value, Column) else F.lit(aware_utc(value))
 
 
+def single_row(df: DataFrame) -> Column:
+    """A one-row frame as a struct to take columns from: a scalar subquery, not a join."""
+    return df.select(F.struct("*")).scalar()
+
+
 def utc_text(ts: Column) -> Column:
     """A timestamp as ISO text in the session's zone (UTC), whole seconds."""
     return F.date_format(ts, "yyyy-MM-dd HH:mm:ss")

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import instant
+from spanloom.functions.scalars import instant, single_row
 from spanloom.registry import Registry, registry_df, static_values
 
 
@@ -52,8 +52,8 @@ def guard_dimensions(spans: DataFrame, allowlist: DataFrame, registry: Registry)
     """Rewrite every dimension: absent -> none, registered -> itself, anything else -> other.
 
     Both lookups are bounded by the budgets. The few values of the static
-    dimensions travel as one row of arrays; a top-k dimension, which may list
-    hundreds of values, is looked up by a hash join.
+    dimensions are read as arrays by a scalar subquery; a top-k dimension, which
+    may list hundreds of values, is looked up by a hash join.
     """
     named = F.col("dimension")
     static, top_k = registry.static, registry.top_k
@@ -69,10 +69,9 @@ def guard_dimensions(spans: DataFrame, allowlist: DataFrame, registry: Registry)
                 ]
             )
         )
-        # One row.
-        out = out.crossJoin(F.broadcast(lists))
+        row = single_row(lists)
         for d in static:
-            registered[d.column] = F.array_contains(f"__in_{d.column}", F.col(d.column))
+            registered[d.column] = F.array_contains(row[f"__in_{d.column}"], F.col(d.column))
     for d in top_k:
         known = allowlist.filter(named == d.name).select(F.col("value").alias(f"__in_{d.column}"))
         out = out.join(known, F.col(d.column) == F.col(f"__in_{d.column}"), "left")

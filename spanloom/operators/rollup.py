@@ -140,16 +140,17 @@ def coverage(spans: DataFrame, states: DataFrame) -> DataFrame:
     raw = spans.agg(
         F.min("ts").alias("raw_min"), F.max("ts").alias("raw_max"), F.count("*").alias("raw_rows")
     )
-    rolled = states.agg(
-        F.min(MINUTE).alias("rollup_min"),
-        F.max(MINUTE).alias("rollup_max"),
-        F.coalesce(F.sum("spans"), F.lit(0)).alias("rollup_spans"),
+    rolled = S.single_row(
+        states.agg(
+            F.min(MINUTE).alias("rollup_min"),
+            F.max(MINUTE).alias("rollup_max"),
+            F.coalesce(F.sum("spans"), F.lit(0)).alias("rollup_spans"),
+        )
     )
     missing = F.greatest(F.lit(0), F.col("raw_rows") - F.col("rollup_spans")).cast("bigint")
-    # One row on each side.
-    return raw.crossJoin(rolled).select(
-        "*", missing.alias("missing_spans"), (missing > 0).alias("needs_backfill")
-    )
+    return raw.select(
+        "*", *[rolled[c].alias(c) for c in ("rollup_min", "rollup_max", "rollup_spans")]
+    ).select("*", missing.alias("missing_spans"), (missing > 0).alias("needs_backfill"))
 
 
 def coverage_by_minute(spans: DataFrame, states: DataFrame) -> DataFrame:
@@ -162,17 +163,15 @@ def coverage_by_minute(spans: DataFrame, states: DataFrame) -> DataFrame:
         F.count("*").alias("raw_rows")
     )
     rolled = states.groupBy(MINUTE).agg(F.sum("spans").alias("rollup_spans"))
-    # The later of the two starts. One row.
-    starts = (
-        spans.agg(S.minute_of(F.min("ts")).alias("a"))
-        .crossJoin(states.agg(F.min(MINUTE).alias("b")))
-        .select(F.greatest("a", "b").alias("__from"))
+    # The later of the two starts.
+    start = F.greatest(
+        S.single_row(spans.agg(S.minute_of(F.min("ts")).alias("at")))["at"],
+        S.single_row(states.agg(F.min(MINUTE).alias("at")))["at"],
     )
     zero = F.lit(0).cast("bigint")
     return (
         raw.join(rolled, MINUTE, "full")
-        .crossJoin(starts)
-        .filter(F.col(MINUTE) >= F.col("__from"))
+        .filter(F.col(MINUTE) >= start)
         .select(
             MINUTE,
             F.coalesce("raw_rows", zero).alias("raw_rows"),

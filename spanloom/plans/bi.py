@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.quantiles import with_quantiles
-from spanloom.functions.scalars import ratio
+from spanloom.functions.scalars import ratio, single_row
 from spanloom.sources.lake import lake_scan
 
 # Label of spans without a model: an agent calling a tool (fixed value).
@@ -82,10 +82,9 @@ def top_tenants(report: DataFrame, top: int = 10) -> DataFrame:
     The border is found with a bounded sort, so no task ever ranks all tenants.
     """
     totals = report.groupBy("tenant_id").agg(F.sum("tokens").alias("total_tokens"))
-    border = totals.orderBy(F.desc("total_tokens")).limit(top).agg(
-        F.min("total_tokens").alias("border")
-    )
-    above = totals.crossJoin(border).filter(F.col("total_tokens") >= F.col("border"))
+    best = totals.orderBy(F.desc("total_tokens")).limit(top)
+    border = single_row(best.agg(F.min("total_tokens").alias("tokens")))["tokens"]
+    above = totals.filter(F.col("total_tokens") >= border)
     # At most ``top`` different totals; the rank counts the tenants above each.
     levels = above.groupBy("total_tokens").agg(F.count("*").alias("n"))
     order = Window.orderBy(F.desc("total_tokens")).rowsBetween(Window.unboundedPreceding, -1)

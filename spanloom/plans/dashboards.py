@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import instant, ratio
+from spanloom.functions.scalars import instant, ratio, single_row
 from spanloom.operators import guard, health, quality
 from spanloom.operators.rollup import MINUTE, finalize
 from spanloom.registry import Registry
@@ -246,10 +246,10 @@ def worst_minute(states: DataFrame, registry: Registry, period: Range = ALL) ->
 
 
 def rollup_compression(spans: DataFrame, states: DataFrame) -> DataFrame:
-    """Raw rows per rollup row. One row on each side of the product."""
-    raw = spans.agg(F.count("*").alias("a"))
-    rolled = states.agg(F.count("*").alias("b"))
-    return raw.crossJoin(rolled).select(F.round(ratio(F.col("a"), F.col("b")), 1).alias("value"))
+    """Raw rows per rollup row."""
+    raw = spans.agg(F.count("*").alias("rows"))
+    rolled = single_row(states.agg(F.count("*").alias("rows")))
+    return raw.select(F.round(ratio(F.col("rows"), rolled["rows"]), 1).alias("value"))
 
 
 def which_unregistered(

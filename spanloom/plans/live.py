@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import instant
+from spanloom.functions.scalars import instant, single_row
 from spanloom.operators.rollup import MINUTE
 from spanloom.registry import Registry
 
@@ -26,8 +26,8 @@ def headline(spans: DataFrame, states: DataFrame, as_of: datetime | Column) -> D
         F.count("*").alias("total_spans"),
         F.round(recent / RATE_WINDOW_S).cast("bigint").alias("spans_per_sec"),
     )
-    rolled = states.agg(F.count("*").alias("rollup_rows"))
-    return raw.crossJoin(rolled)
+    rolled = single_row(states.agg(F.count("*").alias("rows")))
+    return raw.select("*", rolled["rows"].alias("rollup_rows"))
 
 
 def spans_per_minute(states: DataFrame, as_of: datetime | Column, minutes: int = 15) -> DataFrame:
@@ -49,9 +49,9 @@ def tenant_shares(states: DataFrame, registry: Registry, top: int = 10) -> DataF
         totals.filter(F.col("name") != other).orderBy(F.desc("n"), "name").limit(top)
     )
     everything = states.agg(F.coalesce(F.sum("spans"), F.lit(0)).alias("n"))
-    shown = named.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("m"))
-    rest = everything.crossJoin(shown).select(
-        F.lit(other).alias("name"), (F.col("n") - F.col("m")).alias("n"), F.lit(1).alias("last")
+    shown = single_row(named.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")))
+    rest = everything.select(
+        F.lit(other).alias("name"), (F.col("n") - shown["n"]).alias("n"), F.lit(1).alias("last")
     )
     return (
         named.withColumn("last", F.lit(0))

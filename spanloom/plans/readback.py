@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.quantiles import with_quantiles
-from spanloom.functions.scalars import ratio
+from spanloom.functions.scalars import ratio, single_row
 from spanloom.operators.dedup import duplication_report
 
 
@@ -23,35 +23,26 @@ def landed(
         F.count_distinct("trace_id").alias("traces"),
     )
     raw = with_quantiles(raw, spans, [], F.col("ttft_ms"), {"p": 0.95})
-    rolled = states.agg(
-        F.coalesce(F.sum("spans"), F.lit(0)).alias("rollup_spans"),
-        F.count("*").alias("rollup_rows"),
-    )
-    errors = dead.agg(F.count("*").alias("dead_letters"))
-    copies = duplication_report(lake).select(
-        F.col("rows").alias("lake_rows"),
-        F.col("duplicates").alias("lake_duplicates"),
-        F.col("duplicate_share").alias("lake_duplicate_share"),
-    )
-    # One row each.
-    return (
-        raw.crossJoin(rolled)
-        .crossJoin(errors)
-        .crossJoin(copies)
-        .select(
-            "spans",
-            "tenants",
-            "traces",
-            F.round("p", 1).alias("ttft_p95"),
-            "rollup_spans",
-            "rollup_rows",
-            ratio(F.col("spans"), F.col("rollup_rows")).alias("reduction"),
-            "dead_letters",
-            "lake_rows",
-            "lake_duplicates",
-            "lake_duplicate_share",
+    rolled = single_row(
+        states.agg(
+            F.coalesce(F.sum("spans"), F.lit(0)).alias("spans"), F.count("*").alias("rows")
         )
     )
+    errors = single_row(dead.agg(F.count("*").alias("n")))
+    copies = single_row(duplication_report(lake))
+    return raw.select(
+        "spans",
+        "tenants",
+        "traces",
+        F.round("p", 1).alias("ttft_p95"),
+        rolled["spans"].alias("rollup_spans"),
+        rolled["rows"].alias("rollup_rows"),
+        ratio(F.col("spans"), rolled["rows"]).alias("reduction"),
+        errors["n"].alias("dead_letters"),
+        copies["rows"].alias("lake_rows"),
+        copies["duplicates"].alias("lake_duplicates"),
+        copies["duplicate_share"].alias("lake_duplicate_share"),
+    )
 
 
 def latency_by_model(spans: DataFrame, more_than: int = 100) -> DataFrame:
@@ -67,14 +58,13 @@ def tenant_skew(spans: DataFrame, top: int = 5) -> DataFrame:
     """Number of tenants and the share of spans the busiest ones hold."""
     per_tenant = spans.groupBy("tenant_id").agg(F.count("*").alias("n"))
     total = per_tenant.agg(F.count("*").alias("tenants"), F.sum("n").alias("spans"))
-    loudest = (
-        per_tenant.orderBy(F.desc("n"), "tenant_id").limit(top).agg(F.sum("n").alias("top_spans"))
-    )
-    return total.crossJoin(loudest).select(
+    best = per_tenant.orderBy(F.desc("n"), "tenant_id").limit(top)
+    loudest = single_row(best.agg(F.sum("n").alias("n")))
+    return total.select(
         "tenants",
         "spans",
-        "top_spans",
-        ratio(F.col("top_spans"), F.col("spans")).alias("top_share"),
+        loudest["n"].alias("top_spans"),
+        ratio(loudest["n"], F.col("spans")).alias("top_share"),
     )
 
 
