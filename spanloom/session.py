@@ -33,6 +33,8 @@ def build_session(
         **RUNTIME_CONF,
         "spark.sql.parquet.compression.codec": "zstd",
         "spark.ui.showConsoleProgress": "false",
+        # Call-site capture costs about a millisecond per column expression.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **(conf or {}),
     }
     for key, value in settings.items():

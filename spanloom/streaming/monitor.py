@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
-from spanloom.operators.health import consumer_lag
+from spanloom.operators.health import consumer_lag, health_rows, parse_metrics
 from spanloom.sources import files
 from spanloom.sources.metrics import progress_offsets
+from spanloom.sources.tables import TableStore
 
 
 class ProgressLog(StreamingQueryListener):
@@ -42,3 +44,29 @@ def lag_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Lag per progress event: ``(sampled_at, total_lag, max_partition_lag, partitions)``."""
     high, committed = progress_offsets(spark.read.text(folder))
     return consumer_lag(high, committed, by=("sampled_at",))
+
+
+def per_minute(samples: DataFrame) -> DataFrame:
+    """The newest sample of each minute, stamped with the minute."""
+    rest = [c for c in samples.columns if c != "sampled_at"]
+    return (
+        samples.groupBy(F.date_trunc("minute", "sampled_at").alias("minute"))
+        .agg(F.max_by(F.struct(*rest), "sampled_at").alias("r"))
+        .select(F.col("minute").alias("sampled_at"), "r.*")
+    )
+
+
+def record_health(
+    store: TableStore, lag: DataFrame, metrics_lines: DataFrame, write_id: str
+) -> None:
+    """Join lag samples and scraped counters by minute and add them to the health table.
+
+    ``metrics_lines`` is ``(scrape, line)`` with the time of the scrape as text. A
+    minute in which either side is missing gets no row: a gap is not a zero.
+    """
+    counters = parse_metrics(metrics_lines)
+    counters = counters.select(
+        F.col("scrape").try_cast("timestamp").alias("sampled_at"),
+        *[c for c in counters.columns if c != "scrape"],
+    ).filter(F.col("sampled_at").isNotNull())
+    store.write(health_rows(per_minute(lag), per_minute(counters)), "health", write_id)

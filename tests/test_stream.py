@@ -10,7 +10,7 @@ from spanloom.operators.rollup import finalize
 from spanloom.sources.messages import load_messages, read_message_files
 from spanloom.sources.tables import TableStore
 from spanloom.streaming.ingest import ingest_batch, once_per_span, start_ingest, windowed_states
-from spanloom.streaming.monitor import ProgressLog, lag_samples
+from spanloom.streaming.monitor import ProgressLog, lag_samples, record_health
 
 NOW = datetime(2024, 2, 1)
 FIGURES = ("spans", "input_tokens", "output_tokens", "errors")
@@ -200,3 +200,28 @@ def test_progress_events_become_lag(spark, folder):
     log.onQueryProgress(Event)
     (row,) = lag_samples(spark, folder + "/progress").collect()
     assert (row["total_lag"], row["max_partition_lag"], row["partitions"]) == (22, 15, 3)
+
+
+def test_health_is_recorded_by_minute_without_invented_rows(spark, folder):
+    at = datetime(2024, 1, 1)
+    lag = spark.createDataFrame(
+        [(at + timedelta(seconds=s), v, v, 1) for s, v in ((5, 1), (50, 2), (70, 3), (130, 4))],
+        "sampled_at timestamp, total_lag long, max_partition_lag long, partitions long",
+    )
+    lines = spark.createDataFrame(
+        [
+            ("2024-01-01 00:00:20", "otelcol_receiver_accepted_spans 10"),
+            ("2024-01-01 00:00:40", "otelcol_receiver_accepted_spans 15"),
+            ("2024-01-01 00:01:40", "# unreachable"),
+            ("2024-01-01 00:02:40", "otelcol_receiver_accepted_spans 30"),
+        ],
+        "scrape string, line string",
+    )
+    store = TableStore(spark, folder)
+    record_health(store, lag, lines, "sample-1")
+    record_health(store, lag, lines, "sample-1")
+    rows = store.read("health").orderBy("sampled_at").collect()
+    assert [(r["sampled_at"].minute, r["total_lag"], r["accepted_spans"]) for r in rows] == [
+        (0, 2, 15),
+        (2, 4, 30),
+    ]
