@@ -102,7 +102,7 @@ class Tables:
         def write(path: str) -> None:
             store = TableStore(self.spark, path)
             store.publish_allowlist(self.allowlist, self.registry)
-            stream = read_message_files(self.spark, self.message_files, max_files=3)
+            stream = read_message_files(self.spark, self.message_files, max_files=4)
             checkpoint = scratch_dir(self.spark, "ingest-checkpoint")
             start_ingest(
                 stream, store, self.registry, checkpoint, {"availableNow": True}

@@ -7,7 +7,7 @@ again replaces its partitions, so a replayed batch changes nothing.
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime, timedelta
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -105,19 +105,36 @@ class TableStore:
         end: datetime | None = None,
         as_of: datetime | None = None,
     ) -> DataFrame:
-        """Rows of a table; with ``as_of`` those past their retention are left out."""
+        """Rows of a table; with ``as_of`` those past their retention are left out.
+
+        A range lists the folders of its own days only.
+        """
         schema, time_column, _ = TABLES[table]
         stored = T.StructType(
             [*schema, T.StructField("dt", T.DateType()), T.StructField("write_id", T.StringType())]
         )
-        if not files.exists(self.spark, self.path(table)):
-            return self.spark.createDataFrame([], stored)
-        df = self.spark.read.schema(stored).parquet(self.path(table))
-        df = self._visible(df, table)
         if as_of is not None:
             kept = as_of - RETENTION[table]
             start = kept if start is None else max(start, kept)
-        return time_range(df, time_column, start, end)
+        base = self.path(table)
+        if start is None and end is None:
+            paths = [base] if files.exists(self.spark, base) else []
+        else:
+            paths = [f"{base}/{day}" for day in self._days(table, start, end)]
+        if not paths:
+            return self.spark.createDataFrame([], stored)
+        df = self.spark.read.schema(stored).option("basePath", base).parquet(*paths)
+        return time_range(self._visible(df, table), time_column, start, end)
+
+    def _days(self, table: str, start: datetime | None, end: datetime | None) -> list[str]:
+        """Folders of the days a range touches."""
+        return [
+            d
+            for d in files.list_dirs(self.spark, self.path(table))
+            if d.startswith("dt=")
+            and (start is None or d[3:] >= start.date().isoformat())
+            and (end is None or d[3:] <= end.date().isoformat())
+        ]
 
     # --- compaction -----------------------------------------------------------
 
@@ -167,7 +184,8 @@ class TableStore:
         schema, time_column, _ = TABLES[table]
         folder = f"{self.path(table)}/dt={day.isoformat()}"
         present = [d.split("=", 1)[1] for d in files.list_dirs(self.spark, folder)]
-        rows = self.read(table).filter(F.col("dt") == F.lit(day))
+        midnight = datetime.combine(day, time.min)
+        rows = self.read(table, midnight, midnight + timedelta(days=1))
         # One name per write of this day, known from the folder listing.
         live = sorted(r[0] for r in rows.select("write_id").distinct().collect())
         live = [w for w in live if w in present]
