@@ -4,29 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _comparable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema if not f.dataType.simpleString().startswith("map")]
-
-
 def dedup_spans(
     df: DataFrame, order: Sequence[str] = ("ts",), key: str = "span_id"
 ) -> DataFrame:
-    """The first row of each span by ``order``; ties are settled by the other columns.
+    """The first row of each span by ``order``.
 
-    A minimum over the row merges copies before the shuffle, so a span delivered
-    very many times is never gathered in one task, as a ranked window would do.
+    The filter on the rank lets each task keep one row per span before the
+    shuffle, so copies of a span delivered very many times never meet in one
+    task. Columns that are not read afterwards are not scanned either.
     """
-    ranked = [*order, *[c for c in _comparable(df) if c not in order and c != key]]
-    rest = [c for c in df.columns if c != key]
-    first = F.min_by(F.struct(*rest), F.struct(*ranked))
+    first = Window.partitionBy(key).orderBy(*order)
     return (
-        df.groupBy(key)
-        .agg(first.alias("__row"))
-        .select(*[F.col(key) if c == key else F.col("__row")[c].alias(c) for c in df.columns])
+        df.withColumn("__rank", F.row_number().over(first))
+        .filter(F.col("__rank") == 1)
+        .drop("__rank")
     )
 
 
