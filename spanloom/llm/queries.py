@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontaminate, mixing, sharding
+from spanloom.llm import decontaminate, jaccard, mixing, sharding
 from spanloom.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -58,6 +62,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
+    "op5_jaccard": op5_jaccard,
     "op7_sharding": op7_sharding,
     "op10_mixing": op10_mixing,
 }
