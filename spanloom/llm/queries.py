@@ -7,10 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontaminate, jaccard, mixing, sharding
+from spanloom.llm import decontaminate, jaccard, mixing, neighbours, quality, sharding
 from spanloom.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model).select(
+        "doc_id",
+        quality.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs, items)
@@ -47,6 +58,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.plan_mix(table(spark, sf_dir, "documents"))
     drawn = (
@@ -61,8 +76,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
     "op3_decontaminate": op3_decontaminate,
     "op5_jaccard": op5_jaccard,
     "op7_sharding": op7_sharding,
+    "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
 }
