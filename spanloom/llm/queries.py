@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontaminate, jaccard, mixing, neighbours, quality, sharding
+from spanloom.llm import decontaminate, jaccard, licences, mixing, neighbours, pages, quality, sharding
 from spanloom.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
@@ -58,6 +62,11 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -79,7 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op3_decontaminate": op3_decontaminate,
     "op5_jaccard": op5_jaccard,
+    "op6_licences": op6_licences,
     "op7_sharding": op7_sharding,
+    "op8_pages": op8_pages,
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
 }
