@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontaminate, jaccard, licences, mixing, neighbours, pages, quality, sharding
+from spanloom.llm import decontaminate, fmindex, jaccard, licences, mixing, neighbours, pages, quality, rlbwt, sharding
 from spanloom.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlbwt.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = decontaminate.find_contamination(docs, items)
@@ -35,6 +39,10 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.repeated_words(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -86,7 +94,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
+    "op2_runs": op2_runs,
     "op3_decontaminate": op3_decontaminate,
+    "op4_substrings": op4_substrings,
     "op5_jaccard": op5_jaccard,
     "op6_licences": op6_licences,
     "op7_sharding": op7_sharding,
