@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 HASH_BITS = 48
 BLOCK_DOCS = 1 << 14
 BLOCK_FEATURES = 4_000_000
+BUCKET_BYTES = 4 << 20
 ID_BITS = 16
 MANY = (1 << ID_BITS) - 1  # in place of a document: several of the block
 
@@ -43,6 +44,16 @@ def unpacked(data: bytes, width: int) -> np.ndarray:
     return raw.view(np.uint64).ravel()
 
 
+def stored_bytes(bits: int) -> int:
+    """Bytes of a feature and its document without the bucket's bits."""
+    return -(-(64 - bits) // 8)
+
+
+def bucket_bits_for(text_bytes: int) -> int:
+    """So many buckets that each has the features of about ``BUCKET_BYTES`` of text."""
+    return min(20, max(6, (text_bytes // BUCKET_BYTES).bit_length()))
+
+
 def _distinct(values: np.ndarray, times: int) -> np.ndarray:
     """Sorted, each value at most ``times`` (1 or 2) times."""
     values = np.sort(values)
@@ -79,7 +90,7 @@ def _blocks(extract: Extract, bits: int, times: int) -> Callable:
                 keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
             )
             parts = np.split(keys, edges)
-            rows = [(b, packed(p, 8 - bits // 8)) for b, p in enumerate(parts) if len(p)]
+            rows = [(b, packed(p, stored_bytes(bits))) for b, p in enumerate(parts) if len(p)]
             about = np.concatenate([np.concatenate(ids), np.concatenate(sizes)]).astype(np.int64)
             whole = np.int64(docs).tobytes() + about.tobytes() + packed(places, 8)
             rows.append(((1 << bits) + block % (1 << bits), whole))
@@ -120,7 +131,7 @@ def _blocks(extract: Extract, bits: int, times: int) -> Callable:
 
 def _shared(bits: int) -> Callable:
     """Of one bucket: the features that occur at least twice, sent back to their blocks."""
-    width = 8 - bits // 8
+    width = stored_bytes(bits)
     feature = np.uint64((1 << (HASH_BITS - bits)) - 1)
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
@@ -213,7 +224,7 @@ def shared_features(
     *,
     doc_id: str = "doc_id",
     text: str = "text",
-    bucket_bits: int = 8,
+    bucket_bits: int | None = None,
     repeats_count: bool = False,
 ) -> DataFrame:
     """(doc_id, size, n_shared, shared): a row for each document.
@@ -222,10 +233,12 @@ def shared_features(
     ``repeats_count``) as 8-byte integers, frequency class above the hash, sorted: rare
     features first. ``size`` is what ``extract`` says of the document.
 
-    A task holds one bucket of a 2**bucket_bits-th of all features; set the bits by the
-    input's size (8 or 16). Partitions must give their rows in the same order when they
+    A task holds one bucket, a 2**bucket_bits-th of all features; by default their number
+    follows the bytes of text. Partitions must give their rows in the same order when they
     are computed again, as tables do.
     """
+    if bucket_bits is None:
+        bucket_bits = bucket_bits_for(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     blocks = source.mapInArrow(
         _blocks(extract, bucket_bits, 2 if repeats_count else 1), "bucket int, block long, data binary"

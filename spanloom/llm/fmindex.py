@@ -115,7 +115,7 @@ def _cut(body: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, str]:
 
 
 def repeated_words(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", bucket_bits: int = 8
+    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", bucket_bits: int | None = None
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256): one row for each document."""
     spans = repeats.covered(docs, RULE, doc_id=doc_id, text=text, bucket_bits=bucket_bits)

@@ -236,7 +236,7 @@ def near_duplicates(
     *,
     doc_id: str = "doc_id",
     text: str = "text",
-    bucket_bits: int = 8,
+    bucket_bits: int | None = None,
     block_sets: int = BLOCK_SETS,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""

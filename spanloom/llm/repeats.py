@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.features import ID_BITS, shared_features
+from spanloom.llm.features import ID_BITS, bucket_bits_for, shared_features
 from spanloom.llm.tokens import Anchors, Prefix, chunks
 
 SHARD_SYMBOLS = 1 << 20
@@ -282,15 +282,15 @@ def window_places(lengths: np.ndarray, begin: np.ndarray, least: np.ndarray, siz
     return place
 
 
-def covered(docs: DataFrame, rule: Rule, *, doc_id: str, text: str, bucket_bits: int) -> DataFrame:
+def covered(docs: DataFrame, rule: Rule, *, doc_id: str, text: str, bucket_bits: int | None) -> DataFrame:
     """(doc_id, spans): the covered stretches of each document that has any, in symbols, unmerged."""
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(
         "doc_id is not null"
     )
+    weight = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     found = shared_features(
-        source, _anchor_features(rule), bucket_bits=bucket_bits, repeats_count=rule.within
+        source, _anchor_features(rule), bucket_bits=bucket_bits or bucket_bits_for(weight), repeats_count=rule.within
     ).where("n_shared > 0")
-    weight = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(8, weight // (SHARD_SYMBOLS * rule.bytes_of_symbol))
     both = source.join(found.select("doc_id", "shared"), "doc_id")
     strings = both.mapInArrow(_strings(rule, shards), "shard int, places binary, lengths binary, body binary")
