@@ -9,10 +9,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm.common import materialize, table
 from spanloom.llm.decontaminate import remove_contaminated
+from spanloom.llm.jaccard import keep_one
 from spanloom.llm.mixing import mix_documents
+from spanloom.llm.quality import keep_good
 from spanloom.llm.sharding import shard_documents
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return keep_one(docs)
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
@@ -27,6 +37,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality classifier", classify),
+    ("n-gram Jaccard join", deduplicate),
     ("benchmark decontamination", decontaminate),
     ("mixing sources to target weights", mix),
     ("sharding", shard),
