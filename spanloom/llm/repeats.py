@@ -220,7 +220,7 @@ def depth_order(symbols: np.ndarray, depth: int, widest: int) -> tuple[np.ndarra
     n = len(symbols)
     bits = max(1, int(n).bit_length())
     width = max(1, int(widest).bit_length())
-    take = max(1, min(depth, (63 - bits) // width))
+    take = max(1, min(depth - 1, (63 - bits) // width))
 
     def ordered(high: np.ndarray, low: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
         """Order by (high, low), and the rows' equality with the row before."""
@@ -255,9 +255,8 @@ def depth_order(symbols: np.ndarray, depth: int, widest: int) -> tuple[np.ndarra
         rank = np.empty(n, dtype=np.int64)
         rank[at] = np.cumsum(new) - 1
         reach += step
-    if take >= depth:
-        before, before_reach = rank, reach
-        return at, new, new
+    if depth == 1:
+        return at, new, np.arange(n) == 0
     # At depth - 1 two rows are equal if both overlapping halves are.
     shorter = ahead(before, depth - 1 - before_reach) if depth - 1 > before_reach else before
     a, b = at[1:], at[:-1]
