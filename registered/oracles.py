@@ -55,7 +55,7 @@ SELECT date_trunc('millisecond', ts) AS ts,
     ELSE '' END AS error_type,
   date_trunc('millisecond', ts) + to_microseconds(
     CAST(round((value * 10 + 1) * 1000) AS BIGINT) + (event_id % 10) * 1000000) AS ingested_at,
-  event_id, (event_id // 4) % 13 <> 0 AS readable
+  event_id, (event_id // 4) % 13 = 0 AS copied
 FROM (SELECT *, event_type = 'signup' AS tool,
         event_type NOT IN ('signup', 'purchase') AS call,
         CASE event_type WHEN 'signup' THEN 'execute_tool' WHEN 'purchase' THEN 'invoke_agent'
@@ -219,10 +219,10 @@ _REPORT = """report AS (SELECT ts, tenant_id,
   input_tokens, output_tokens, CASE WHEN model <> '' THEN ttft_ms END AS ttft_ms,
   input_tokens + output_tokens AS tokens, CAST(ts AS DATE) AS date FROM spans)"""
 
-_READABLE = "decoded AS (SELECT * FROM spans WHERE readable)"
+_READABLE = "decoded AS (SELECT * FROM spans)"
 _MINUTE_DECODED = (
     f"minute AS (SELECT date_trunc('minute', ts) AS ts_minute, {_DIM_LIST}, {_STATE_COLUMNS} "
-    f"FROM guarded WHERE readable GROUP BY ALL)"
+    f"FROM guarded GROUP BY ALL)"
 )
 
 _LATENCY = (
@@ -243,7 +243,7 @@ def _minute(select: str) -> str:
 
 
 def _stored(select: str) -> str:
-    """Minute states of the readable messages only."""
+    """Minute states written by the stream."""
     return _with([_SPANS, _ALLOW, _GUARDED, _MINUTE_DECODED], select)
 
 
@@ -422,8 +422,9 @@ def oracle_sql() -> dict[str, str]:
     )
 
     q["c01_message_split"] = (
-        "SELECT (event_id // 4) % 13 <> 0 AS readable, count(DISTINCT event_id // 4) AS messages "
-        "FROM events GROUP BY 1"
+        "SELECT true AS readable, count(DISTINCT event_id // 4) AS messages FROM events "
+        "UNION ALL SELECT false, count(DISTINCT event_id // 4) FROM events "
+        "WHERE (event_id // 4) % 13 = 0 HAVING count(*) > 0"
     )
     q["c02_closed_range"] = _spans(
         "SELECT operation, count(*) AS spans FROM spans WHERE ts BETWEEN "
@@ -477,6 +478,14 @@ def oracle_sql() -> dict[str, str]:
     q["d05_partition_lag"] = _with(
         [_OFFSETS], "SELECT day, partition, high, position, lag FROM lags"
     )
+    q["d05_two_topics"] = (
+        "WITH o AS (SELECT CAST(ts AS DATE) AS day, CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END "
+        "AS topic, CAST(event_id % 3 AS INTEGER) AS partition, max(event_id) AS high, "
+        "coalesce(max(event_id) FILTER (WHERE event_type = 'purchase'), 0) AS committed "
+        "FROM events GROUP BY 1, 2, 3) SELECT day, CAST(sum(high - committed) AS BIGINT) AS total_lag, "
+        "max(high - committed) AS max_partition_lag, count(*) AS partitions FROM o GROUP BY 1"
+    )
+    q["d01_repeated_allowlist"] = q["d01_cardinality_guard"]
     q["d06_probes_in_phases"] = _runs(
         f"SELECT run_id, phase, count(*) AS probes, {_r6('sum(latency_ms)', 'latency_ms')} "
         "FROM inside GROUP BY 1, 2"
@@ -650,8 +659,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["j04_windowed_states"] = _stored(
         f"SELECT CAST(ts_minute AS DATE) AS day, {_sum('spans')}, {_sum('input_tokens')}, "
-        f"{_sum('errors')} FROM minute WHERE ts_minute + INTERVAL 1 MINUTE <= "
-        "(SELECT max(ts) - INTERVAL 1 DAY FROM guarded WHERE readable) GROUP BY 1"
+        f"{_sum('errors')} FROM minute GROUP BY 1"
     )
     q["j06_late_rows"] = _lake(
         "SELECT date_trunc('hour', ts) AS window_start, count(*) AS late_rows, "
@@ -667,7 +675,7 @@ def oracle_sql() -> dict[str, str]:
     q["m03_hourly_export"] = _spans(
         "SELECT greatest(date_trunc('hour', ts), TIMESTAMP '2024-01-01 00:30:00') AS window_start, "
         "date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS rows FROM spans "
-        "WHERE ts >= TIMESTAMP '2024-01-01 00:30:00' AND ts < TIMESTAMP '2024-01-04' GROUP BY 1, 2"
+        "WHERE ts >= TIMESTAMP '2024-01-01 00:30:00' GROUP BY 1, 2"
     )
     q["m05_lake_complete"] = _lake(
         "SELECT count(*) AS spans, count(DISTINCT span_id) AS spans_deduped FROM lake"
@@ -676,6 +684,14 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT CAST(ts_minute AS DATE) AS day, {_sum('spans')}, {_sum('output_tokens')}, "
         f"{_sum('errors')} FROM minute GROUP BY 1"
     )
+    q["m07_rewrite_after_compaction"] = q["m07_compaction"]
+    q["j01_two_streams"] = _spans(
+        f"SELECT operation, count(*) AS spans, {_sum('input_tokens')} FROM spans GROUP BY 1"
+    )
+    q["j11_health_samples"] = q["s07_health_sink"]
+    q["m04_late_reexport"] = _spans(
+        f"SELECT CAST(ts AS DATE) AS dt, count(*) AS spans, {_sum('output_tokens')} FROM spans GROUP BY 1"
+    )
     q["m09_run_grading"] = _runs('SELECT run_id, "check", passed, detail FROM graded')
     q["m10_span_accounting"] = _runs(
         "SELECT run_id, emitted_total, delivered, sdk_lost, unaccounted, "
@@ -808,9 +824,12 @@ def oracle_sql() -> dict[str, str]:
     q["q28_unregistered_series"] = _minute(
         f"SELECT m.ts_minute AS time, {series} FROM minute m GROUP BY 1"
     )
-    q["q29_live_headline"] = _minute(
-        f"SELECT count(*) AS total_spans, {recent}, (SELECT count(*) FROM minute) AS rollup_rows "
-        "FROM spans"
+    q["q29_live_headline"] = _with(
+        [_SPANS, _ALLOW, _GUARDED, _MINUTE, _HEALTH],
+        f"SELECT count(*) AS total_spans, {recent}, (SELECT count(*) FROM minute) AS rollup_rows, "
+        "(SELECT arg_max(total_lag, sampled_at) FROM health) AS lag, "
+        "(SELECT arg_max(send_failed_spans + enqueue_failed_spans, sampled_at) FROM health) "
+        "AS dropped_spans FROM spans",
     )
     q["q30_spans_per_minute"] = _minute(
         f"SELECT CAST(epoch(ts_minute) AS BIGINT) AS t, {_sum('spans', 'n')} FROM minute WHERE "
@@ -861,7 +880,7 @@ def oracle_sql() -> dict[str, str]:
         (SELECT CAST(sum(spans) AS BIGINT) FROM minute) AS rollup_spans,
         (SELECT count(*) FROM minute) AS rollup_rows,
         round(count(*) / (SELECT count(*) FROM minute), 6) AS reduction,
-        count(DISTINCT trace_id) FILTER (WHERE NOT readable) AS dead_letters,
+        count(DISTINCT trace_id) FILTER (WHERE copied) AS dead_letters,
         (SELECT count(*) FROM again) AS lake_rows,
         (SELECT count(*) - count(DISTINCT span_id) FROM again) AS lake_duplicates,
         (SELECT round((count(*) - count(DISTINCT span_id)) / count(*), 6) FROM again)

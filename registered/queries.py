@@ -20,7 +20,13 @@ from spanloom.sources import experiments
 from spanloom.sources import lake as L
 from spanloom.sources.messages import load_messages, read_message_files
 from spanloom.sources.tables import TableStore
-from spanloom.streaming.ingest import once_per_span, windowed_states
+from spanloom.streaming import monitor
+from spanloom.streaming.ingest import (
+    complete_windows,
+    once_per_span,
+    start_ingest,
+    windowed_states,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTERED: dict[str, Callable[[Tables], DataFrame]] = {}
@@ -373,6 +379,31 @@ def _experiment(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     )
 
 
+@register("d05_two_topics")
+def _(t: Tables) -> DataFrame:
+    """Lag of two topics whose partition numbers are the same."""
+    keyed = t.events.select(
+        F.to_date("ts").alias("day"),
+        F.when(F.col("event_id") % 2 == 0, "a").otherwise("b").alias("topic"),
+        (F.col("event_id") % 3).cast("int").alias("partition"),
+        "event_id",
+        "event_type",
+    )
+    keys = ("day", "topic", "partition")
+    high = keyed.groupBy(*keys).agg(F.max("event_id").alias("high"))
+    read = keyed.filter(F.col("event_type") == "purchase")
+    committed = read.groupBy(*keys).agg(F.max("event_id").alias("committed"))
+    return health.consumer_lag(high, committed, by=("day",))
+
+
+@register("d01_repeated_allowlist")
+def _(t: Tables) -> DataFrame:
+    """An allowlist whose rows repeat counts every span once."""
+    twice = t.allowlist.unionByName(t.allowlist)
+    guarded = guard.guard_dimensions(t.spans, twice, t.registry)
+    return guarded.groupBy("tenant_id", "model", "region").agg(F.count("*").alias("spans"))
+
+
 @register("d06_probes_in_phases")
 def _(t: Tables) -> DataFrame:
     runs, _, probes = _experiment(t)
@@ -532,7 +563,7 @@ def _(t: Tables) -> DataFrame:
 
 @register("g12_latency_stats")
 def _(t: Tables) -> DataFrame:
-    return quality.latency_stats(t.spans, FIRST, LAST, total_lag=0)
+    return quality.latency_stats(t.spans, None, FIRST, LAST)
 
 
 @register("g13_source_fingerprint")
@@ -640,11 +671,14 @@ def _run_stream(t: Tables, stream: DataFrame, name: str, mode: str = "append") -
 
 @register("j04_windowed_states")
 def _(t: Tables) -> DataFrame:
-    """Minutes closed by a watermark of a day; the last day is still open."""
+    """Minutes closed by a watermark of a day, completed from the raw spans."""
     spans = decode.decode_spans(read_message_files(t.spark, t.message_files), LAST)
     states = windowed_states(spans, t.store.read_allowlist(), t.registry, "1 day")
     closed = _run_stream(t, states, "windowed")
-    return rollup.finalize(closed, [F.to_date("ts_minute").alias("day")]).select(
+    whole = complete_windows(
+        closed, t.store.read("spans_raw"), t.store.read_allowlist(), t.registry
+    )
+    return rollup.finalize(whole, [F.to_date("ts_minute").alias("day")]).select(
         "day", "spans", "input_tokens", "errors"
     )
 
@@ -662,7 +696,7 @@ def _(t: Tables) -> DataFrame:
     t.redelivered.repartition(4, "span_id").write.parquet(source)
     schema = t.spark.read.parquet(source).schema
     stream = t.spark.readStream.schema(schema).parquet(source)
-    kept = _run_stream(t, once_per_span(stream, "40 days").select("span_id", "ts"), "once")
+    kept = _run_stream(t, once_per_span(stream).select("span_id", "ts"), "once")
     return kept.agg(F.count("*").alias("rows"), F.count_distinct("span_id").alias("spans"))
 
 
@@ -676,17 +710,15 @@ def _(t: Tables) -> DataFrame:
     store.write(t.spans.withColumn("attributes", F.create_map().cast("map<string,string>")),
                 "spans_raw", "batch-0")
     now = datetime(2024, 1, 20, 6)
-    store.expire("spans_raw", now)
+    store.expire("spans_raw", now, exported_until=now)
     return store.read("spans_raw", as_of=now).groupBy("dt").agg(F.count("*").alias("spans"))
 
 
 @register("m03_hourly_export")
 def _(t: Tables) -> DataFrame:
-    """Hour windows of three days, exported in one job each 48 and verified."""
+    """Hour windows of the whole month, many in one job, and verified."""
     root = scratch_dir(t.spark, "hourly")
-    L.run_export(
-        t.spans, root, now=datetime(2024, 1, 4, 0, 5), since=datetime(2024, 1, 1, 0, 30)
-    )
+    L.run_export(t.spans, root, now=LAST + timedelta(minutes=5), since=datetime(2024, 1, 1, 0, 30))
     return L.read_manifest(t.spark, root).select("window_start", "window_end", "rows")
 
 
@@ -712,6 +744,74 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@register("m07_rewrite_after_compaction")
+def _(t: Tables) -> DataFrame:
+    """A write that was compacted with part of its rows and then written again in full."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "rewrite"))
+    half = F.col("operation").isin("chat", "embeddings")
+    store.write(t.minute.filter(half), "spans_1m", "batch-0")
+    store.write(t.minute.filter(~half & (F.col("status_class") == "ok")), "spans_1m", "batch-1")
+    store.compact("spans_1m", datetime(2024, 1, 7).date())
+    store.write(t.minute.filter(~half), "spans_1m", "batch-1")
+    return rollup.finalize(store.read("spans_1m"), ["dt"]).select(
+        F.col("dt").alias("day"), "spans", "output_tokens", "errors"
+    )
+
+
+@register("j01_two_streams")
+def _(t: Tables) -> DataFrame:
+    """Two streams, each with its own checkpoint, into one store."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "two-streams"))
+    store.publish_allowlist(t.allowlist, t.registry)
+    messages = load_messages(t.spark, t.message_files)
+    for part in (0, 1):
+        folder = scratch_dir(t.spark, f"stream-{part}")
+        messages.filter(F.col("offset") % 2 == part).write.json(folder)
+        start_ingest(
+            read_message_files(t.spark, folder), store, t.registry,
+            scratch_dir(t.spark, "two-streams-checkpoint"), {"availableNow": True},
+        ).awaitTermination()
+    return store.read("spans_raw").groupBy("operation").agg(
+        F.count("*").alias("spans"), F.sum("input_tokens").alias("input_tokens")
+    )
+
+
+@register("j11_health_samples")
+def _(t: Tables) -> DataFrame:
+    """Health rows added in two passes from lag samples and scraped metrics lines."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "health-passes"))
+    counters = F.array(
+        *[
+            F.concat(F.lit(f"{prefix} "), F.col(column).cast("string"))
+            for prefix, column in health.METRIC_PREFIXES.items()
+        ]
+    )
+    lines = t.health.select(
+        F.date_format("sampled_at", "yyyy-MM-dd HH:mm:ss").alias("scrape"),
+        F.explode(counters).alias("line"),
+    )
+    lag = t.health.select("sampled_at", "total_lag", "max_partition_lag", "partitions")
+    for until in (datetime(2024, 1, 12, 7), LAST, LAST):
+        monitor.health_pass(store, lag, lines, until)
+    return store.read("health").select(
+        "sampled_at", "total_lag", "accepted_spans", "sent_spans", "queue_size"
+    )
+
+
+@register("m04_late_reexport")
+def _(t: Tables) -> DataFrame:
+    """Rows that came after their window was exported reach the lake with the next pass."""
+    root = scratch_dir(t.spark, "late")
+    late = F.xxhash64("span_id") % 50 == 0
+    L.run_export(
+        t.spans.filter(~late), root, now=LAST + timedelta(minutes=5), window=timedelta(days=1), since=FIRST
+    )
+    L.export_late(t.spans, root, FIRST, LAST)
+    return L.lake_scan(t.spark, root).groupBy("dt").agg(
+        F.count("*").alias("spans"), F.sum("output_tokens").alias("output_tokens")
+    )
+
+
 @register("m09_run_grading")
 def _(t: Tables) -> DataFrame:
     return grading.grade_runs(*_experiment(t))
@@ -784,7 +884,9 @@ _STATES: dict[str, Callable[[Tables], DataFrame]] = {
     "q28_unregistered_series": lambda t: dashboards.unregistered_series(
         t.minute, t.registry, PERIOD
     ),
-    "q29_live_headline": lambda t: live.headline(t.spans, t.minute, datetime(2024, 1, 15, 12, 1)),
+    "q29_live_headline": lambda t: live.headline(
+        t.spans, t.minute, datetime(2024, 1, 15, 12, 1), t.health
+    ),
     "q30_spans_per_minute": lambda t: live.spans_per_minute(
         t.minute, datetime(2024, 1, 15, 12), 15
     ),
@@ -821,5 +923,6 @@ def _(t: Tables) -> DataFrame:
         t.spark,
         t.lake,
         "SELECT d.model AS model, count(*) AS spans, sum(d.output_tokens) AS output_tokens "
-        "FROM spans_deduped d WHERE d.dt >= DATE'2024-01-10' GROUP BY d.model",
+        "FROM spans_deduped d GROUP BY d.model",
+        start=datetime(2024, 1, 10),
     )

@@ -32,10 +32,10 @@ def whole_or_zero(text: Column, largest: int) -> Column:
     """Digits within range as a long, anything else 0.
 
     A plain cast would trim blanks and take signs, so the digits are checked
-    first. Ten of them after leading zeros hold every accepted value.
+    first. What a long cannot hold is null after the cast.
     """
     number = text.try_cast("bigint")
-    return F.when(text.rlike("^0*[0-9]{1,10}$") & (number <= largest), number).otherwise(
+    return F.when(text.rlike("^[0-9]+$") & (number <= largest), number).otherwise(
         F.lit(0).cast("bigint")
     )
 

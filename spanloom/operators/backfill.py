@@ -37,12 +37,17 @@ def backfill(
     """Write the states of a window and return the number of raw spans in it.
 
     The write carries an id made of the window, so running it again replaces its
-    rows instead of adding them a second time.
+    rows instead of adding them a second time. A window in which other writes have
+    rows already is refused: its spans would count twice.
     """
+    write_id = f"backfill-{start:%Y%m%dT%H%M%S}-{end:%Y%m%dT%H%M%S}"
+    own = [write_id, *(snapshot for _, snapshot in store.snapshots_of("spans_1m", write_id))]
+    others = store.read("spans_1m", start, end).filter(~F.col("write_id").isin(own))
+    if others.limit(1).count():
+        raise ValueError(f"the rollup already has rows in [{start}, {end})")
     states = backfill_states(
         store.read("spans_raw"), store.read_allowlist(allowlist_version), registry, start, end
     )
-    write_id = f"backfill-{start:%Y%m%dT%H%M%S}-{end:%Y%m%dT%H%M%S}"
     store.write(states, "spans_1m", write_id)
     written = store.read("spans_1m").filter(F.col("write_id") == write_id)
     store.write(rollup_1h(written), "spans_1h", write_id)

@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from spanloom.functions import scalars as S
 from spanloom.schema import (
     COUNT_ATTRIBUTES,
-    MAX_DEAD_LETTER_CHARS,
     MEASURE_ATTRIBUTES,
     SERVICE_ATTRIBUTE,
     SPAN_KINDS,
@@ -164,7 +163,7 @@ def _arrival(ingested_at: datetime | Column | None) -> Column:
 
 
 def _dead(ingested_at: datetime | Column | None) -> Column:
-    """The dead letter of an unreadable message: its origin and the start of the payload."""
+    """The dead letter of an unreadable message: its origin and the whole payload, so that it can be replayed."""
     value = F.col("value")
     reason = (
         F.when(value.isNull(), "no payload")
@@ -178,7 +177,7 @@ def _dead(ingested_at: datetime | Column | None) -> Column:
         "partition",
         "offset",
         reason.alias("error"),
-        F.coalesce(F.substring(value, 1, MAX_DEAD_LETTER_CHARS), F.lit("")).alias("raw_message"),
+        F.coalesce(value, F.lit("")).alias("raw_message"),
     )
 
 

@@ -73,7 +73,12 @@ def guard_dimensions(spans: DataFrame, allowlist: DataFrame, registry: Registry)
         for d in static:
             registered[d.column] = F.array_contains(row[f"__in_{d.column}"], F.col(d.column))
     for d in top_k:
-        known = allowlist.filter(named == d.name).select(F.col("value").alias(f"__in_{d.column}"))
+        # A value listed twice must not double the spans that carry it.
+        known = (
+            allowlist.filter(named == d.name)
+            .select(F.col("value").alias(f"__in_{d.column}"))
+            .distinct()
+        )
         out = out.join(known, F.col(d.column) == F.col(f"__in_{d.column}"), "left")
         registered[d.column] = F.col(f"__in_{d.column}").isNotNull()
     return out.select(
@@ -106,10 +111,27 @@ def unregistered_values(
     spans: DataFrame, allowlist: DataFrame, registry: Registry, limit: int | None = 50
 ) -> DataFrame:
     """Values present in the raw spans that no allowlist row names, most frequent first."""
-    long = _long_form(spans, registry).filter(F.col("value") != "")
+    # Only spans that the guard would change are taken apart, and only their counts move on.
+    guarded = guard_dimensions(
+        spans.select(*[F.col(c) for c in registry.columns], *[F.col(c).alias(f"__raw_{c}") for c in registry.columns]),
+        allowlist,
+        registry,
+    )
+    hits = F.filter(
+        F.array(
+            *[
+                F.when(
+                    F.col(d.column) == registry.other_bucket,
+                    F.struct(F.lit(d.name).alias("dimension"), F.col(f"__raw_{d.column}").alias("value")),
+                )
+                for d in registry.dimensions
+            ]
+        ),
+        lambda hit: hit.isNotNull(),
+    )
     counted = (
-        long.join(allowlist.select("dimension", "value"), ["dimension", "value"], "left_anti")
-        .groupBy("dimension", "value")
+        guarded.select(F.explode(hits).alias("hit"))
+        .groupBy("hit.dimension", "hit.value")
         .agg(F.count("*").alias("spans"))
         .orderBy(F.desc("spans"), "dimension", "value")
     )

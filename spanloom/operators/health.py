@@ -48,8 +48,12 @@ def parse_metrics(lines: DataFrame) -> DataFrame:
 
 
 def partition_lag(high: DataFrame, committed: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """Messages not yet read per partition. Without a commit everything is outstanding."""
-    keys = [*by, "partition"]
+    """Messages not yet read per partition. Without a commit everything is outstanding.
+
+    Partition numbers repeat between topics and streams: where the offsets carry
+    ``query_id`` or ``topic``, those are part of the key.
+    """
+    keys = [*by, *[c for c in ("query_id", "topic") if c in high.columns], "partition"]
     position = F.greatest(F.coalesce(F.col("committed"), F.lit(0)), F.lit(0))
     return high.join(committed, keys, "left").select(
         *keys,

@@ -9,48 +9,37 @@ from pyspark.sql import functions as F
 
 from spanloom.functions import sketches as K
 from spanloom.functions.quantiles import with_quantiles
-from spanloom.functions.scalars import ingest_latency_s, instant, measured, minute_of
+from spanloom.functions.scalars import ingest_latency_s, instant, measured, minute_of, single_row
 
 # Messages of lag up to which the consumer counts as keeping up (fixed value).
 DRAINED_LAG = 500
 
 
-class BacklogError(RuntimeError):
-    """A latency measurement was asked for while a backlog drains."""
-
-
-def assert_drained(total_lag: int, threshold: int = DRAINED_LAG) -> None:
-    if total_lag > threshold:
-        raise BacklogError(
-            f"lag is {total_lag} messages (limit {threshold}): latency measured now "
-            "would describe the backlog"
-        )
-
-
 def latency_stats(
     spans: DataFrame,
+    lag: DataFrame | None,
     start: datetime | None = None,
     end: datetime | None = None,
-    total_lag: int | None = None,
-    require_drained: bool = True,
-    time_column: str = "ts",
     exact: bool = True,
 ) -> DataFrame:
     """Seconds from span end to arrival: count, mean, three quantiles and maximum.
 
-    The window is always on event time. Selecting by arrival would pick just the
-    rows that waited in a backlog, so any other time column is refused.
+    The window is on event time: rows picked by arrival would be those that waited. While a
+    backlog drains, latency describes the backlog, so the plan reads ``lag`` (a row with
+    ``total_lag``, as ``consumer_lag`` gives) and fails on more than ``DRAINED_LAG`` messages
+    or without a row. ``None`` measures whatever the lag is.
     """
-    if time_column != "ts":
-        raise ValueError(f"latency windows are on event time (ts), not {time_column}")
-    if require_drained and total_lag is not None:
-        assert_drained(total_lag)
     if start is not None:
         spans = spans.filter(F.col("ts") >= instant(start))
     if end is not None:
         spans = spans.filter(F.col("ts") < instant(end))
     latency = ingest_latency_s()
     timed = spans.select(latency.alias("s"))
+    if lag is not None:
+        waiting = single_row(lag.agg(F.max("total_lag").alias("n")))["n"]
+        told = F.concat(F.lit("latency asked for with a lag of "), F.coalesce(waiting.cast("string"), F.lit("unknown size")))
+        drained = F.coalesce(waiting <= DRAINED_LAG, F.lit(False))
+        timed = timed.select(F.when(drained, F.col("s")).otherwise(F.raise_error(told)).alias("s"))
     names = {"p50_s": 0.5, "p95_s": 0.95, "p99_s": 0.99}
     figures = [F.count("*").alias("n"), F.avg("s").alias("avg_s"), F.max("s").alias("max_s")]
     order = ["n", "avg_s", *names, "max_s"]

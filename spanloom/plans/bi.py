@@ -30,7 +30,8 @@ def relabel(lake: DataFrame) -> DataFrame:
         F.col("output_tokens").cast("bigint").alias("output_tokens"),
         F.when(model != TOOL_LABEL, F.col("ttft_ms").cast("double")).alias("ttft_ms"),
         (F.col("input_tokens") + F.col("output_tokens")).cast("bigint").alias("tokens"),
-        F.to_date("ts").alias("date"),
+        # The lake's partition column, so that the date slicer prunes folders.
+        (F.col("dt") if "dt" in lake.columns else F.to_date("ts")).alias("date"),
     )
 
 

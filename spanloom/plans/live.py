@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.scalars import instant, single_row
+from spanloom.operators.health import dropped, latest_sample
 from spanloom.operators.rollup import MINUTE
 from spanloom.registry import Registry
 
@@ -17,17 +18,36 @@ RATE_WINDOW_S = 60
 RATE_LAG_S = 10
 
 
-def headline(spans: DataFrame, states: DataFrame, as_of: datetime | Column) -> DataFrame:
-    """Total spans, current rate and rollup rows."""
+def headline(
+    spans: DataFrame, states: DataFrame, as_of: datetime | Column, health: DataFrame | None = None
+) -> DataFrame:
+    """Total spans, current rate, rollup rows, lag and dropped spans.
+
+    The total comes from the minute states, the rate from the raw spans of its minute
+    alone. Lag and drops are null while no health sample exists.
+    """
     end = instant(as_of) - F.expr(f"INTERVAL {RATE_LAG_S} SECONDS")
     start = instant(as_of) - F.expr(f"INTERVAL {RATE_WINDOW_S + RATE_LAG_S} SECONDS")
-    recent = F.count_if((F.col("ts") >= start) & (F.col("ts") < end))
-    raw = spans.agg(
-        F.count("*").alias("total_spans"),
-        F.round(recent / RATE_WINDOW_S).cast("bigint").alias("spans_per_sec"),
+    recent = spans.filter((F.col("ts") >= start) & (F.col("ts") < end))
+    if "dt" in spans.columns:
+        recent = recent.filter((F.col("dt") >= F.to_date(start)) & (F.col("dt") <= F.to_date(end)))
+    rate = single_row(recent.agg(F.count("*").alias("n")))
+    rolled = states.agg(
+        F.coalesce(F.sum("spans"), F.lit(0)).alias("total_spans"), F.count("*").alias("rollup_rows")
+    )
+    unknown = F.lit(None).cast("bigint")
+    lag, lost = unknown, unknown
+    if health is not None:
+        sample = latest_sample(health).select("total_lag", dropped().alias("dropped"))
+        newest = single_row(sample.agg(F.max("total_lag").alias("lag"), F.max("dropped").alias("dropped")))
+        lag, lost = newest["lag"], newest["dropped"]
+    return rolled.select(
+        "total_spans",
+        F.round(rate["n"] / RATE_WINDOW_S).cast("bigint").alias("spans_per_sec"),
+        "rollup_rows",
+        lag.alias("lag"),
+        lost.alias("dropped_spans"),
     )
-    rolled = single_row(states.agg(F.count("*").alias("rows")))
-    return raw.select("*", rolled["rows"].alias("rollup_rows"))
 
 
 def spans_per_minute(states: DataFrame, as_of: datetime | Column, minutes: int = 15) -> DataFrame:

@@ -25,12 +25,12 @@ STRING_ATTRIBUTES = {
     "error.type": "error_type",
 }
 
-# Wire attribute -> (promoted column, largest accepted value).
+# Wire attribute -> (promoted column, largest value its type holds).
 COUNT_ATTRIBUTES = {
-    "gen_ai.usage.input_tokens": ("input_tokens", 4294967295),
-    "gen_ai.usage.output_tokens": ("output_tokens", 4294967295),
-    "llm.cached_prompt_tokens": ("cached_prompt_tokens", 4294967295),
-    "llm.batch_size": ("batch_size", 65535),
+    "gen_ai.usage.input_tokens": ("input_tokens", 2**63 - 1),
+    "gen_ai.usage.output_tokens": ("output_tokens", 2**63 - 1),
+    "llm.cached_prompt_tokens": ("cached_prompt_tokens", 2**63 - 1),
+    "llm.batch_size": ("batch_size", 2**31 - 1),
 }
 
 # Wire attribute -> promoted float column.
@@ -46,8 +46,6 @@ SERVICE_ATTRIBUTE = "service.name"
 # Ordinal of the span kind on the wire; anything else is "unspecified".
 SPAN_KINDS = {1: "internal", 2: "server", 3: "client", 4: "producer", 5: "consumer"}
 
-MAX_DEAD_LETTER_CHARS = 4096
-
 # --- tables -------------------------------------------------------------------
 
 DIMENSION_COLUMNS = (

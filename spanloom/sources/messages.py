@@ -18,11 +18,13 @@ def read_kafka(
     topic: str = TOPIC,
     max_offsets: int = MAX_OFFSETS_PER_BATCH,
     min_partitions: int | None = None,
+    fail_on_data_loss: bool = True,
     **options: str,
 ) -> DataFrame:
     """Stream a topic. Needs the Kafka connector on the class path.
 
-    ``min_partitions`` splits a hot topic partition over several tasks.
+    ``min_partitions`` splits a hot topic partition over several tasks. Offsets that
+    aged out before they were read stop the stream, unless ``fail_on_data_loss`` is off.
     """
     reader = (
         spark.readStream.format("kafka")
@@ -30,7 +32,7 @@ def read_kafka(
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
         .option("maxOffsetsPerTrigger", str(max_offsets))
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", str(fail_on_data_loss).lower())
     )
     if min_partitions:
         reader = reader.option("minPartitions", str(min_partitions))

@@ -28,6 +28,7 @@ from spanloom.session import literal_rows
 from spanloom.sources import files
 
 _SNAPSHOT = "snapshot-"
+_COMPACTION = "dt date, write_id string, replaced array<string>, revoked boolean"
 
 
 def _states_schema(time_column: str) -> T.StructType:
@@ -76,8 +77,14 @@ class TableStore:
     # --- rows -----------------------------------------------------------------
 
     def write(self, df: DataFrame, table: str, write_id: str) -> None:
-        """Write rows under an id, replacing what that id wrote to the same days before."""
+        """Write rows under an id, replacing what that id wrote to the same days before.
+
+        Where a snapshot holds the earlier rows of that id, the snapshot is withdrawn
+        once the new rows are there, and the writes it was made of count again. After
+        ``vacuum`` has deleted those, the id cannot be written any more.
+        """
         schema, time_column, order = TABLES[table]
+        withdrawn = self.snapshots_of(table, write_id)
         ready = df.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema],
             F.to_date(time_column).alias("dt"),
@@ -97,6 +104,35 @@ class TableStore:
             for column in ("trace_id", "request_id"):
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(self.path(table))
+        if withdrawn:
+            rows = [(day, snapshot, None, True) for day, snapshot in withdrawn]
+            log = self.spark.createDataFrame(rows, _COMPACTION)
+            log.coalesce(1).write.mode("append").parquet(self._log_path(table))
+
+    def snapshots_of(self, table: str, write_id: str) -> list[tuple[date, str]]:
+        """Snapshots in force that hold rows of a write, directly or through other snapshots."""
+        log = self._log(table)
+        if log is None:
+            return []
+        # One row for each compaction of a day in which the id, or a snapshot of it, took part.
+        days = log.filter(F.array_contains("replaced", write_id)).select("dt").distinct()
+        entries = log.join(days, "dt", "left_semi").collect()
+        revoked = {(e["dt"], e["write_id"]) for e in entries if e["revoked"]}
+        live = [e for e in entries if not e["revoked"] and (e["dt"], e["write_id"]) not in revoked]
+        found: list = []
+        names = {write_id}
+        while fresh := [e for e in live if e not in found and names & set(e["replaced"])]:
+            found += fresh
+            names |= {e["write_id"] for e in fresh}
+        for e in found:
+            folder = f"{self.path(table)}/dt={e['dt'].isoformat()}"
+            gone = set(e["replaced"]) - {d.split("=", 1)[1] for d in files.list_dirs(self.spark, folder)}
+            if gone:
+                raise ValueError(
+                    f"{write_id} of {table} is part of {e['write_id']} on {e['dt']}, whose sources "
+                    "were vacuumed; it cannot be written again"
+                )
+        return [(e["dt"], e["write_id"]) for e in found]
 
     def read(
         self,
@@ -145,9 +181,13 @@ class TableStore:
         path = self._log_path(table)
         if not files.has_data(self.spark, path):
             return None
-        return self.spark.read.schema(
-            "dt date, write_id string, replaced array<string>"
-        ).parquet(path)
+        return self.spark.read.schema(_COMPACTION).parquet(path)
+
+    def _in_force(self, log: DataFrame) -> DataFrame:
+        """Compactions that were not withdrawn."""
+        revoked = F.coalesce("revoked", F.lit(False))
+        withdrawn = log.filter(revoked).select("dt", "write_id").distinct()
+        return log.filter(~revoked).join(withdrawn, ["dt", "write_id"], "left_anti")
 
     def _visible(self, df: DataFrame, table: str) -> DataFrame:
         """Leave out replaced writes and snapshots that were never published.
@@ -158,6 +198,7 @@ class TableStore:
         log = self._log(table)
         if log is None:
             return df.filter(~F.col("write_id").startswith(_SNAPSHOT))
+        log = self._in_force(log)
         published = log.select("dt", "write_id").distinct()
         replaced = log.select("dt", F.explode("replaced").alias("write_id")).distinct()
         marks = published.withColumn("state", F.lit(1)).unionByName(
@@ -197,7 +238,7 @@ class TableStore:
             rows = merge_states(rows, [time_column, *DIMENSION_COLUMNS])
         self.write(rows, table, snapshot)
         log = self.spark.createDataFrame(
-            [(day, snapshot, live)], "dt date, write_id string, replaced array<string>"
+            [(day, snapshot, live, False)], _COMPACTION
         )
         log.coalesce(1).write.mode("append").parquet(self._log_path(table))
         return snapshot
@@ -207,7 +248,8 @@ class TableStore:
         log = self._log(table)
         if log is None:
             return 0
-        gone = log.select("dt", F.explode("replaced").alias("w")).distinct().toLocalIterator()
+        replaced = self._in_force(log).select("dt", F.explode("replaced").alias("w")).distinct()
+        gone = replaced.toLocalIterator()
         return sum(
             files.delete(self.spark, f"{self.path(table)}/dt={row['dt']}/write_id={row['w']}")
             for row in gone
@@ -215,13 +257,25 @@ class TableStore:
 
     # --- retention ------------------------------------------------------------
 
-    def expire(self, table: str, as_of: datetime, ttl: timedelta | None = None) -> list[str]:
+    def expire(
+        self,
+        table: str,
+        as_of: datetime,
+        ttl: timedelta | None = None,
+        exported_until: datetime | None = None,
+        force: bool = False,
+    ) -> list[str]:
         """Delete the days that lie wholly past retention; returns their folders.
 
         The day in which retention ends stays on disk; ``read`` with ``as_of``
-        filters its expired rows.
+        filters its expired rows. Raw spans go no further than ``exported_until``,
+        the lake's watermark: a stalled export keeps its days. ``force`` overrides it.
         """
         cutoff = (as_of - (ttl or RETENTION[table])).date()
+        if table == "spans_raw" and not force:
+            if exported_until is None:
+                raise ValueError("expiring raw spans needs the lake's watermark, or force")
+            cutoff = min(cutoff, exported_until.date())
         expired = [
             d
             for d in files.list_dirs(self.spark, self.path(table))

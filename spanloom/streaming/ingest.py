@@ -37,15 +37,26 @@ def _write_states(
         minute.unpersist()
 
 
+def _stream_id(batch: DataFrame) -> str:
+    """Identity of the stream a micro-batch belongs to; it lives in the stream's checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 def ingest_batch(
-    messages: DataFrame, batch_id: int, store: TableStore, registry: Registry
+    messages: DataFrame,
+    batch_id: int,
+    store: TableStore,
+    registry: Registry,
+    stream_id: str = "manual",
 ) -> None:
-    """Process one block of messages; running it again with the same id changes nothing.
+    """Process one block of messages; running it again with the same ids changes nothing.
+
+    Batch numbers start at 0 in every stream, so a write is named by both.
 
     The tables are written side by side, so that the tail of one write does not
     leave the cluster idle. The batch fails if any of them does.
     """
-    write_id = f"batch-{batch_id:012d}"
+    write_id = f"batch-{stream_id}-{batch_id:012d}"
     arrived = datetime.now(UTC)
     # Read for each of the tables. Lost blocks are decoded again from the source.
     decoded = decode_messages(messages, arrived).persist(StorageLevel.MEMORY_AND_DISK)
@@ -79,7 +90,9 @@ def start_ingest(
     """
     return (
         messages.writeStream.queryName("span_ingest")
-        .foreachBatch(lambda batch, batch_id: ingest_batch(batch, batch_id, store, registry))
+        .foreachBatch(
+            lambda batch, n: ingest_batch(batch, n, store, registry, _stream_id(batch))
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
         .start()
@@ -100,8 +113,9 @@ def windowed_states(
 ) -> DataFrame:
     """Minute states kept in streaming state and emitted when a minute closes.
 
-    Gives one row per key and minute, at the price of a delay and of dropping
-    spans later than the watermark. The stateless chain is the default.
+    Gives one row per key and minute, at the price of a delay; spans later than the
+    watermark are not in it, nor are minutes still open. ``complete_windows`` adds
+    both from the raw spans. The stateless chain is the default.
     """
     marked = spans.withWatermark("ts", delay).withColumn(
         "__failed", F.col("status_class") != "ok"
@@ -112,3 +126,25 @@ def windowed_states(
     )
     rest = [c for c in states.columns if c != "w"]
     return states.select(F.col("w.start").alias(MINUTE), *rest)
+
+
+def complete_windows(
+    closed: DataFrame, spans: DataFrame, allowlist: DataFrame, registry: Registry
+) -> DataFrame:
+    """Closed minutes, with those computed afresh whose span count differs from the raw spans.
+
+    That covers minutes a watermark has not closed yet and minutes that lost late spans.
+    """
+    held = closed.groupBy(MINUTE).agg(F.sum("spans").alias("__held"))
+    due = spans.groupBy(F.date_trunc("minute", "ts").alias(MINUTE)).agg(
+        F.count("*").alias("__due")
+    )
+    stale = (
+        due.join(held, MINUTE, "left")
+        .filter(~F.col("__due").eqNullSafe(F.col("__held")))
+        .select(MINUTE)
+    )
+    minute = F.date_trunc("minute", "ts")
+    again = spans.withColumn(MINUTE, minute).join(stale, MINUTE, "left_semi").drop(MINUTE)
+    fresh = rollup_1m(again, allowlist, registry)
+    return closed.join(stale, MINUTE, "left_anti").unionByName(fresh.select(*closed.columns))

@@ -2,34 +2,40 @@
 
 from __future__ import annotations
 
+import re
+from datetime import UTC, date, datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from spanloom.functions.scalars import instant, utc_text
 from spanloom.operators.health import consumer_lag, health_rows, parse_metrics
 from spanloom.sources import files
-from spanloom.sources.metrics import progress_offsets
+from spanloom.sources.metrics import progress_offsets, read_metrics_dumps
 from spanloom.sources.tables import TableStore
 
 
 class ProgressLog(StreamingQueryListener):
     """Keeps the progress events of all streams as small files in a shared folder.
 
-    One file per event and query, so one per trigger; the names of older events
-    come around again after ``kept`` batches.
+    One file per event and query, so one per trigger, in a folder for each day. No
+    event is ever overwritten; ``expire_progress`` deletes whole days.
     """
 
-    def __init__(self, spark: SparkSession, folder: str, kept: int = 50_000) -> None:
+    def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
-        self.kept = kept
 
     def onQueryStarted(self, event) -> None:  # noqa: N802
         pass
 
     def onQueryProgress(self, event) -> None:  # noqa: N802
         progress = event.progress
-        name = f"{progress.id}-{progress.batchId % self.kept:08d}.json"
+        # The same batch number comes again with every progress event of an idle stream.
+        stamp = re.sub("[^0-9TZ]", "", progress.timestamp)
+        day = progress.timestamp[:10]
+        name = f"dt={day}/{progress.id}-{progress.batchId:012d}-{stamp}.json"
         line = " ".join(progress.json.splitlines())
         files.write_text(self.spark, f"{self.folder}/{name}", line + "\n")
 
@@ -42,7 +48,8 @@ class ProgressLog(StreamingQueryListener):
 
 def lag_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Lag per progress event: ``(sampled_at, total_lag, max_partition_lag, partitions)``."""
-    high, committed = progress_offsets(spark.read.text(folder))
+    events = spark.read.option("recursiveFileLookup", "true").text(folder)
+    high, committed = progress_offsets(events)
     return consumer_lag(high, committed, by=("sampled_at",))
 
 
@@ -70,3 +77,61 @@ def record_health(
         *[c for c in counters.columns if c != "scrape"],
     ).filter(F.col("sampled_at").isNotNull())
     store.write(health_rows(per_minute(lag), per_minute(counters)), "health", write_id)
+
+
+def expire_progress(spark: SparkSession, folder: str, as_of: datetime, ttl: timedelta) -> list[str]:
+    """Delete the days of progress events that lie wholly past ``ttl``."""
+    cutoff = (as_of - ttl).date()
+    gone = [
+        d
+        for d in files.list_dirs(spark, folder)
+        if d.startswith("dt=") and date.fromisoformat(d[3:]) < cutoff
+    ]
+    for d in gone:
+        files.delete(spark, f"{folder.rstrip('/')}/{d}")
+    return gone
+
+
+def health_pass(
+    store: TableStore, lag: DataFrame, metrics_lines: DataFrame, until: datetime
+) -> tuple[datetime | None, datetime]:
+    """Add the samples between the newest one recorded and ``until`` to the health table.
+
+    The write is named by its range, so a pass that failed half-way and runs again
+    replaces its own rows. Returns the range.
+    """
+    newest = store.read("health").agg(utc_text(F.max("sampled_at")).alias("t")).first()["t"]
+    since = datetime.fromisoformat(newest) if newest else None
+    due = F.col("sampled_at") < instant(until)
+    if since is not None:
+        due = due & (F.date_trunc("minute", "sampled_at") > instant(since))
+    scraped = metrics_lines.withColumn("sampled_at", F.col("scrape").try_cast("timestamp"))
+    write_id = f"health-{since:%Y%m%dT%H%M%S}" if since else "health-first"
+    record_health(
+        store, lag.filter(due), scraped.filter(due).drop("sampled_at"), f"{write_id}-{until:%Y%m%dT%H%M%S}"
+    )
+    return since, until
+
+
+def start_health_job(
+    store: TableStore, progress_folder: str, metrics_folder: str, checkpoint: str, every: str = "1 minute"
+) -> StreamingQuery:
+    """Sample health on a trigger: new progress events and new scrapes become health rows."""
+    spark = store.spark
+
+    def sample(_: DataFrame, __: int) -> None:
+        now = datetime.now(UTC).replace(tzinfo=None, second=0, microsecond=0)
+        lines = read_metrics_dumps(spark, metrics_folder).withColumn(
+            # A dump is named by its time.
+            "scrape", F.regexp_replace(F.regexp_replace("scrape", r"\.[a-z]+$", ""), "_", ":")
+        )
+        health_pass(store, lag_samples(spark, progress_folder), lines, now)
+
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", "1").load()
+    return (
+        ticks.writeStream.queryName("health_samples")
+        .foreachBatch(sample)
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start()
+    )

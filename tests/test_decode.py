@@ -216,7 +216,7 @@ def test_dead_letters(spark):
         "not a JSON object",
         "malformed JSON",
     }
-    assert max(len(r["raw_message"]) for r in rows) == 4096
+    assert max(len(r["raw_message"]) for r in rows) == 9001
     assert {r["offset"] for r in rows} == set(range(3, 11))
     assert decode_spans(messages, NOW).count() == 1
 

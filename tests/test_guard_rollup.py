@@ -100,12 +100,16 @@ def test_no_measure_gives_null_not_an_error(spark, tables):
 
 @pytest.mark.parametrize("p", [0.5, 0.95, 0.99])
 def test_quantile_sketch_error(spark, p):
-    """Log-normal values, far more than a sketch keeps: under 1 % off at the default size."""
+    """Log-normal values, far more than a sketch keeps: its rank is at most half a percent off.
+
+    A KLL sketch bounds the rank error: 0.24 % at this size in 99 of 100 runs.
+    """
     rng = random.Random(11)
     rows = [(rng.lognormvariate(4, 0.8),) for _ in range(60_000)]
     df = spark.createDataFrame(rows, "v double").repartition(8)
     row = sketch_accuracy(df.withColumn("g", F.lit(1)), ["g"], "v", p).first()
-    assert row["relative_error"] < 0.01
+    below = sum(v < row["sketched"] for (v,) in rows) / len(rows)
+    assert abs(below - p) < 0.005
 
 
 def test_distinct_sketch_error(spark):

@@ -69,18 +69,26 @@ def test_latest_sample_panels(spark, tables):
     assert dashboards.current_lag(tables.health.limit(0)).count() == 0
 
 
-def test_latency_refuses_arrival_windows_and_backlogs(spark, tables):
-    with pytest.raises(ValueError, match="event time"):
-        quality.latency_stats(tables.spans, time_column="ingested_at")
-    with pytest.raises(quality.BacklogError):
-        quality.latency_stats(tables.spans, total_lag=501)
-    quality.latency_stats(tables.spans, total_lag=500)
-    quality.latency_stats(tables.spans, total_lag=10**6, require_drained=False)
+def test_latency_refuses_backlogs(spark, tables):
+    def lag(n):
+        return spark.createDataFrame([(n,)], "total_lag long")
+
+    for refused in (lag(501), lag(500).limit(0)):
+        with pytest.raises(Exception, match="latency asked for with a lag"):
+            quality.latency_stats(tables.spans, refused).collect()
+    drained = quality.latency_stats(tables.spans, lag(500)).first()
+    assert drained == quality.latency_stats(tables.spans, None).first()
+
+
+def test_lag_counts_topics_and_streams_apart(spark):
+    high = spark.createDataFrame([("a", 0, 100), ("b", 0, 60)], "topic string, partition int, high long")
+    read = spark.createDataFrame([("a", 0, 50), ("b", 0, 55)], "topic string, partition int, committed long")
+    assert tuple(health.consumer_lag(high, read).first()) == (55, 50, 2)
 
 
 def test_latency_excludes_the_span_itself(spark, tables):
-    exact = quality.latency_stats(tables.spans).first()
-    sketched = quality.latency_stats(tables.spans, exact=False).first()
+    exact = quality.latency_stats(tables.spans, None).first()
+    sketched = quality.latency_stats(tables.spans, None, exact=False).first()
     assert exact["n"] == sketched["n"] == tables.spans.count()
     # Arrival was set to span end plus a whole number of seconds up to nine.
     assert 0 <= exact["p50_s"] <= 9.001 and exact["max_s"] == pytest.approx(9.0, abs=0.002)

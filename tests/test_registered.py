@@ -9,19 +9,23 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from registered import oracles as registered_oracles
+from registered import queries as registered_queries
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages "
     "benchmark labels conversations"
 ).split()
-QUERIES, ORACLES = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLES = registered_queries.queries(), registered_oracles.oracle_sql()
 QUICK = (
     "s01_message_stream s14_metrics_text s15_offset_lag b05_decoded_spans b02_attribute_map "
     "d01_cardinality_guard d02_unregistered_values e11_exact_quantiles e21_nearest_rank "
     "g02_hour_rollup g10_cardinality_status g12_latency_stats g15_duplication w01_dedup "
     "w03_sort_check w08_peak_rate m09_run_grading q09_ttft_by_model q11_top_tenants_exact "
     "q19_dropped_per_sample q27_bucket_breakdown q31_tenant_shares q34_lake_model_latency "
-    "q37_report_top_tenants q43_rollup_agreement q44_user_sql"
+    "q37_report_top_tenants q43_rollup_agreement q44_user_sql q29_live_headline c01_message_split "
+    "c05_lagged_rate d01_repeated_allowlist d05_two_topics j01_two_streams j04_windowed_states "
+    "j11_health_samples m04_late_reexport m07_rewrite_after_compaction j07_dedup_stream"
 ).split()
 NAMES = sorted(ORACLES) if os.environ.get("SPANLOOM_ALL_QUERIES") else QUICK
 
@@ -51,6 +55,7 @@ def test_equals_sql(spark, engine, sf_dir, name):
 def test_every_query_is_covered():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"q02_traces", "q11_top_tenants", "q17_active_files"}
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
 def test_entry(spark):

@@ -10,7 +10,7 @@ from spanloom.operators.rollup import finalize
 from spanloom.sources.messages import load_messages, read_message_files
 from spanloom.sources.tables import TableStore
 from spanloom.streaming.ingest import ingest_batch, once_per_span, start_ingest, windowed_states
-from spanloom.streaming.monitor import ProgressLog, lag_samples, record_health
+from spanloom.streaming.monitor import ProgressLog, expire_progress, lag_samples, record_health
 
 NOW = datetime(2024, 2, 1)
 FIGURES = ("spans", "input_tokens", "output_tokens", "errors")
@@ -154,9 +154,37 @@ def test_compaction_keeps_totals_at_every_step(spark, tables, store):
     assert store.compact("spans_1m", day) is None
 
 
+def test_a_write_survives_being_compacted(spark, tables, store):
+    day = date(2024, 1, 7)
+    chat = F.col("operation") == "chat"
+    store.write(tables.minute.filter(chat), "spans_1m", "batch-0")
+    store.write(tables.minute.filter(~chat).limit(5), "spans_1m", "batch-1")
+    store.compact("spans_1m", day)
+    store.write(tables.minute.filter(F.to_date("ts_minute") == F.lit(day)).limit(3), "spans_1m", "batch-2")
+    store.compact("spans_1m", day)
+    store.write(tables.minute.filter(~chat), "spans_1m", "batch-1")
+    store.write(tables.minute.limit(0), "spans_1m", "batch-2")
+    kept = store.read("spans_1m").filter(F.col("write_id") != "batch-2")
+    assert totals(kept) == raw_totals(tables.spans)
+    assert store.compact("spans_1m", day)
+    store.vacuum("spans_1m")
+    with pytest.raises(ValueError, match="vacuumed"):
+        store.write(tables.minute.filter(~chat), "spans_1m", "batch-1")
+
+
+def test_backfill_over_live_rows_is_refused(spark, tables, store):
+    store.write(tables.minute, "spans_1m", "batch-0")
+    with pytest.raises(ValueError, match="already has rows"):
+        backfill(store, tables.registry, datetime(2024, 1, 5), datetime(2024, 1, 6))
+
+
 def test_retention(spark, tables, store):
     now = datetime(2024, 1, 20, 6)
-    deleted = store.expire("spans_raw", now)
+    with pytest.raises(ValueError, match="watermark"):
+        store.expire("spans_raw", now)
+    stalled = store.expire("spans_raw", now, exported_until=datetime(2024, 1, 2, 5))
+    assert stalled == ["dt=2024-01-01"]
+    deleted = stalled + store.expire("spans_raw", now, exported_until=now)
     assert deleted[-1] == "dt=2024-01-17" and len(deleted) == 17
     kept = store.read("spans_raw", as_of=now)
     expected = tables.spans.filter(F.col("ts") >= F.lit(now - timedelta(hours=48))).count()
@@ -189,7 +217,7 @@ def test_allowlist_versions(spark, tables, folder):
 def test_progress_events_become_lag(spark, folder):
     class Event:
         class progress:  # noqa: N801
-            id, batchId = "q", 3  # noqa: N815
+            id, batchId, timestamp = "q", 3, "2024-01-01T00:00:00.000Z"  # noqa: N815
             json = (
                 '{"timestamp": "2024-01-01T00:00:00.000Z", "batchId": 3, "numInputRows": 5,\n'
                 ' "sources": [{"endOffset": {"otel.spans": {"0": 10, "1": 4}},'
@@ -198,6 +226,7 @@ def test_progress_events_become_lag(spark, folder):
 
     log = ProgressLog(spark, folder + "/progress")
     log.onQueryProgress(Event)
+    assert expire_progress(spark, folder + "/progress", datetime(2024, 1, 3), timedelta(days=2)) == []
     (row,) = lag_samples(spark, folder + "/progress").collect()
     assert (row["total_lag"], row["max_partition_lag"], row["partitions"]) == (22, 15, 3)
 
