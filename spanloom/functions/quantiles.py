@@ -1,11 +1,11 @@
 """Exact quantiles without gathering a group.
 
-``percentile`` keeps every distinct value of a group in one task's memory and a
-window over a group sorts it in one task. Here equal values are first counted
-together, a histogram over order-preserving buckets finds the bucket that holds
-each wanted rank, and only the values of those buckets are ranked. A bucket is
-1/16384 of an octave wide, so it holds fewer than 720 different 32-bit floats,
-the type of every measure in the span schema.
+``percentile`` keeps every distinct value of a group in one task's memory and a window over
+a group sorts it in one task. Here equal values are first counted together. Then each wanted
+rank is located from coarse to fine: in its power of two, in one of 2**17 slices of that,
+and for 64-bit values in one of 2**17 slices of the slice. Only the values of the last
+slices are ranked. No window ever holds more rows than one step has slices (2**17), or than
+a last slice has different values: 64 floats or 2**18 doubles, whatever the group's size.
 """
 
 from __future__ import annotations
@@ -14,18 +14,29 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanloom.functions.scalars import single_row
 
-BUCKETS_PER_OCTAVE = 16384
-# Above the bucket of the smallest positive double, so that signs do not mix.
-_OFFSET = 1080 * BUCKETS_PER_OCTAVE
+SLICE_BITS = 17
+# Above the exponent of the smallest positive double, so that signs do not mix.
+_OFFSET = 1080
 
 
-def value_bucket(v: Column) -> Column:
-    """A whole number that never decreases as the value grows."""
-    size = F.floor(F.log2(F.abs(v)) * BUCKETS_PER_OCTAVE) + F.lit(_OFFSET)
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0)).cast("bigint")
+def value_slices(v: Column, levels: int) -> list[Column]:
+    """Whole numbers, coarse to fine, whose lexical order is the order of the values.
+
+    Powers of two and differences of near numbers are exact, so no value changes sides.
+    """
+    exponent = F.floor(F.log2(F.abs(v)))
+    sign = F.signum(v)
+    out = [F.when(v == 0, 0).otherwise(sign * (exponent + _OFFSET)).cast("bigint")]
+    rest = F.abs(v) / F.pow(F.lit(2.0), exponent) - 1
+    for _ in range(levels):
+        scaled = rest * float(1 << SLICE_BITS)
+        out.append(F.when(v == 0, 0).otherwise(sign * F.floor(scaled)).cast("bigint"))
+        rest = scaled - F.floor(scaled)
+    return out
 
 
 def _ranks(p: float, n: Column, method: str) -> list[Column]:
@@ -59,61 +70,66 @@ def exact_quantiles(
     names = list(by)
     keys = [f"__k{i}" for i in range(len(names))]
     source = df.select(*[F.col(c).alias(k) for c, k in zip(names, keys)], value.alias("__v"))
+    levels = 1 if isinstance(source.schema["__v"].dataType, T.FloatType) else 2
+    digits = [f"__b{i}" for i in range(levels + 1)]
     # Adding 0.0 turns -0.0 into 0.0, which sorts the same as it does elsewhere.
     counted = (
         source.filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
         .select(*keys, (F.col("__v").cast("double") + F.lit(0.0)).alias("__v"))
         .groupBy(*keys, "__v")
         .agg(F.count("*").alias("__c"))
-        .withColumn("__b", value_bucket(F.col("__v")))
-    )
-    bucketed = counted.groupBy(*keys, "__b").agg(F.sum("__c").alias("__m"))
-    # A constant key keeps the ungrouped case in the same form.
-    over_group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    running = over_group.orderBy("__b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spread = bucketed.select(
-        *keys,
-        "__b",
-        (F.sum("__m").over(running) - F.col("__m")).alias("__lo"),
-        F.sum("__m").over(running).alias("__hi"),
-        F.sum("__m").over(over_group).alias("__n"),
+        .withColumns(dict(zip(digits, value_slices(F.col("__v"), levels))))
     )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), rank.alias("r"))
-            for i, p in enumerate(quantiles.values())
-            for side, rank in enumerate(_ranks(p, F.col("__n"), method))
-        ]
-    )
-    held = F.filter(
-        wanted, lambda w: (w["r"] >= F.col("__lo")) & (w["r"] < F.col("__hi"))
-    )
-    targets = (
-        spread.withColumn("__w", held)
-        .filter(F.size("__w") > 0)
-        .select(
-            *[F.col(k).alias(f"__t{k}") for k in [*keys, "__b"]], "__lo", "__n", "__w"
+
+    def wanted(n: Column) -> Column:
+        return F.array(
+            *[
+                F.struct(F.lit(i).alias("q"), F.lit(side).alias("side"), rank.alias("r"))
+                for i, p in enumerate(quantiles.values())
+                for side, rank in enumerate(_ranks(p, n, method))
+            ]
         )
-    )
-    # Null is a group of its own, as in any aggregate. The bucket, never null, is
-    # compared the same way: plain equality would add a null filter to one of the
-    # two uses of ``counted``, and its shuffle could not be reused for the other.
-    same = [F.col(k).eqNullSafe(F.col(f"__t{k}")) for k in [*keys, "__b"]]
-    if not keys:
-        # At most two rows for each quantile.
-        targets = F.broadcast(targets)
-    inside = Window.partitionBy(*keys, "__b").orderBy("__v")
+
+    def held(low: Column, count: Column) -> Column:
+        return F.filter("__w", lambda w: (w["r"] >= low) & (w["r"] < low + count))
+
+    def near(targets: DataFrame, at: list[str]) -> DataFrame:
+        """Counted values in the targets' slices. Null is a group of its own, as in any aggregate."""
+        right = targets.select(*[F.col(k).alias(f"__t{k}") for k in at], "__lo", "__n", "__w")
+        if not keys:
+            # At most two rows for each quantile.
+            right = F.broadcast(right)
+        return counted.join(right, [F.col(k).eqNullSafe(F.col(f"__t{k}")) for k in at])
+
+    targets = None
+    for depth, digit in enumerate(digits):
+        at = [*keys, *digits[:depth]]
+        if targets is None:
+            sums = counted.groupBy(*at, digit).agg(F.sum("__c").alias("__m"))
+            whole = Window.partitionBy(*at) if at else Window.partitionBy(F.lit(0))
+            sums = sums.withColumns({"__n": F.sum("__m").over(whole), "__lo": F.lit(0).cast("bigint")})
+            sums = sums.withColumn("__w", wanted(F.col("__n")))
+        else:
+            sums = near(targets, at).groupBy(*at, digit).agg(
+                F.sum("__c").alias("__m"),
+                *[F.first(c).alias(c) for c in ("__lo", "__n", "__w")],
+            )
+            whole = Window.partitionBy(*at)
+        before = whole.orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+        low = F.col("__lo") + F.coalesce(F.sum("__m").over(before), F.lit(0))
+        targets = (
+            sums.withColumn("__at", low)
+            .withColumn("__w", held(F.col("__at"), F.col("__m")))
+            .filter(F.size("__w") > 0)
+            .select(*at, digit, F.col("__at").alias("__lo"), "__n", "__w")
+        )
+    last = [*keys, *digits]
+    inside = Window.partitionBy(*last).orderBy("__v")
     inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (
-        counted.join(targets, same)
+        near(targets, last)
         .withColumn("__end", F.col("__lo") + F.sum("__c").over(inside))
-        .withColumn(
-            "__w",
-            F.filter(
-                "__w",
-                lambda w: (w["r"] >= F.col("__end") - F.col("__c")) & (w["r"] < F.col("__end")),
-            ),
-        )
+        .withColumn("__w", held(F.col("__end") - F.col("__c"), F.col("__c")))
         .filter(F.size("__w") > 0)
         .select(*keys, "__n", "__v", F.explode("__w").alias("__w"))
     )

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.functions.quantiles import exact_quantiles, value_bucket, with_quantiles
+from spanloom.functions.quantiles import SLICE_BITS, exact_quantiles, value_slices, with_quantiles
 
 PS = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
@@ -71,14 +71,22 @@ def test_buckets_never_decrease_and_stay_small(spark):
         [rng.uniform(-1, 1) * 10 ** rng.randint(-30, 30) for _ in range(3000)] + [0.0]
     )
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    rows = df.select("v", value_bucket(F.col("v")).alias("b")).orderBy("v").collect()
-    buckets = [r["b"] for r in rows]
-    assert buckets == sorted(buckets)
-    # Neighbouring 32-bit floats: fewer than 720 share a bucket.
-    start = np.float32(123.456)
-    floats = [float(np.nextafter(start, np.float32(1e9)))]
+    for levels in (1, 2):
+        rows = df.select("v", F.array(*value_slices(F.col("v"), levels)).alias("b")).orderBy("v").collect()
+        slices = [tuple(r["b"]) for r in rows]
+        assert slices == sorted(slices)
+        assert all(abs(d) <= 1 << SLICE_BITS for s in slices for d in s[1:])
+    # Neighbouring 32-bit floats: at most 64 share a slice.
+    floats = [np.float32(123.456)]
     for _ in range(4000):
-        floats.append(float(np.nextafter(np.float32(floats[-1]), np.float32(1e9))))
-    df = spark.createDataFrame([(v,) for v in floats], "v double")
-    sizes = df.groupBy(value_bucket(F.col("v")).alias("b")).count()
-    assert sizes.agg(F.max("count")).first()[0] < 720
+        floats.append(np.nextafter(floats[-1], np.float32(1e9)))
+    df = spark.createDataFrame([(float(v),) for v in floats], "v double")
+    sizes = df.groupBy(*value_slices(F.col("v"), 1)).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 64
+
+
+def test_a_million_neighbouring_doubles(spark):
+    step = 2.0**-52
+    df = spark.range(1_000_000).select((F.lit(1.0) + F.col("id") * step).alias("v"))
+    row = exact_quantiles(df, [], F.col("v"), {"a": 0.5, "b": 0.999}, "disc").first()
+    assert row["a"] == 1.0 + 499_999 * step and row["b"] == 1.0 + 998_999 * step
