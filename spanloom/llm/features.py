@@ -181,7 +181,7 @@ def _shared(bits: int) -> Callable:
     return run
 
 
-def _per_document(block_rows: pa.Table) -> pa.Table:
+def _per_document(block_rows: pa.Table, low_bits_only: bool) -> pa.Table:
     """Of one block: a row for each document with its shared features, rare ones first."""
     ids, ranks, features = [np.zeros(0, np.uint16)], [np.zeros(0, np.uint8)], [np.zeros(0, np.uint64)]
     for bucket, data in zip(block_rows.column("bucket").to_pylist(), block_rows.column("data")):
@@ -213,7 +213,9 @@ def _per_document(block_rows: pa.Table) -> pa.Table:
             "doc_id": pa.array(about[:docs], pa.int64(), mask=about[:docs] == -(2**63)),
             "size": pa.array(about[docs:], pa.int64()),
             "n_shared": pa.array([len(x) for x in lists], pa.int64()),
-            "shared": pa.array([x.tobytes() for x in lists], pa.binary()),
+            "shared": pa.array(
+                [(x.astype(np.uint32) if low_bits_only else x).tobytes() for x in lists], pa.binary()
+            ),
         }
     )
 
@@ -226,12 +228,14 @@ def shared_features(
     text: str = "text",
     bucket_bits: int | None = None,
     repeats_count: bool = False,
+    low_bits_only: bool = False,
 ) -> DataFrame:
     """(doc_id, size, n_shared, shared): a row for each document.
 
     ``shared`` packs the features that occur in another document too (or twice in one, if
     ``repeats_count``) as 8-byte integers, frequency class above the hash, sorted: rare
-    features first. ``size`` is what ``extract`` says of the document.
+    features first; with ``low_bits_only`` it has the hashes' low 32 bits alone. ``size`` is
+    what ``extract`` says of the document.
 
     A task holds one bucket, a 2**bucket_bits-th of all features; by default their number
     follows the bytes of text. Partitions must give their rows in the same order when they
@@ -245,5 +249,5 @@ def shared_features(
     )
     found = blocks.groupBy("bucket").applyInArrow(_shared(bucket_bits), "bucket int, block long, data binary")
     return found.groupBy("block").applyInArrow(
-        _per_document, "doc_id long, size long, n_shared long, shared binary"
+        lambda rows: _per_document(rows, low_bits_only), "doc_id long, size long, n_shared long, shared binary"
     )

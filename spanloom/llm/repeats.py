@@ -64,80 +64,105 @@ def _anchor_features(rule: Rule):
 
 
 def _strings(rule: Rule, shards: int):
-    """Rows (shard, places, strings) of the joined documents: runs of windows at shared anchors."""
+    """Rows (shard, places, lengths, body) of the joined documents: runs of windows at shared anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
             shared = batch.column("shared")
+            # Each distinct string of the batch goes out once, with the list of its places.
+            number: dict[bytes, int] = {}
+            shard_of: list[int] = []
+            string, doc, start = [], [], []
             for first, data, offsets in chunks(batch.column("text")):
-                rows = len(offsets) - 1
-                symbols = rule.read(data, offsets)
-                prefix = Prefix(symbols.values)
-                anchors = Anchors(prefix, symbols.offsets, rule.size, rule.gram)
-                least = anchors.least
-                if not len(least):
+                runs = _shared_runs(rule, data, offsets, shared.slice(first, len(offsets) - 1))
+                if runs is None:
                     continue
-                row_of = np.searchsorted(symbols.offsets, np.arange(len(least)), side="right") - 1
-                border = np.r_[True, (least[1:] != least[:-1]) | (row_of[1:] != row_of[:-1])]
-                begin = np.flatnonzero(border)
-                end = np.r_[begin[1:], len(least)]
-                value = least[begin]
-                held = value > 0
-                begin, end, value = begin[held], end[held], value[held]
-                row = row_of[begin]
-                feature = value >> np.uint64(ID_BITS)
-                known = [
-                    np.sort(np.frombuffer(shared[first + r].as_py(), np.uint64) & np.uint64((1 << 48) - 1))
-                    for r in range(rows)
-                ]
-                lists = np.concatenate(known)
-                owner = np.repeat(np.arange(rows), [len(k) for k in known])
-                # One search for all rows: the row above the feature.
-                table = (owner.astype(np.uint64) << np.uint64(48)) | lists
-                key = (row.astype(np.uint64) << np.uint64(48)) | feature
-                at = np.searchsorted(table, key)
-                held = np.zeros(len(key), dtype=bool)
-                inside = at < len(table)
-                held[inside] = table[at[inside]] == key[inside]
-                begin, end, row, feature = begin[held], end[held] - 1 + rule.size, row[held], feature[held]
-                if not len(begin):
-                    continue
-                # Each distinct string of the chunk once, named by its content's hash.
-                name = prefix.stretch(begin, end) ^ feature
-                _, one, which = np.unique(name, return_index=True, return_inverse=True)
-                low = begin if symbols.start is None else symbols.start[begin]
-                high = end if symbols.end is None else symbols.end[end - 1]
-                shard = (feature[one] % np.uint64(shards)).astype(np.int64)
+                low, high, row, begin, feature = runs
+                shard = (feature % np.uint64(shards)).astype(np.int64)
                 body = data.tobytes()
-                order = np.argsort(shard, kind="stable")
-                cuts = np.flatnonzero(np.r_[True, np.diff(shard[order]) > 0, True])
-                place = np.empty(len(one), dtype=np.int64)
-                place[order] = np.arange(len(one))
-                by_string = np.argsort(place[which], kind="stable")
-                sorted_place = place[which][by_string]
-                start = begin - symbols.offsets[row]
-                out = []
-                for a, b in zip(cuts, cuts[1:]):
-                    texts = [body[low[i] : high[i]] for i in one[order[a:b]]]
-                    x, y = np.searchsorted(sorted_place, [a, b])
-                    who = by_string[x:y]
-                    places = np.stack([sorted_place[x:y] - a, ids[first + row[who]], start[who]])
-                    lengths = np.array([len(t) for t in texts], dtype=np.int32)
-                    out.append(
-                        (int(shard[order[a]]), places.astype(np.int64).tobytes(), lengths.tobytes(), b"".join(texts))
-                    )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([o[0] for o in out], pa.int32()),
-                        *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)),
-                    ],
-                    names=["shard", "places", "lengths", "body"],
-                )
+                mine = []
+                for a, b, at in zip(low.tolist(), high.tolist(), shard.tolist()):
+                    n = number.setdefault(body[a:b], len(shard_of))
+                    if n == len(shard_of):
+                        shard_of.append(at)
+                    mine.append(n)
+                string.append(np.array(mine, dtype=np.int64))
+                doc.append(ids[first + row])
+                start.append(begin)
+            if not shard_of:
+                continue
+            string, doc, start = map(np.concatenate, (string, doc, start))
+            shard = np.array(shard_of)
+            order = np.argsort(shard, kind="stable")
+            rank = np.empty(len(order), dtype=np.int64)
+            rank[order] = np.arange(len(order))
+            by_rank = np.argsort(rank[string], kind="stable")
+            ranks = rank[string][by_rank]
+            texts = list(number)
+            cuts = np.flatnonzero(np.r_[True, np.diff(shard[order]) > 0, True])
+            out = []
+            for a, b in zip(cuts, cuts[1:]):
+                x, y = np.searchsorted(ranks, [a, b])
+                who = by_rank[x:y]
+                held = [texts[i] for i in order[a:b]]
+                places = np.concatenate([ranks[x:y] - a, doc[who], start[who]]).astype(np.int64)
+                lengths = np.array([len(t) for t in held], dtype=np.int32)
+                out.append((int(shard[order[a]]), _squeezed(places), _squeezed(lengths), _squeezed(b"".join(held))))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([o[0] for o in out], pa.int32()),
+                    *(pa.array([o[k] for o in out], pa.binary()) for k in (1, 2, 3)),
+                ],
+                names=["shard", "places", "lengths", "body"],
+            )
 
     return run
 
 
+def _squeezed(data: np.ndarray | bytes) -> bytes:
+    """Compressed, behind its length. Numbers go plane by plane."""
+    if isinstance(data, np.ndarray):
+        data = np.ascontiguousarray(data.view(np.uint8).reshape(len(data), -1).T).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _loose(data: bytes, kind: type | None = None) -> np.ndarray | bytes:
+    raw = pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    if kind is None:
+        return raw
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
+
+
+def _shared_runs(rule: Rule, data: np.ndarray, offsets: np.ndarray, shared: pa.Array) -> tuple | None:
+    """Runs of windows with one shared anchor: first and end byte, row, first symbol in it, feature."""
+    symbols = rule.read(data, offsets)
+    least = Anchors(Prefix(symbols.values), symbols.offsets, rule.size, rule.gram).least
+    if not len(least):
+        return None
+    rows = len(offsets) - 1
+    row_of = np.repeat(np.arange(rows), np.diff(symbols.offsets))[: len(least)]
+    border = np.r_[True, (least[1:] != least[:-1]) | (row_of[1:] != row_of[:-1])]
+    begin = np.flatnonzero(border)
+    end = np.r_[begin[1:], len(least)]
+    feature = least[begin] >> np.uint64(ID_BITS)
+    row = row_of[begin]
+    known = [np.frombuffer(s.as_py(), np.uint32) for s in shared]
+    owner = np.repeat(np.arange(rows), [len(k) for k in known])
+    # One search for all rows: the row above the feature's low bits.
+    table = np.sort((owner.astype(np.uint64) << np.uint64(32)) | np.concatenate(known))
+    key = (row.astype(np.uint64) << np.uint64(32)) | (feature & np.uint64(0xFFFFFFFF))
+    at = np.minimum(np.searchsorted(table, key), max(len(table) - 1, 0))
+    held = (least[begin] > 0) & (table[at] == key) if len(table) else np.zeros(len(key), bool)
+    begin, end, row, feature = begin[held], end[held] - 1 + rule.size, row[held], feature[held]
+    if not len(begin):
+        return None
+    low = begin if symbols.start is None else symbols.start[begin]
+    high = end if symbols.end is None else symbols.end[end - 1]
+    return low, high, row, begin - symbols.offsets[row], feature
+
+
 def _resolve(rule: Rule):
     """Of one shard: (doc_id, lo, hi), the symbols covered by windows that start earlier elsewhere."""
 
@@ -146,7 +171,7 @@ def _resolve(rule: Rule):
         texts: list[bytes] = []
         which, docs, starts = [], [], []
         for places, lengths, body in zip(*(table.column(c).to_pylist() for c in ("places", "lengths", "body"))):
-            sizes = np.frombuffer(lengths, dtype=np.int32)
+            sizes, body = _loose(lengths, np.int32), _loose(body)
             edges = np.r_[0, np.cumsum(sizes)]
             mine = np.empty(len(sizes), dtype=np.int64)
             for i in range(len(sizes)):
@@ -155,7 +180,7 @@ def _resolve(rule: Rule):
                 if at == len(texts):
                     texts.append(text)
                 mine[i] = at
-            local, doc, start = np.frombuffer(places, dtype=np.int64).reshape(3, -1)
+            local, doc, start = _loose(places, np.int64).reshape(3, -1)
             which.append(mine[local])
             docs.append(doc)
             starts.append(start)
@@ -283,12 +308,14 @@ def window_places(lengths: np.ndarray, begin: np.ndarray, least: np.ndarray, siz
 
 def covered(docs: DataFrame, rule: Rule, *, doc_id: str, text: str, bucket_bits: int | None) -> DataFrame:
     """(doc_id, spans): the covered stretches of each document that has any, in symbols, unmerged."""
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where(
-        "doc_id is not null"
-    )
+    source = plain(docs, doc_id, text)
     weight = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     found = shared_features(
-        source, _anchor_features(rule), bucket_bits=bucket_bits or bucket_bits_for(weight), repeats_count=rule.within
+        source,
+        _anchor_features(rule),
+        bucket_bits=bucket_bits or bucket_bits_for(weight),
+        repeats_count=rule.within,
+        low_bits_only=True,
     ).where("n_shared > 0")
     shards = max(8, weight // (SHARD_SYMBOLS * rule.bytes_of_symbol))
     both = source.join(found.select("doc_id", "shared"), "doc_id")
@@ -297,6 +324,17 @@ def covered(docs: DataFrame, rule: Rule, *, doc_id: str, text: str, bucket_bits:
     return spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 
 
+def plain(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Ids and texts. Both joins with the texts start from this, so Spark shuffles them once.
+
+    The id goes through an expression that changes nothing: Spark renames a plain column on
+    one side of such a plan, and would not see that the two shuffles are the same.
+    """
+    same = F.bitwise_not(F.bitwise_not(F.col(doc_id).cast("long")))
+    rows = docs.where(F.col(doc_id).isNotNull()).select(same.alias("doc_id"), F.col(text).cast("binary").alias("text"))
+    return rows.where("doc_id is not null")  # the join would add this filter on one side only
+
+
 def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sorted spans joined where they overlap or touch."""
     if not len(lo):
@@ -309,10 +347,13 @@ def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def cut_texts(docs: DataFrame, spans: DataFrame, cut: Callable, fields: str, *, doc_id: str, text: str) -> DataFrame:
     """``docs`` joined with its spans, and what ``cut(text bytes, lo, hi)`` makes of each row."""
-    both = docs.join(spans.withColumnRenamed("doc_id", "__id"), F.col(doc_id) == F.col("__id"), "left").select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("body"),
-        F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi"),
-    )
+    both = plain(docs, doc_id, text).join(spans, "doc_id", "left")
+    alone = docs.where(F.col(doc_id).isNull()).select(
+        F.lit(None).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"), F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
+    )
+    both = both.unionByName(alone).select(
+        "doc_id", F.col("text").alias("body"), F.col("spans.lo").alias("lo"), F.col("spans.hi").alias("hi")
+    )
     names = [f.strip().split(" ")[0] for f in fields.split(",")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
