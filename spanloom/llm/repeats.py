@@ -23,6 +23,7 @@ from spanloom.llm.features import ID_BITS, bucket_bits_for, shared_features
 from spanloom.llm.tokens import Anchors, Prefix, chunks
 
 SHARD_SYMBOLS = 1 << 20
+RUN_WINDOWS = 64
 LAST = np.iinfo(np.int64).max
 
 
@@ -145,6 +146,10 @@ def _shared_runs(rule: Rule, data: np.ndarray, offsets: np.ndarray, shared: pa.A
     row_of = np.repeat(np.arange(rows), np.diff(symbols.offsets))[: len(least)]
     border = np.r_[True, (least[1:] != least[:-1]) | (row_of[1:] != row_of[:-1])]
     begin = np.flatnonzero(border)
+    # Periodic text keeps one anchor for long; its runs are cut, so that strings stay short.
+    pieces = -(-np.diff(np.r_[begin, len(least)]) // RUN_WINDOWS)
+    inner = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin = np.repeat(begin, pieces) + inner * RUN_WINDOWS
     end = np.r_[begin[1:], len(least)]
     feature = least[begin] >> np.uint64(ID_BITS)
     row = row_of[begin]

@@ -52,18 +52,40 @@ class RunIndex:
         lengths = self.end - self.begin + 1
         # Rows before the run's first, among rows that begin with its symbol, plus where those begin.
         self.before = np.cumsum(lengths) - lengths
+        self.total = np.r_[self.before, n]
+        # Of each symbol: its first run, and the last symbol's end.
+        self.first_run = np.searchsorted(self.key, np.arange(int(text.max()) + 2) * self.stride)
+        self.place = np.empty(len(starts), dtype=np.int64)
+        self.place[self.by] = np.arange(len(starts))
 
     def run_of(self, row: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.starts, row, side="right") - 1
+        """The run a row lies in, by symbol order."""
+        return self.place[np.searchsorted(self.starts, row, side="right") - 1]
+
+    def above(self, symbol: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The last run of each symbol that begins above a row, and whether there is one."""
+        run = np.searchsorted(self.key, symbol * self.stride + row, side="left") - 1
+        return run, run >= self.first_run[symbol]
 
     def step(self, symbol: np.ndarray, row: np.ndarray) -> np.ndarray:
         """Rows of smaller symbols, and of this symbol above ``row``: where the search goes on."""
-        run = np.searchsorted(self.key, symbol * self.stride + row, side="left") - 1
-        held = (run >= 0) & (self.key[np.maximum(run, 0)] >= symbol * self.stride)
+        run, held = self.above(symbol, row)
         inside = np.minimum(row - self.begin[run], self.end[run] - self.begin[run] + 1)
-        none = np.searchsorted(self.key, symbol * self.stride, side="left")
-        total = np.r_[self.before, self.before[-1:] + self.end[-1:] - self.begin[-1:] + 1]
-        return np.where(held, self.before[run] + inside, total[none])
+        return np.where(held, self.before[run] + inside, self.total[self.first_run[symbol]])
+
+
+    def narrow(self, symbol: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``step`` at both ends of intervals; most lie in one run, where one search does."""
+        run, held = self.above(symbol, lo)
+        first = self.total[self.first_run[symbol]]
+        length = self.end[run] - self.begin[run] + 1
+        low = np.where(held, self.before[run] + np.minimum(lo - self.begin[run], length), first)
+        high = np.where(held, self.before[run] + np.minimum(hi - self.begin[run], length), first)
+        after = run + 1
+        more = (after < self.first_run[symbol + 1]) & (self.begin[np.minimum(after, len(self.key) - 1)] < hi)
+        more = np.flatnonzero(more)
+        high[more] = self.step(symbol[more], hi[more])
+        return low, high
 
 
 def earliest_places(values: np.ndarray, lengths: np.ndarray, least: np.ndarray, moving: int) -> np.ndarray:
@@ -73,54 +95,51 @@ def earliest_places(values: np.ndarray, lengths: np.ndarray, least: np.ndarray,
     n = len(text)
     order, new, shorter = repeats.depth_order(text, WINDOW, 256)
     place = repeats.window_places(lengths, begin, least, WINDOW, moving, n)
-    group = np.flatnonzero(new)
-    of_group = np.minimum.reduceat(place[order], group)
-    near = np.flatnonzero(shorter)
+    of_group = np.minimum.reduceat(place[order], np.flatnonzero(new))
+    group = np.cumsum(new) - 1
+    near = np.flatnonzero(shorter)[np.cumsum(shorter) - 1]
     index = RunIndex(text, order)
-    del order, place
+    del order, place, new, shorter
 
     windows = lengths - WINDOW + 1
     base = np.cumsum(windows) - windows
     out = np.empty(int(windows.sum()), dtype=np.int64)
     # All strings in step; the longest first, so that those at work stay in front.
     queue = np.argsort(-windows, kind="stable")
+    shrinking = -windows[queue]
     last = begin[queue] + lengths[queue] - 1
     lo, hi = np.zeros(len(queue), np.int64), np.full(len(queue), n, np.int64)
     for k in range(WINDOW):
         symbol = text[last - k]
-        lo, hi = index.step(symbol, lo), index.step(symbol, hi)
+        lo, hi = index.narrow(symbol, lo, hi)
+    if (hi <= lo).any():
+        raise AssertionError("a string of the index was not found in it")
     row = lo
-    left = windows[queue] - 1
-    out[base[queue] + left] = of_group[np.searchsorted(group, row, side="right") - 1]
+    out[base[queue] + windows[queue] - 1] = of_group[group[row]]
     for k in range(1, int(windows.max()) if len(windows) else 0):
-        busy = int(np.searchsorted(-windows[queue], -k, side="left"))
+        busy = int(np.searchsorted(shrinking, -k, side="left"))
         row = row[:busy]
         symbol = text[last[:busy] - (WINDOW - 1) - k]
-        g = np.searchsorted(near, row, side="right") - 1
-        low = near[g]
         run = index.run_of(row)
-        follow = index.symbol[run] == symbol
-        jump = np.flatnonzero(~follow)
-        at = np.zeros(0, dtype=np.int64)
+        jump = np.flatnonzero((run < index.first_run[symbol]) | (run >= index.first_run[symbol + 1]))
         if len(jump):
             # The last run of the symbol above the row if it ends within the group, else the next one.
             c, r = symbol[jump], row[jump]
-            above = np.searchsorted(index.key, c * index.stride + r, side="left") - 1
-            fits = (above >= 0) & (index.key[np.maximum(above, 0)] >= c * index.stride) & (index.end[above] >= low[jump])
-            chosen = np.where(fits, above, np.minimum(above + 1, len(index.key) - 1))
+            chosen, held = index.above(c, r)
+            fits = held & (index.end[chosen] >= near[r])
+            chosen = np.where(fits, chosen, chosen + 1)
             row = row.copy()
             row[jump] = np.where(fits, index.end[chosen], index.begin[chosen])
+            run[jump] = chosen
             sample = np.where(fits, index.last_at[index.by[chosen]], index.first_at[index.by[chosen]])
-            at = sample - 1
-        row = index.step(symbol, row)
-        mine = queue[:busy]
-        out[base[mine] + windows[mine] - 1 - k] = of_group[np.searchsorted(group, row, side="right") - 1]
-        if len(at):
             # The exact check: bytes of the sampled occurrence are the window's.
-            own = last[jump] - (WINDOW - 1) - k
+            at, own = sample - 1, last[jump] - (WINDOW - 1) - k
             for step in (0, GRAM, WINDOW - 1):
                 if (text[at + step] != text[own + step]).any():
                     raise AssertionError("a match of the run-length index differs from its window")
+        row = index.before[run] + row - index.begin[run]
+        mine = queue[:busy]
+        out[base[mine] + windows[mine] - 1 - k] = of_group[group[row]]
     return out
 
 

@@ -96,3 +96,6 @@ def test_run_index_step_counts_smaller_and_equal():
     symbol, row = rng.integers(0, 5, 300), rng.integers(0, len(text) + 1, 300)
     want = [int((bwt < s).sum() + (bwt[:r] == s).sum()) for s, r in zip(symbol, row)]
     assert index.step(symbol, row).tolist() == want
+    far = np.minimum(row + rng.integers(0, 60, 300), len(text))
+    low, high = index.narrow(symbol, row, far)
+    assert low.tolist() == want and high.tolist() == index.step(symbol, far).tolist()
