@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 HASH_BITS = 48
 BLOCK_DOCS = 1 << 14
-BLOCK_FEATURES = 4_000_000
+BLOCK_FEATURES = 2_000_000
 BUCKET_BYTES = 4 << 20
 ID_BITS = 16
 MANY = (1 << ID_BITS) - 1  # in place of a document: several of the block

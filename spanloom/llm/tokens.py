@@ -14,7 +14,7 @@ import pyarrow as pa
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(BASE), -1, 2**64))
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 TOP = np.uint64(2**64 - 1)
 _RANDOM = np.random.default_rng(20240607)
 BYTE_VALUE = _RANDOM.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
