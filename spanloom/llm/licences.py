@@ -1,12 +1,16 @@
 """Licence scan: Dice coefficient over word bigrams against a set of licence templates.
 
-A text is looked at whole, paragraph by paragraph and line by line. Words are runs of
-letters and digits, A-Z lower-cased; a segment is its set of word bigrams. A template is a
-match if ``2 |A & B| / (|A| + |B|)`` reaches the threshold. Before any comparison, a
-segment must hold enough bigrams of templates, and a template is only compared if its size
-lies within the bounds that the threshold allows: ``t/(2-t)`` to ``(2-t)/t`` of the segment's.
+Words are runs of letters and digits, A-Z lower-cased; a stretch of words is its set of word
+bigrams. A template is a match if ``2 |A & B| / (|A| + |B|)`` reaches the threshold for some
+stretch of a text: the text, a paragraph (between blank lines), a line, or any other window
+of consecutive words, so a licence inside a longer text or a longer line is found as well.
 
-The templates are a constant of the program, a few thousand bigrams, whatever the input.
+The best window is exact. It needs ``t/(2-t)`` of the template's bigrams, which few texts
+have at all; those are cut at gaps with more foreign bigrams than the threshold allows, and
+within each piece the best window is the greatest sum over distinct bigrams (``best_window``).
+
+The templates are a constant of the program, some ten thousand bigrams, whatever the input.
+The full legal texts among them are files in ``licence_texts``.
 
 Defined results: null and empty texts, and texts of one word, match nothing; a licence that
 occurs several times in a text is reported once, with its best segment (the higher score,
@@ -16,6 +20,8 @@ then the wider kind, then the earlier start); repeated rows are rows of their ow
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
+from importlib import resources
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.llm.tokens import ALNUM, FOLDED_VALUE, Words, chunks, mixed
+from spanloom.llm.tokens import ALNUM, FOLDED_VALUE, NOT_BLANK, Words, chunks, mixed
 
 _WARRANTY = (
     'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED '
@@ -60,6 +66,10 @@ def _gnu(name: str, version: str) -> str:
     )
 
 
+def _full(name: str) -> str:
+    return (resources.files("spanloom.llm") / "licence_texts" / f"{name}.txt").read_text(encoding="utf-8")
+
+
 # Public licence texts and notices: fixed values, (licence, kind of template, text).
 TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("MIT", "notice", "Released under the MIT License."),
@@ -117,8 +127,10 @@ TEMPLATES: tuple[tuple[str, str, str], ...] = (
     ("CC-BY-NC-4.0", "notice", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "text",
      "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    *((n, "full text", _full(n)) for n in ("Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0", "CC0-1.0")),
 )
 SEGMENTS = ("text", "paragraph", "line")
+WINDOW = "window"
 MATCH = T.StructType(
     [
         T.StructField("licence", T.StringType()),
@@ -147,12 +159,37 @@ class Templates:
         self.sizes = np.array([len(s) for s in sets])
         self.all = np.unique(np.concatenate(sets))
         self.member = np.stack([np.isin(self.all, s) for s in sets])
+        # The templates of each bigram, one after the other.
+        self.degree = self.member.sum(axis=0)
+        self.begin = np.cumsum(self.degree) - self.degree
+        self.of = np.nonzero(self.member.T)[1]
+
+    def least(self, threshold: float) -> np.ndarray:
+        """Bigrams of each template that a match must hold, as its set is no smaller than that."""
+        return np.ceil(self.sizes * threshold / (2 - threshold) - 1e-9).astype(np.int64)
+
+    def candidates(self, rows: np.ndarray, grams: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """(row, template) pairs in which the row holds enough distinct bigrams of the template."""
+        least = self.least(threshold)
+        key = np.unique(rows * len(self.all) + grams)
+        rows, grams = np.divmod(key, len(self.all))
+        held, inverse, count = np.unique(rows, return_inverse=True, return_counts=True)
+        enough = count[inverse] >= least.min()
+        rows, grams = rows[enough], grams[enough]
+        n = self.degree[grams]
+        inner = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        of = self.of[np.repeat(self.begin[grams], n) + inner]
+        pair, count = np.unique(np.repeat(rows, n) * len(self.names) + of, return_counts=True)
+        row, template = np.divmod(pair, len(self.names))
+        kept = count >= least[template]
+        return row[kept], template[kept]
 
     def matches(self, segment: np.ndarray, threshold: float) -> list[tuple[str, float]]:
         """(licence, Dice) of the templates within the size bounds that reach the threshold."""
         distinct = np.unique(segment)
         n = len(distinct)
-        fits = (self.sizes >= n * threshold / (2 - threshold)) & (self.sizes <= n * (2 - threshold) / threshold)
+        # The score decides; the bounds leave out what cannot reach it.
+        fits = (self.sizes + 1e-6 >= n * threshold / (2 - threshold)) & (self.sizes <= n * (2 - threshold) / threshold + 1e-6)
         if not fits.any():
             return []
         at = np.searchsorted(self.all, distinct)
@@ -165,22 +202,107 @@ class Templates:
         return found
 
 
+def best_window(ids: np.ndarray, hit: np.ndarray, size: int, threshold: float) -> tuple[float, int, int] | None:
+    """(Dice, first, end) of the best window of a sequence of bigrams, if it reaches the threshold.
+
+    A score is at least s if the sum over the window's distinct bigrams of ``2 - s`` (of the
+    template) or ``-s`` (others) is at least ``s * size``. Going back from the last start,
+    each bigram adds its weight up to where it occurs again, so the greatest sum of each start
+    is at hand; s is raised to the score found until none is higher. In whole numbers. A best
+    window need begin nowhere but at a bigram of the template that it does not hold again.
+    """
+    n = len(ids)
+    order = np.argsort(ids, kind="stable")
+    again = np.full(n, n, dtype=np.int64)
+    same = ids[order[1:]] == ids[order[:-1]]
+    again[order[:-1][same]] = order[1:][same]
+    # The end of each start: as many distinct bigrams as a match may have. It never goes back.
+    most = int(size * (2 - threshold) / threshold + 1e-6)
+    before = np.full(n, -1, dtype=np.int64)
+    before[order[1:][same]] = order[:-1][same]
+    end = np.empty(n, dtype=np.int64)
+    stop, held, last, nexts = 0, 0, before.tolist(), again.tolist()
+    for a in range(n):
+        while stop < n and (last[stop] >= a or held < most):
+            held += last[stop] < a
+            stop += 1
+        end[a] = min(stop, nexts[a])
+        held -= nexts[a] >= stop
+    ends, starts = end.tolist(), hit.tolist()
+    s, found = Fraction(threshold).limit_denominator(1 << 20), None
+    while True:
+        p, q = s.numerator, s.denominator
+        sums = np.zeros(n, dtype=np.int64)
+        best, where = p * size, None
+        for a in range(n - 1, -1, -1):
+            part = sums[a : ends[a]]
+            if not starts[a]:
+                part -= p
+                continue
+            part += 2 * q - p
+            at = int(part.argmax())
+            if part[at] >= best:
+                best, where = int(part[at]), (a, a + at + 1)
+        if where is None:
+            break
+        inside = np.unique(ids[where[0] : where[1]], return_index=True)[1] + where[0]
+        score = Fraction(2 * int(hit[inside].sum()), len(inside) + size)
+        found = (score.numerator / score.denominator, *where)
+        if score <= s:
+            break
+        s = score
+    return found if found and found[0] >= threshold else None
+
+
+def _windows(pairs: np.ndarray, hit: np.ndarray, size: int, least: int, threshold: float) -> tuple[float, int, int] | None:
+    """The best window of a text: of the pieces between gaps that no match can hold."""
+    at = np.flatnonzero(hit)
+    most = int(size * (2 / threshold - 2) + 1e-6)
+    wide = np.flatnonzero(np.diff(at) - 1 > most)
+    cuts = [i + 1 for i in wide.tolist() if len(np.unique(pairs[at[i] + 1 : at[i + 1]])) > most]
+    found = None
+    for piece in np.split(at, cuts):
+        low, high = int(piece[0]), int(piece[-1]) + 1
+        if len(np.unique(pairs[piece])) < least:
+            continue
+        ids = np.unique(pairs[low:high], return_inverse=True)[1].ravel()
+        best = best_window(ids, hit[low:high], size, threshold)
+        if best and (found is None or best[0] > found[0]):
+            found = (best[0], low + best[1], low + best[2])
+    return found
+
+
 def _scan(templates: Templates, threshold: float, data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple]:
     """(row, licence, score, kind of segment, start byte, end byte) of a chunk's matches."""
     words = Words(data, offsets, ALNUM, FOLDED_VALUE)
     if len(words.start) < 2:
         return
     pairs = bigrams(words.hash)
-    at = np.searchsorted(templates.all, pairs)
-    hit = templates.all[np.minimum(at, len(templates.all) - 1)] == pairs
+    at = np.minimum(np.searchsorted(templates.all, pairs), len(templates.all) - 1)
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(words.offsets))
+    hit = (templates.all[at] == pairs) & (rows[1:] == rows[:-1])
+    inside = np.flatnonzero(hit)
+    if not len(inside):
+        return
+    row_of, template_of = templates.candidates(rows[inside], at[inside], threshold)
+    if not len(row_of):
+        return
+    least = templates.least(threshold)
+    for row, i in zip(row_of.tolist(), template_of.tolist()):
+        low, high = int(words.offsets[row]), int(words.offsets[row + 1]) - 1
+        mine = hit[low:high] & templates.member[i, at[low:high]]
+        best = _windows(pairs[low:high], mine, int(templates.sizes[i]), int(least[i]), threshold)
+        if best:
+            score, first, end = best[0], low + best[1], low + best[2]
+            base = int(offsets[row])
+            yield row, templates.names[i], score, WINDOW, int(words.start[first]) - base, int(words.end[end]) - base
+    hit &= np.isin(rows[1:], row_of)
     feeds = np.flatnonzero(data == 10)
     lines = np.searchsorted(feeds, words.start)
-    # A paragraph ends where two line feeds follow each other.
-    doubles = feeds[1:][np.diff(feeds) == 1]
+    # A paragraph ends at a blank line: nothing but blanks (as of CRLF) between two line feeds.
+    filled = np.cumsum(NOT_BLANK[data])[feeds]
+    doubles = feeds[1:][filled[1:] == filled[:-1]]
     paragraphs = np.searchsorted(doubles, words.start)
-    # A match needs that many template bigrams at least, as the segment's set is no smaller.
-    least = int(np.ceil(templates.sizes.min() * threshold / (2 - threshold)))
     seen: set[tuple[int, int]] = set()
     for kind, unit in zip(SEGMENTS, (rows, paragraphs, lines)):
         joined = (rows[1:] == rows[:-1]) & (unit[1:] == unit[:-1])
@@ -188,10 +310,10 @@ def _scan(templates: Templates, threshold: float, data: np.ndarray, offsets: np.
         if not len(inside):
             continue
         # Segments are runs of words; number them by their first word.
-        first = np.flatnonzero(np.r_[True, ~((rows[1:] == rows[:-1]) & (unit[1:] == unit[:-1]))])
+        first = np.flatnonzero(np.r_[True, ~joined])
         segment = np.searchsorted(first, inside, side="right") - 1
         number, count = np.unique(segment, return_counts=True)
-        for s in number[count >= least]:
+        for s in number[count >= least.min()]:
             low = int(first[s])
             high = int(first[s + 1]) if s + 1 < len(first) else len(rows)
             if (low, high) in seen:
@@ -215,7 +337,7 @@ def scan_licences(
     docs = docs.drop(column)
     schema = T.StructType([*docs.schema.fields, T.StructField(column, T.ArrayType(MATCH))])
     model = docs.sparkSession.sparkContext.broadcast(Templates(templates))
-    kind_order = {k: i for i, k in enumerate(SEGMENTS)}
+    kind_order = {k: i for i, k in enumerate((*SEGMENTS, WINDOW))}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = pa.struct(

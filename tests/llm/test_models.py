@@ -178,6 +178,92 @@ def test_licences(spark, edge, nothing):
     assert licences.licence_report(nothing).count() == 0
 
 
+def plain_words(text):
+    folded = re.sub("[A-Z]", lambda m: m[0].lower(), text)
+    return [(m[0], m.start(), m.end()) for m in re.finditer("[0-9a-z\x80-\U0010ffff]+", folded)]
+
+
+def plain_windows(text, templates, threshold=0.8):
+    """Best Dice of each licence over every window of words."""
+    grams = [w[0] for w in plain_words(text)]
+    grams = list(zip(grams, grams[1:]))
+    best = {}
+    for name, other in templates:
+        for a in range(len(grams)):
+            mine = set()
+            for g in grams[a:]:
+                mine.add(g)
+                if len(mine) > 2 * len(other):
+                    break
+                score = 2 * len(mine & other) / (len(mine) + len(other))
+                if score >= threshold:
+                    best[name] = max(best.get(name, 0), score)
+    return best
+
+
+def template_grams(templates):
+    found = []
+    for name, _, text in templates:
+        w = [x[0] for x in plain_words(text)]
+        found.append((name, set(zip(w, w[1:]))))
+    return found
+
+
+def test_licences_inside_texts(spark):
+    def text_of(licence, kind):
+        return next(t for n, k, t in licences.TEMPLATES if n == licence and k == kind)
+
+    mit, gpl = text_of("MIT", "text"), text_of("GPL-3.0", "full text")
+    cut = mit.index("The above"), mit.index("THE SOFTWARE IS")
+    parts = [mit[: cut[0]], mit[cut[0] : cut[1]], mit[cut[1] :]]
+    apache = text_of("Apache-2.0", "text").replace(" You may obtain", "\n\nYou may obtain").replace(" Unless", "\n\nUnless")
+    long = "some words of a longer document, number %d, that is no licence. "
+    around = ["".join(long % (i * k) for i in range(200)) for k in (1, 3)]
+    rows = [
+        (1, around[0] + "\n\n" + "\n\n".join(parts) + "\n\n" + around[1], "MIT"),
+        (2, around[0] + "\n\n" + apache + "\n\n" + around[1], "Apache-2.0"),
+        (3, "This project is released under the MIT License. See LICENSE.", "MIT"),
+        (4, "before\r\n\r\n" + mit.replace(". ", ".\r\n") + "\r\n\r\nafter it", "MIT"),
+        (5, "before\n \t\n" + mit.replace(". ", ".\n") + "\n  \nafter it", "MIT"),
+        (6, around[0] + gpl + around[1], "GPL-3.0"),
+        (7, (gpl[:9_000] + " changed here and there " + gpl[10_000:]) * 5, "GPL-3.0"),
+        (8, around[0] * 20 + "under the mit word and then " + around[1] + " released license", ""),
+    ]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    found = {r.doc_id: r.licences for r in licences.scan_licences(docs).collect()}
+    for key, _, name in rows:
+        assert name in [m.licence for m in found[key]] if name else found[key] == [], key
+    assert found[1][0].score == 1.0 and found[1][0].segment == "window" and found[6][0].score == 1.0
+    assert found[2][0].score == 1.0 and found[3][0].score == 1.0 and found[7][0].score > 0.8
+    # Paragraphs, and so wider than the equal windows in them.
+    assert [found[k][0].segment for k in (4, 5)] == ["paragraph"] * 2
+
+
+def test_licence_windows_equal_brute_force(spark):
+    rng = random.Random(11)
+    short = tuple(t for t in licences.TEMPLATES if t[1] == "notice" or t[0] in ("MPL-2.0", "CC-BY-4.0", "ISC") and t[1] == "text")
+    texts = []
+    for _ in range(120):
+        words = []
+        for _ in range(rng.randint(1, 4)):
+            w = [x[0] for x in plain_words(rng.choice(short)[2])]
+            for _ in range(rng.randint(0, max(1, len(w) // 5))):
+                k = rng.randrange(len(w))
+                w[k : k + 1] = rng.choice([[], ["x"], ["x", "y", "x", "y", "x"], [w[k], "the", w[k]], w[:3]])
+            words += w + [rng.choice("abx") for _ in range(rng.choice([0, 1, 8]))]
+        texts.append("".join(w + rng.choice([" ", " ", " ", ", ", "\n", "\r\n\r\n"]) for w in words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    templates, matched = template_grams(short), 0
+    for r in licences.scan_licences(docs, templates=short).collect():
+        want = plain_windows(r.text, templates)
+        assert {m.licence: m.score for m in r.licences} == want, r.text
+        for m in r.licences:
+            inside = plain_windows(r.text.encode()[m.start : m.end].decode(), [t for t in templates if t[0] == m.licence])
+            assert inside[m.licence] == m.score
+        matched += len(want)
+    assert matched > 100
+
+
 def test_licences_equal_plain_dice(spark, documents, sf_dir):
     word = re.compile("[0-9a-z\x80-\U0010ffff]+")
 
