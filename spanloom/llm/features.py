@@ -62,7 +62,7 @@ def _distinct(values: np.ndarray, times: int) -> np.ndarray:
     return values[keep]
 
 
-def _blocks(extract: Extract, bits: int, times: int) -> Callable:
+def _blocks(extract: Extract, bits: int, times: int, counted: bool) -> Callable:
     """Rows (bucket, block, data) of a partition; bucket 2**bits + block tells its documents."""
     from spanloom.llm.tokens import chunks
 
@@ -85,12 +85,17 @@ def _blocks(extract: Extract, bits: int, times: int) -> Callable:
             if not len(keys):
                 first = again = np.zeros(0, dtype=bool)
             places = _distinct(keys[again], 1)
+            runs = np.diff(np.r_[np.flatnonzero(first), len(keys)])
             keys = np.where(again, keys | np.uint64(MANY), keys)[first]
             edges = np.searchsorted(
                 keys, np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
             )
             parts = np.split(keys, edges)
             rows = [(b, packed(p, stored_bytes(bits))) for b, p in enumerate(parts) if len(p)]
+            if counted:
+                # Behind the features, how often the block has those that it has twice.
+                runs = [r[(p & np.uint64(MANY)) == MANY] for r, p in zip(np.split(runs, edges), parts) if len(p)]
+                rows = [(b, r.astype(np.uint16).tobytes() + d + len(r).to_bytes(4, "little")) for (b, d), r in zip(rows, runs)]
             about = np.concatenate([np.concatenate(ids), np.concatenate(sizes)]).astype(np.int64)
             whole = np.int64(docs).tobytes() + about.tobytes() + packed(places, 8)
             rows.append(((1 << bits) + block % (1 << bits), whole))
@@ -129,7 +134,7 @@ def _blocks(extract: Extract, bits: int, times: int) -> Callable:
     return run
 
 
-def _shared(bits: int) -> Callable:
+def _shared(bits: int, counted: bool) -> Callable:
     """Of one bucket: the features that occur at least twice, sent back to their blocks."""
     width = stored_bytes(bits)
     feature = np.uint64((1 << (HASH_BITS - bits)) - 1)
@@ -139,7 +144,12 @@ def _shared(bits: int) -> Callable:
         if bucket >= 1 << bits:
             return table.set_column(0, "bucket", pa.array([-1] * len(table), pa.int32()))
         blocks = table.column("block").to_numpy()
-        parts = [unpacked(x.as_py(), width) for x in table.column("data")]
+        data, counts = [x.as_py() for x in table.column("data")], []
+        if counted:
+            many = [2 * int.from_bytes(x[-4:], "little") for x in data]
+            counts = [np.frombuffer(x[:n], np.uint16) for x, n in zip(data, many)]
+            data = [x[n:-4] for x, n in zip(data, many)]
+        parts = [unpacked(x, width) for x in data]
         # Sorted by feature, then by the order in which they came.
         keys = np.concatenate(parts)
         hashes = (keys >> np.uint64(ID_BITS)) & feature
@@ -152,7 +162,10 @@ def _shared(bits: int) -> Callable:
         ordered = hashes[at]
         begins = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
         runs = np.diff(np.r_[begins, len(ordered)])
-        weight = 1 + ((keys & np.uint64(MANY)) == MANY)
+        many = (keys & np.uint64(MANY)) == MANY
+        weight = 1 + many.astype(np.int64)
+        if counted:
+            weight[many] = np.concatenate(counts)
         times = np.zeros(len(keys), dtype=np.int64)
         times[at] = np.repeat(np.add.reduceat(weight[at], begins), runs)
         out_block, out = [], []
@@ -181,7 +194,7 @@ def _shared(bits: int) -> Callable:
     return run
 
 
-def _per_document(block_rows: pa.Table, low_bits_only: bool) -> pa.Table:
+def _per_document(block_rows: pa.Table, low_bits_only: bool, hot: int | None) -> pa.Table:
     """Of one block: a row for each document with its shared features, rare ones first."""
     ids, ranks, features = [np.zeros(0, np.uint16)], [np.zeros(0, np.uint8)], [np.zeros(0, np.uint64)]
     for bucket, data in zip(block_rows.column("bucket").to_pylist(), block_rows.column("data")):
@@ -208,6 +221,11 @@ def _per_document(block_rows: pa.Table, low_bits_only: bool) -> pa.Table:
     order = np.argsort(ids, kind="stable")
     value, cuts = value[order], np.searchsorted(ids[order], np.arange(docs + 1))
     lists = [np.sort(value[cuts[i] : cuts[i + 1]]) for i in range(docs)]
+    more = {}
+    if hot is not None:
+        least = np.uint64(int(np.log2(hot) * 8) << HASH_BITS)
+        low = np.uint64((1 << HASH_BITS) - 1)
+        more["hot"] = pa.array([(x[np.searchsorted(x, least) :] & low).tobytes() for x in lists], pa.binary())
     return pa.table(
         {
             "doc_id": pa.array(about[:docs], pa.int64(), mask=about[:docs] == -(2**63)),
@@ -216,6 +234,7 @@ def _per_document(block_rows: pa.Table, low_bits_only: bool) -> pa.Table:
             "shared": pa.array(
                 [(x.astype(np.uint32) if low_bits_only else x).tobytes() for x in lists], pa.binary()
             ),
+            **more,
         }
     )
 
@@ -229,13 +248,15 @@ def shared_features(
     bucket_bits: int | None = None,
     repeats_count: bool = False,
     low_bits_only: bool = False,
+    hot: int | None = None,
 ) -> DataFrame:
     """(doc_id, size, n_shared, shared): a row for each document.
 
     ``shared`` packs the features that occur in another document too (or twice in one, if
     ``repeats_count``) as 8-byte integers, frequency class above the hash, sorted: rare
     features first; with ``low_bits_only`` it has the hashes' low 32 bits alone. ``size`` is
-    what ``extract`` says of the document.
+    what ``extract`` says of the document. With ``hot``, features are counted in full, and a
+    column of that name has the hashes of those found about ``hot`` times or more.
 
     A task holds one bucket, a 2**bucket_bits-th of all features; by default their number
     follows the bytes of text. Partitions must give their rows in the same order when they
@@ -245,9 +266,10 @@ def shared_features(
         bucket_bits = bucket_bits_for(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0)
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     blocks = source.mapInArrow(
-        _blocks(extract, bucket_bits, 2 if repeats_count else 1), "bucket int, block long, data binary"
+        _blocks(extract, bucket_bits, 2 if repeats_count else 1, hot is not None), "bucket int, block long, data binary"
     )
-    found = blocks.groupBy("bucket").applyInArrow(_shared(bucket_bits), "bucket int, block long, data binary")
+    found = blocks.groupBy("bucket").applyInArrow(_shared(bucket_bits, hot is not None), "bucket int, block long, data binary")
     return found.groupBy("block").applyInArrow(
-        lambda rows: _per_document(rows, low_bits_only), "doc_id long, size long, n_shared long, shared binary"
+        lambda rows: _per_document(rows, low_bits_only, hot),
+        "doc_id long, size long, n_shared long, shared binary" + ("" if hot is None else ", hot binary"),
     )

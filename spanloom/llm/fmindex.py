@@ -115,10 +115,15 @@ def _cut(body: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, str]:
 
 
 def repeated_words(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", bucket_bits: int | None = None
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    bucket_bits: int | None = None,
+    hot_strings: int = repeats.HOT_STRINGS,
 ) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256): one row for each document."""
-    spans = repeats.covered(docs, RULE, doc_id=doc_id, text=text, bucket_bits=bucket_bits)
+    spans = repeats.covered(docs, RULE, doc_id=doc_id, text=text, bucket_bits=bucket_bits, hot_strings=hot_strings)
     return repeats.cut_texts(
         docs, spans, _cut, "n_words long, n_removed long, kept_sha256 string", doc_id=doc_id, text=text
     )

@@ -7,6 +7,12 @@ travel, as short strings, to the shard of their anchor. A shard keeps each disti
 once, indexes them, streams them through the index, and reports the covered places. Hot
 passages are one string of the index, whatever the number of their copies; a batch sends a
 string once, with the list of its places.
+
+A short line that many documents have between differing neighbours is one anchor with as
+many strings. Anchors found ``HOT_STRINGS`` times are looked at again, and those with more
+distinct strings than that are heavy: their windows travel one by one to the shard of the
+whole window's hash, and only those that occur twice. Equal windows have equal anchors and
+equal hashes, so they still meet.
 """
 
 from __future__ import annotations
@@ -19,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.llm.common import materialize
 from spanloom.llm.features import ID_BITS, bucket_bits_for, shared_features
 from spanloom.llm.tokens import Anchors, Prefix, chunks
 
 SHARD_SYMBOLS = 1 << 20
 RUN_WINDOWS = 64
+HOT_STRINGS = 1 << 13
 LAST = np.iinfo(np.int64).max
 
 
@@ -64,8 +72,66 @@ def _anchor_features(rule: Rule):
     return extract
 
 
-def _strings(rule: Rule, shards: int):
-    """Rows (shard, places, lengths, body) of the joined documents: runs of windows at shared anchors."""
+def _listed(values: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Which values a sorted table has."""
+    if not len(table):
+        return np.zeros(len(values), dtype=bool)
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
+
+
+def _heavy_windows(rule: Rule, heavy):
+    """Whole windows at heavy anchors, as features."""
+
+    def extract(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        symbols, prefix, begin, end, row, feature = _runs(rule, data, offsets)
+        at, row, feature = _single(rule, prefix, begin, end, row, feature, heavy.value)
+        return feature << np.uint64(ID_BITS), row, np.diff(symbols.offsets)
+
+    return extract
+
+
+def _strings_of_hot(rule: Rule, hot):
+    """Rows (feature, string): hot anchors and the hashes of the strings around them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in chunks(batch.column("text")):
+                _, prefix, begin, end, _, feature = _runs(rule, data, offsets)
+                mine = _listed(feature, hot.value)
+                begin, end, feature = begin[mine], end[mine] - 1 + rule.size, feature[mine]
+                both = np.unique(np.stack([feature, prefix.stretch(begin, end)], axis=1), axis=0).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["feature", "string"])
+
+    return run
+
+
+def _heavy_anchors(source: DataFrame, found: DataFrame, rule: Rule, bound: int) -> np.ndarray:
+    """Sorted features of the anchors with more than ``bound`` distinct strings.
+
+    The driver holds at most one for each ``bound`` places of anchors in the texts.
+    """
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(mine)], names=["feature"])
+
+    def sorted_features(rows: DataFrame) -> np.ndarray:
+        return np.sort(np.array([r.feature for r in rows.select("feature").collect()], dtype=np.uint64))
+
+    hot = sorted_features(found.where("octet_length(hot) > 0").select("hot").mapInArrow(each, "feature long").distinct())
+    if not len(hot):
+        return hot
+    share = source.sparkSession.sparkContext.broadcast(hot)
+    strings = source.mapInArrow(_strings_of_hot(rule, share), "feature long, string long").distinct()
+    return sorted_features(strings.groupBy("feature").count().where(F.col("count") > bound))
+
+
+def _strings(rule: Rule, shards: int, heavy, single: bool):
+    """Rows (shard, places, lengths, body) of the joined documents: runs of windows at shared anchors.
+
+    Of the anchors that are not heavy, or (``single``) the shared windows at heavy ones.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,7 +142,7 @@ def _strings(rule: Rule, shards: int):
             shard_of: list[int] = []
             string, doc, start = [], [], []
             for first, data, offsets in chunks(batch.column("text")):
-                runs = _shared_runs(rule, data, offsets, shared.slice(first, len(offsets) - 1))
+                runs = _shared_runs(rule, data, offsets, shared.slice(first, len(offsets) - 1), heavy.value, single)
                 if runs is None:
                     continue
                 low, high, row, begin, feature = runs
@@ -136,14 +202,15 @@ def _loose(data: bytes, kind: type | None = None) -> np.ndarray | bytes:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-def _shared_runs(rule: Rule, data: np.ndarray, offsets: np.ndarray, shared: pa.Array) -> tuple | None:
-    """Runs of windows with one shared anchor: first and end byte, row, first symbol in it, feature."""
+def _runs(rule: Rule, data: np.ndarray, offsets: np.ndarray) -> tuple:
+    """Symbols, their prefix, and runs of windows with one anchor: first and end window, row, feature."""
     symbols = rule.read(data, offsets)
-    least = Anchors(Prefix(symbols.values), symbols.offsets, rule.size, rule.gram).least
+    prefix = Prefix(symbols.values)
+    least = Anchors(prefix, symbols.offsets, rule.size, rule.gram).least
     if not len(least):
-        return None
-    rows = len(offsets) - 1
-    row_of = np.repeat(np.arange(rows), np.diff(symbols.offsets))[: len(least)]
+        nothing = np.zeros(0, dtype=np.int64)
+        return symbols, prefix, nothing, nothing, nothing, nothing.astype(np.uint64)
+    row_of = np.repeat(np.arange(len(offsets) - 1), np.diff(symbols.offsets))[: len(least)]
     border = np.r_[True, (least[1:] != least[:-1]) | (row_of[1:] != row_of[:-1])]
     begin = np.flatnonzero(border)
     # Periodic text keeps one anchor for long; its runs are cut, so that strings stay short.
@@ -151,15 +218,43 @@ def _shared_runs(rule: Rule, data: np.ndarray, offsets: np.ndarray, shared: pa.A
     inner = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     begin = np.repeat(begin, pieces) + inner * RUN_WINDOWS
     end = np.r_[begin[1:], len(least)]
-    feature = least[begin] >> np.uint64(ID_BITS)
-    row = row_of[begin]
+    whole = least[begin] > 0
+    begin, end = begin[whole], end[whole]
+    return symbols, prefix, begin, end, row_of[begin], least[begin] >> np.uint64(ID_BITS)
+
+
+def _single(
+    rule: Rule, prefix: Prefix, begin: np.ndarray, end: np.ndarray, row: np.ndarray, feature: np.ndarray, heavy: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each window of the runs at heavy anchors: where it begins, its row, its own feature."""
+    mine = _listed(feature, heavy)
+    begin, n, row = begin[mine], (end - begin)[mine], row[mine]
+    at = np.repeat(begin, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    return at, np.repeat(row, n), prefix.stretch(at, at + rule.size) >> np.uint64(ID_BITS)
+
+
+def _shared_runs(rule: Rule, data: np.ndarray, offsets: np.ndarray, shared: pa.Array, heavy: np.ndarray, single: bool) -> tuple | None:
+    """Runs of windows with one shared anchor: first and end byte, row, first symbol in it, feature.
+
+    Without those at heavy anchors; or (``single``) the shared windows at heavy anchors alone.
+    """
+    symbols, prefix, begin, end, row, feature = _runs(rule, data, offsets)
+    if single:
+        begin, row, feature = _single(rule, prefix, begin, end, row, feature, heavy)
+        end = begin + 1
+    elif len(heavy):
+        light = ~_listed(feature, heavy)
+        begin, end, row, feature = begin[light], end[light], row[light], feature[light]
+    if not len(begin):
+        return None
+    rows = len(offsets) - 1
     known = [np.frombuffer(s.as_py(), np.uint32) for s in shared]
     owner = np.repeat(np.arange(rows), [len(k) for k in known])
     # One search for all rows: the row above the feature's low bits.
     table = np.sort((owner.astype(np.uint64) << np.uint64(32)) | np.concatenate(known))
     key = (row.astype(np.uint64) << np.uint64(32)) | (feature & np.uint64(0xFFFFFFFF))
     at = np.minimum(np.searchsorted(table, key), max(len(table) - 1, 0))
-    held = (least[begin] > 0) & (table[at] == key) if len(table) else np.zeros(len(key), bool)
+    held = table[at] == key if len(table) else np.zeros(len(key), bool)
     begin, end, row, feature = begin[held], end[held] - 1 + rule.size, row[held], feature[held]
     if not len(begin):
         return None
@@ -311,20 +406,34 @@ def window_places(lengths: np.ndarray, begin: np.ndarray, least: np.ndarray, siz
     return place
 
 
-def covered(docs: DataFrame, rule: Rule, *, doc_id: str, text: str, bucket_bits: int | None) -> DataFrame:
-    """(doc_id, spans): the covered stretches of each document that has any, in symbols, unmerged."""
+def shard_strings(
+    docs: DataFrame, rule: Rule, *, doc_id: str, text: str, bucket_bits: int | None, hot_strings: int
+) -> DataFrame:
+    """(shard, places, lengths, body): the strings that the shards compare."""
     source = plain(docs, doc_id, text)
     weight = source.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    found = shared_features(
-        source,
-        _anchor_features(rule),
-        bucket_bits=bucket_bits or bucket_bits_for(weight),
-        repeats_count=rule.within,
-        low_bits_only=True,
-    ).where("n_shared > 0")
+    bits = bucket_bits or bucket_bits_for(weight)
+    options = dict(bucket_bits=bits, repeats_count=rule.within, low_bits_only=True)
+    found = shared_features(source, _anchor_features(rule), hot=hot_strings, **options).where("n_shared > 0")
+    found = materialize(found.select("doc_id", "shared", "hot"), "shared-anchors")
     shards = max(8, weight // (SHARD_SYMBOLS * rule.bytes_of_symbol))
+    heavy = _heavy_anchors(source, found, rule, hot_strings)
+    share = docs.sparkSession.sparkContext.broadcast(heavy)
+    fields = "shard int, places binary, lengths binary, body binary"
     both = source.join(found.select("doc_id", "shared"), "doc_id")
-    strings = both.mapInArrow(_strings(rule, shards), "shard int, places binary, lengths binary, body binary")
+    strings = both.mapInArrow(_strings(rule, shards, share, False), fields)
+    if len(heavy):
+        again = shared_features(source, _heavy_windows(rule, share), **options).where("n_shared > 0")
+        both = source.join(again.select("doc_id", "shared"), "doc_id")
+        strings = strings.unionByName(both.mapInArrow(_strings(rule, shards, share, True), fields))
+    return strings
+
+
+def covered(
+    docs: DataFrame, rule: Rule, *, doc_id: str, text: str, bucket_bits: int | None, hot_strings: int = HOT_STRINGS
+) -> DataFrame:
+    """(doc_id, spans): the covered stretches of each document that has any, in symbols, unmerged."""
+    strings = shard_strings(docs, rule, doc_id=doc_id, text=text, bucket_bits=bucket_bits, hot_strings=hot_strings)
     spans = strings.groupBy("shard").applyInArrow(_resolve(rule), "doc_id long, lo long, hi long")
     return spans.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("lo", "hi"))).alias("spans"))
 

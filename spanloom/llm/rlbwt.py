@@ -156,9 +156,14 @@ def _cut(body: bytes, lo: np.ndarray, hi: np.ndarray) -> tuple[int, int, int, st
 
 
 def repeated_bytes(
-    docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", bucket_bits: int | None = None
+    docs: DataFrame,
+    *,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    bucket_bits: int | None = None,
+    hot_strings: int = repeats.HOT_STRINGS,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256): one row for each document."""
-    spans = repeats.covered(docs, RULE, doc_id=doc_id, text=text, bucket_bits=bucket_bits)
+    spans = repeats.covered(docs, RULE, doc_id=doc_id, text=text, bucket_bits=bucket_bits, hot_strings=hot_strings)
     fields = "n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return repeats.cut_texts(docs, spans, _cut, fields, doc_id=doc_id, text=text)

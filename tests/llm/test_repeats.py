@@ -1,3 +1,6 @@
+import collections
+import random
+
 import numpy as np
 import pytest
 from brute import repeated
@@ -99,3 +102,45 @@ def test_run_index_step_counts_smaller_and_equal():
     far = np.minimum(row + rng.integers(0, 60, 300), len(text))
     low, high = index.narrow(symbol, row, far)
     assert low.tolist() == want and high.tolist() == index.step(symbol, far).tolist()
+
+
+def short_line_rows(n):
+    """A line shorter than a window in every document between its own words; some windows are shared."""
+    rng = random.Random(12)
+    own = ["".join(rng.choice("bcdfghjklm") for _ in range(7)) + " n%d" % i for i in range(n)]
+    line = "a b c d e f g h i j k l m n o"
+    both = [f"{' '.join(reversed(w.split()))} {w} x{w}\n{line}\ny{w} {w[::-1]} z{w}" for w in own]
+    both[5] = both[2] + " tail"
+    both[9] = "head " + both[7]
+    both[11] = " ".join(both[4].split()[3:] + ["more"] + both[4].split())
+    return list(enumerate(both))
+
+
+@pytest.mark.parametrize("rule", ["bytes", "words"])
+def test_short_line_of_all_documents_does_not_fill_a_shard(spark, rule):
+    docs = spark.createDataFrame(short_line_rows(1200), "doc_id long, text string").repartition(4)
+    module, n, want = (rlbwt, 4, BYTES) if rule == "bytes" else (fmindex, 3, WORDS)
+    operator = rlbwt.repeated_bytes if rule == "bytes" else fmindex.repeated_words
+    options = dict(doc_id="doc_id", text="text", bucket_bits=None)
+
+    def fullest(hot):
+        rows = repeats.shard_strings(docs, module.RULE, hot_strings=hot, **options).collect()
+        held = collections.Counter()
+        for r in rows:
+            held[r.shard] += len(repeats._loose(r.lengths, np.int32))
+        return max(held.values())
+
+    assert fullest(100) < 200 < 400 < fullest(1 << 13)
+    expected = repeated(pairs(docs), **want)
+    if rule == "words":
+        expected = {k: (v[0], v[1], v[3]) for k, v in expected.items()}
+    assert got(operator(docs, hot_strings=100), n)[0] == expected
+    assert sum(v[1] > 0 for v in expected.values()) >= 2
+
+
+@pytest.mark.parametrize("source", ["edge", "documents"])
+def test_heavy_anchors_equal_brute_force(request, source):
+    docs = request.getfixturevalue(source)
+    assert got(rlbwt.repeated_bytes(docs, hot_strings=2), 4)[0] == repeated(pairs(docs), **BYTES)
+    want = {k: (v[0], v[1], v[3]) for k, v in repeated(pairs(docs), **WORDS).items()}
+    assert got(fmindex.repeated_words(docs, hot_strings=2), 3)[0] == want
