@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm import decontaminate, fmindex, jaccard, licences, mixing, neighbours, pages, quality, rlbwt, sharding
+from spanloom.llm import (
+    codes,
+    decontaminate,
+    fmindex,
+    jaccard,
+    licences,
+    manifest,
+    mixing,
+    neighbours,
+    pages,
+    quality,
+    rlbwt,
+    secret_scan,
+    sharding,
+)
 from spanloom.llm.common import table
 
 
@@ -92,6 +106,31 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What arrives has lost its line feeds in every other document, by the CRC of the id."""
+    text = F.col("text")
+    damaged = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    received = {"text": F.when(damaged, F.replace(text, F.lit("\n"), F.lit(""))).otherwise(text)}
+    found = manifest.merkle_manifest(table(spark, sf_dir, "documents"), received=received)
+    return found.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        F.sha2(F.array_join(F.flatten("proof"), ""), 256).alias("proof_sha256"),
+        "folded_root",
+        "verified",
+    )
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
+def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.code_report(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_runs": op2_runs,
@@ -103,4 +142,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pages": op8_pages,
     "op9_neighbours": op9_neighbours,
     "op10_mixing": op10_mixing,
+    "op11_manifest": op11_manifest,
+    "op12_secrets": op12_secrets,
+    "op13_codes": op13_codes,
 }
