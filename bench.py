@@ -155,7 +155,7 @@ def main() -> None:
                 "dense_rows_per_minute_row": round(spans / dense_rows, 2),
                 "raw_rows_per_minute_row": round(spans / state_rows, 2),
                 "raw_rows_per_hour_row": round(spans / hour_rows, 2),
-                "lake_rows": exported.rows,
+                "lake_rows": exported.agg(F.sum("stored_rows")).first()[0],
                 "lake_bytes_per_row": round(stats["bytes_per_row"], 1),
             }
         )

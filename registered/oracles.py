@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from registered.tables import registry
+from registered.tables import HALFWAY, registry
 from spanloom.schema import COUNT_ATTRIBUTES, MEASURE_ATTRIBUTES, STRING_ATTRIBUTES
 
 _R = registry()
@@ -452,6 +452,14 @@ def oracle_sql() -> dict[str, str]:
     q["c10_point_lookup"] = _decoded(
         "SELECT trace_id, span_id, parent_span_id, request_id FROM decoded WHERE trace_id = 't42'"
     )
+    q["c10_indexed_lookup"] = _lake(
+        f"SELECT trace_id, count(DISTINCT dt) AS days, count(*) AS spans, {_sum('output_tokens')} FROM lake "
+        "WHERE trace_id IN ('t1', 't42', 't777', 't2024') GROUP BY 1"
+    )
+    q["c10_indexed_lookup_hot"] = _decoded(
+        "SELECT request_id, trace_id, span_id, tenant_id, output_tokens FROM decoded "
+        "WHERE request_id IN ('r5', 'r42', 'r4711')"
+    )
     q["c11_files_by_pattern"] = _lake(
         "SELECT strftime(dt, '%Y%m%d') AS window_day, count(*) AS spans FROM lake GROUP BY 1"
     )
@@ -629,6 +637,10 @@ def oracle_sql() -> dict[str, str]:
     q["w01_dedup"] = _spans(
         f"SELECT span_id, ts, ingested_at, tenant_id, {_r6('duration_ms', 'duration_ms')} FROM spans"
     )
+    q["w01_lake_once"] = _spans(
+        "SELECT CAST(ts AS DATE) AS dt, count(*) AS spans, count(*) AS distinct_spans, "
+        f"{_sum('output_tokens')} FROM spans GROUP BY 1"
+    )
     q["w02_counter_difference"] = _growth(
         accepted_spans="accepted_spans", refused_spans="refused_spans", sent_spans="sent_spans"
     )
@@ -666,6 +678,13 @@ def oracle_sql() -> dict[str, str]:
         "max(ingested_at) AS last_arrival FROM again "
         "WHERE ingested_at > date_trunc('hour', ts) + INTERVAL 3602 SECOND GROUP BY 1"
     )
+    q["j06_feed"] = _with(
+        [_SPANS, _AGAIN],
+        "SELECT CASE WHEN early THEN 1 ELSE 2 END AS sequence, count(*) AS read, "
+        "count(DISTINCT span_id) FILTER (WHERE first) AS kept FROM (SELECT *, early = bool_or(early) OVER "
+        "(PARTITION BY span_id) AS first FROM (SELECT *, ingested_at < TIMESTAMP "
+        f"'{HALFWAY:%Y-%m-%d}' AS early FROM again)) GROUP BY early",
+    )
     q["j07_dedup_stream"] = "SELECT count(*) AS rows, count(*) AS spans FROM events"
 
     q["m01_retention"] = _spans(

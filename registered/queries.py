@@ -322,6 +322,25 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@register("c10_indexed_lookup")
+def _(t: Tables) -> DataFrame:
+    """Spans of some traces from the lake files that the index names, and the days it names."""
+    traces = ["t1", "t42", "t777", "t2024", "t-none"]
+    rows, named = L.find_spans(t.spark, t.lake, "trace_id", traces)
+    days = named.groupBy(F.col("value").alias("trace_id")).agg(F.count_distinct("folder").alias("days"))
+    found = rows.groupBy("trace_id").agg(
+        F.count("*").alias("spans"), F.sum("output_tokens").alias("output_tokens")
+    )
+    return days.join(found, "trace_id")
+
+
+@register("c10_indexed_lookup_hot")
+def _(t: Tables) -> DataFrame:
+    """Hot spans of some requests from the files that the index names."""
+    rows, _ = t.store.find_spans("request_id", ["r5", "r42", "r4711", "r-none"])
+    return rows.select("request_id", "trace_id", "span_id", "tenant_id", "output_tokens")
+
+
 @register("c11_files_by_pattern")
 def _(t: Tables) -> DataFrame:
     """Lake rows by the window parsed from their file's folder."""
@@ -607,6 +626,16 @@ def _(t: Tables) -> DataFrame:
     return kept.select("span_id", "ts", "ingested_at", "tenant_id", "duration_ms")
 
 
+@register("w01_lake_once")
+def _(t: Tables) -> DataFrame:
+    """The archive holds redelivered spans once, read by a plain scan."""
+    return t.archive.read().groupBy("dt").agg(
+        F.count("*").alias("spans"),
+        F.count_distinct("span_id").alias("distinct_spans"),
+        F.sum("output_tokens").alias("output_tokens"),
+    )
+
+
 @register("w02_counter_difference")
 def _(t: Tables) -> DataFrame:
     counters = {c: F.col(c) for c in ("accepted_spans", "refused_spans", "sent_spans")}
@@ -689,6 +718,12 @@ def _(t: Tables) -> DataFrame:
     return L.late_by_window(t.redelivered, timedelta(seconds=2))
 
 
+@register("j06_feed")
+def _(t: Tables) -> DataFrame:
+    """What each sync of the archive read of the hot table's writes, and what was new in it."""
+    return t.archive.loads().select("sequence", "read", "kept")
+
+
 @register("j07_dedup_stream")
 def _(t: Tables) -> DataFrame:
     """A stream with redelivered spans, kept once each within the watermark."""

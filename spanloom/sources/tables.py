@@ -1,15 +1,17 @@
 """The hot tables: Parquet by day and write, idempotent writes, retention, compaction.
 
 Layout: ``<root>/<table>/dt=<day>/write_id=<id>``. Writing the same ``write_id``
-again replaces its partitions, so a replayed batch changes nothing.
+again replaces its partitions, so a replayed batch changes nothing. Raw spans also have an
+index from trace and request ids to files.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime, time, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +27,8 @@ from spanloom.schema import (
     SPANS,
 )
 from spanloom.session import literal_rows
-from spanloom.sources import files
+from spanloom.sources import files, lookup
+from spanloom.sources.commits import CommitConflict, CommitLog
 
 _SNAPSHOT = "snapshot-"
 _COMPACTION = "dt date, write_id string, replaced array<string>, revoked boolean"
@@ -81,10 +84,17 @@ class TableStore:
 
         Where a snapshot holds the earlier rows of that id, the snapshot is withdrawn
         once the new rows are there, and the writes it was made of count again. After
-        ``vacuum`` has deleted those, the id cannot be written any more.
+        ``vacuum`` has deleted those, the id cannot be written any more. Days the id wrote
+        to before and no longer has rows for are emptied: a batch replayed after midnight
+        arrives on another day.
         """
         schema, time_column, order = TABLES[table]
+        base = self._log(table).version()
         withdrawn = self.snapshots_of(table, write_id)
+        before = {
+            folder: set(files.data_files(self.spark, folder))
+            for folder in files.matching(self.spark, f"{self.path(table)}/dt=*/write_id={write_id}")
+        }
         ready = df.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema],
             F.to_date(time_column).alias("dt"),
@@ -104,14 +114,49 @@ class TableStore:
             for column in ("trace_id", "request_id"):
                 writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(self.path(table))
+        for folder, held in before.items():
+            if held and held == set(files.data_files(self.spark, folder)):
+                files.delete(self.spark, folder)
+        if table == "spans_raw":
+            self._index(write_id)
         if withdrawn:
             rows = [(day, snapshot, None, True) for day, snapshot in withdrawn]
-            log = self.spark.createDataFrame(rows, _COMPACTION)
-            log.coalesce(1).write.mode("append").parquet(self._log_path(table))
+            self._log(table).commit(rows, base)
+
+    def _index(self, write_id: str) -> None:
+        """Index the ids of a write of raw spans, read from its files."""
+        folders = files.matching(self.spark, f"{self.path('spans_raw')}/dt=*/write_id={write_id}")
+        if folders:
+            lookup.index_files(self._stored("spans_raw", folders), self._folder(), write_id, self.index_path)
+
+    @staticmethod
+    def _folder() -> Column:
+        return F.concat(F.lit("dt="), F.col("dt").cast("string"), F.lit("/write_id="), F.col("write_id"))
+
+    @property
+    def index_path(self) -> str:
+        return f"{self.root}/_index/spans_raw"
+
+    def find_spans(
+        self, column: str, values: Sequence[str], start: datetime | None = None, end: datetime | None = None
+    ) -> tuple[DataFrame, DataFrame]:
+        """Raw spans whose trace or request id is one of ``values``, and the files the index named for each."""
+        named = lookup.find_files(self.spark, self.index_path, column, values, start, end)
+        named = named.withColumn("write_id", F.substring_index("folder", "write_id=", -1))
+        named = self._visible(named, "spans_raw").select("value", "folder", "file")
+        found = named.select("folder", "file").distinct().limit(lookup.MOST_FILES + 1).collect()
+        if len(found) > lookup.MOST_FILES:
+            rows = self.read("spans_raw", start, end)
+        else:
+            paths = [f"{self.path('spans_raw')}/{r['folder']}/{r['file']}" for r in found]
+            # A file that was replaced since leaves its entry behind.
+            present = sorted(p for p in paths if files.exists(self.spark, p))
+            rows = time_range(self._stored("spans_raw", present), "ts", start, end)
+        return rows.filter(F.col(column).isin(sorted(set(values)))), named
 
     def snapshots_of(self, table: str, write_id: str) -> list[tuple[date, str]]:
         """Snapshots in force that hold rows of a write, directly or through other snapshots."""
-        log = self._log(table)
+        log = self._log(table).read()
         if log is None:
             return []
         # One row for each compaction of a day in which the id, or a snapshot of it, took part.
@@ -145,10 +190,7 @@ class TableStore:
 
         A range lists the folders of its own days only.
         """
-        schema, time_column, _ = TABLES[table]
-        stored = T.StructType(
-            [*schema, T.StructField("dt", T.DateType()), T.StructField("write_id", T.StringType())]
-        )
+        _, time_column, _ = TABLES[table]
         if as_of is not None:
             kept = as_of - RETENTION[table]
             start = kept if start is None else max(start, kept)
@@ -157,10 +199,17 @@ class TableStore:
             paths = [base] if files.exists(self.spark, base) else []
         else:
             paths = [f"{base}/{day}" for day in self._days(table, start, end)]
+        df = self._stored(table, paths)
+        return time_range(self._visible(df, table), time_column, start, end) if paths else df
+
+    def _stored(self, table: str, paths: list[str]) -> DataFrame:
+        """Rows of folders or files as they lie there, replaced or not."""
+        stored = T.StructType(
+            [*TABLES[table][0], T.StructField("dt", T.DateType()), T.StructField("write_id", T.StringType())]
+        )
         if not paths:
             return self.spark.createDataFrame([], stored)
-        df = self.spark.read.schema(stored).option("basePath", base).parquet(*paths)
-        return time_range(self._visible(df, table), time_column, start, end)
+        return self.spark.read.schema(stored).option("basePath", self.path(table)).parquet(*paths)
 
     def _days(self, table: str, start: datetime | None, end: datetime | None) -> list[str]:
         """Folders of the days a range touches."""
@@ -172,16 +221,23 @@ class TableStore:
             and (end is None or d[3:] <= end.date().isoformat())
         ]
 
-    # --- compaction -----------------------------------------------------------
+    def writes(self, table: str) -> DataFrame:
+        """``(dt, write_id)`` of the writes in force, from a listing of folders."""
+        found = files.matching(self.spark, f"{self.path(table)}/dt=*/write_id=*")
+        pairs = [f.rsplit("/", 2)[-2:] for f in found]
+        rows = [(date.fromisoformat(day[3:]), write.removeprefix("write_id=")) for day, write in pairs]
+        listed = self.spark.createDataFrame(rows, "dt date, write_id string")
+        return self._visible(listed, table)
+
+    def read_writes(self, table: str, writes: Sequence[tuple[date, str]]) -> DataFrame:
+        """The rows of some writes of some days; no other folder is opened."""
+        base = self.path(table)
+        return self._stored(table, [f"{base}/dt={day.isoformat()}/write_id={name}" for day, name in writes])
 
-    def _log_path(self, table: str) -> str:
-        return f"{self.root}/_compactions/{table}"
+    # --- compaction -----------------------------------------------------------
 
-    def _log(self, table: str) -> DataFrame | None:
-        path = self._log_path(table)
-        if not files.has_data(self.spark, path):
-            return None
-        return self.spark.read.schema(_COMPACTION).parquet(path)
+    def _log(self, table: str) -> CommitLog:
+        return CommitLog(self.spark, f"{self.root}/_compactions/{table}", _COMPACTION)
 
     def _in_force(self, log: DataFrame) -> DataFrame:
         """Compactions that were not withdrawn."""
@@ -195,7 +251,7 @@ class TableStore:
         The log names one snapshot per compacted day and its replaced writes; its
         size depends on the number of writes, not of rows.
         """
-        log = self._log(table)
+        log = self._log(table).read()
         if log is None:
             return df.filter(~F.col("write_id").startswith(_SNAPSHOT))
         log = self._in_force(log)
@@ -220,9 +276,12 @@ class TableStore:
         """Merge all writes of a day into one snapshot; returns its id.
 
         The snapshot counts from the moment its log row is written, and the writes
-        it replaces stop counting at that same moment. ``vacuum`` deletes them.
+        it replaces stop counting at that same moment. ``vacuum`` deletes them. Where
+        another compaction has taken some of the same writes meanwhile, this one is undone
+        and there is no id to return.
         """
-        schema, time_column, _ = TABLES[table]
+        _, time_column, _ = TABLES[table]
+        base = self._log(table).version()
         folder = f"{self.path(table)}/dt={day.isoformat()}"
         present = [d.split("=", 1)[1] for d in files.list_dirs(self.spark, folder)]
         midnight = datetime.combine(day, time.min)
@@ -237,23 +296,39 @@ class TableStore:
         if table in ("spans_1m", "spans_1h"):
             rows = merge_states(rows, [time_column, *DIMENSION_COLUMNS])
         self.write(rows, table, snapshot)
-        log = self.spark.createDataFrame(
-            [(day, snapshot, live, False)], _COMPACTION
-        )
-        log.coalesce(1).write.mode("append").parquet(self._log_path(table))
+
+        def conflict(entered: DataFrame) -> str | None:
+            same = (F.col("dt") == F.lit(day)) & (
+                F.col("write_id").isin(live) | F.arrays_overlap("replaced", F.array(*map(F.lit, live)))
+            )
+            taken = entered.filter(same).select("write_id").first()
+            return f"{taken['write_id']} holds some of these writes" if taken else None
+
+        try:
+            self._log(table).commit([(day, snapshot, live, False)], base, conflict)
+        except CommitConflict:
+            for gone in files.matching(self.spark, f"{self.path(table)}/dt=*/write_id={snapshot}"):
+                files.delete(self.spark, gone)
+            return None
         return snapshot
 
     def vacuum(self, table: str) -> int:
         """Delete writes a published snapshot has replaced; returns how many."""
-        log = self._log(table)
+        log = self._log(table).read()
         if log is None:
             return 0
         replaced = self._in_force(log).select("dt", F.explode("replaced").alias("w")).distinct()
-        gone = replaced.toLocalIterator()
-        return sum(
-            files.delete(self.spark, f"{self.path(table)}/dt={row['dt']}/write_id={row['w']}")
-            for row in gone
-        )
+        deleted = 0
+        for row in replaced.toLocalIterator():
+            deleted += files.delete(self.spark, f"{self.path(table)}/dt={row['dt']}/write_id={row['w']}")
+        self._trim_index(table)
+        return deleted
+
+    def _trim_index(self, table: str) -> None:
+        """Forget the writes of which no day is left."""
+        if table == "spans_raw":
+            left = files.matching(self.spark, f"{self.path(table)}/dt=*/write_id=*")
+            lookup.trim(self.spark, self.index_path, {f.rsplit("write_id=", 1)[1] for f in left})
 
     # --- retention ------------------------------------------------------------
 
@@ -283,6 +358,7 @@ class TableStore:
         ]
         for d in expired:
             files.delete(self.spark, f"{self.path(table)}/{d}")
+        self._trim_index(table)
         return expired
 
     # --- allowlist ------------------------------------------------------------
@@ -326,15 +402,13 @@ class TableStore:
     # --- physical facts -------------------------------------------------------
 
     def active_files(self, table: str) -> DataFrame:
-        """Files and bytes per day of a table, from file metadata."""
+        """Files and bytes per day of a table, from a listing that opens no file."""
         if not files.exists(self.spark, self.path(table)):
             return literal_rows(self.spark, [(None, 0, 0)], "dt, files, bytes").limit(0)
-        stored = self.spark.read.schema("dt date, write_id string").parquet(self.path(table))
-        located = stored.select("dt", "write_id", "_metadata.file_path", "_metadata.file_size")
+        listing = files.listed(self.spark, self.path(table), [self.path(table)])
+        located = listing.select(F.col("dt").cast("date").alias("dt"), F.col("write_id").cast("string").alias("write_id"), "length")
         return (
             self._visible(located, table)
-            .groupBy("dt", "file_path")
-            .agg(F.max("file_size").alias("file_size"))
             .groupBy("dt")
-            .agg(F.count("*").alias("files"), F.sum("file_size").alias("bytes"))
+            .agg(F.count("*").alias("files"), F.sum("length").alias("bytes"))
         )
