@@ -324,6 +324,47 @@ def _rounded_states(time_column: str, source: str) -> str:
     return f"SELECT * REPLACE ({', '.join(_r6(c, c) for c in doubles)}) FROM ({source})"
 
 
+# Buckets of a quantile state, and the number in the middle of one.
+_WHOLE = "CAST(greatest(1, least(round(({c}) * 1000::DOUBLE), 1099511627775::DOUBLE)) AS BIGINT)"
+_SHIFT = f"greatest(length(bin({_WHOLE})) - 8, 0)"
+_BUCKET = f"CAST({_SHIFT} * 128 + ({_WHOLE} >> {_SHIFT}) AS INTEGER)"
+
+
+def _bucket(column: str) -> str:
+    return _BUCKET.format(c=column)
+
+
+def _held(column: str, p: float, digits: int = 6) -> str:
+    """A quantile as a state gives it: the middle of the bucket of the value that reaches the share."""
+    bucket = f"CAST(quantile_disc({_bucket(column)}, {p}) FILTER (WHERE {column} > 0) AS BIGINT)"
+    shift = f"greatest(({bucket}) // 128 - 1, 0)"
+    low = f"((({bucket}) - {shift} * 128) << CAST({shift} AS INTEGER))"
+    return f"round(({low} + ((1::BIGINT << CAST({shift} AS INTEGER)) - 1) / 2.0::DOUBLE) / 1000.0::DOUBLE, {digits})"
+
+
+def _counts(keys: str, column: str) -> str:
+    """``bucket:n`` of all buckets of a measure in each group of guarded spans."""
+    return (
+        f"(SELECT {keys}, string_agg(b || ':' || n, ',' ORDER BY b) AS held FROM (SELECT {keys}, b, count(*) AS n "
+        f"FROM (SELECT *, {_bucket(column)} AS b FROM timed WHERE {column} > 0) GROUP BY ALL) GROUP BY ALL)"
+    )
+
+
+def _whole_states(unit: str) -> str:
+    """Rollup rows with their sketches as what they hold."""
+    time = f"ts_{unit}"
+    keys = f"{time}, {_DIM_LIST}"
+    same = " AND ".join(f"{{a}}.{k} = s.{k}" for k in keys.split(", "))
+    doubles = ("itl_sum", "queue_time_sum", "kv_cache_sum", "kv_cache_max")
+    return _with(
+        [_SPANS, _ALLOW, _GUARDED, f"timed AS (SELECT *, date_trunc('{unit}', ts) AS {time} FROM guarded)"],
+        f"SELECT s.* REPLACE ({', '.join(_r6('s.' + c, c) for c in doubles)}), coalesce(a.held, '') AS ttft, "
+        f"coalesce(b.held, '') AS duration FROM (SELECT {keys}, {_STATE_COLUMNS}, count(DISTINCT trace_id) AS traces "
+        f"FROM timed GROUP BY ALL) s LEFT JOIN {_counts(keys, 'ttft_ms')} a ON {same.format(a='a')} "
+        f"LEFT JOIN {_counts(keys, 'duration_ms')} b ON {same.format(a='b')}",
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     jan = "TIMESTAMP '2024-01-{}'"
@@ -480,8 +521,15 @@ def oracle_sql() -> dict[str, str]:
         for d in _R.dimensions
     )
     q["d02_unregistered_values"] = _with([_SPANS, _ALLOW], unregistered)
+    print_of = (
+        f"(SELECT count(*) AS rows, {_sum('input_tokens')}, {_sum('output_tokens')}, sum({{d}}) AS d, "
+        "count(DISTINCT tenant_id) AS tenants, count(DISTINCT trace_id) AS traces FROM {t})"
+    )
+    exact = ("rows", "input_tokens", "output_tokens", "tenants", "traces")
     q["d04_fingerprint_comparison"] = _lake(
-        "SELECT count(*) AS rows, count(DISTINCT trace_id) AS traces, true AS agree FROM lake"
+        f"SELECT {', '.join(f's.{c} AS source_{c}, l.{c} AS lake_{c}' for c in exact)}, "
+        f"{' AND '.join(f's.{c} = l.{c}' for c in exact)} AND abs(s.d - l.d) <= greatest(1, abs(s.d) * 1e-6) AS agree "
+        f"FROM {print_of.format(d='duration_ms', t='again')} s, {print_of.format(d='dur', t='lake')} l"
     )
     q["d05_partition_lag"] = _with(
         [_OFFSETS], "SELECT day, partition, high, position, lag FROM lags"
@@ -506,9 +554,15 @@ def oracle_sql() -> dict[str, str]:
         f"{_r6('min(duration_ms)', 'shortest')}, {_r6('max(duration_ms)', 'longest')}, "
         "min(region) AS any_region FROM spans GROUP BY 1"
     )
-    q["e07_approx_distinct"] = _spans(
-        "SELECT operation, count(DISTINCT trace_id) AS exact, true AS within_5_percent "
-        "FROM spans GROUP BY 1"
+    q["e07_approx_distinct"] = _with(
+        [_SPANS, _ALLOW, _GUARDED],
+        "SELECT tenant_id, date_trunc('hour', ts) AS hour, count(DISTINCT trace_id) AS traces FROM guarded GROUP BY 1, 2"
+    )
+    q["e07_shared_traces"] = _with(
+        [_SPANS],
+        "SELECT day, count(*) FILTER (WHERE bad AND good) AS traces FROM (SELECT date_trunc('day', ts) AS day, trace_id, "
+        "bool_or(status_class <> 'ok') AS bad, bool_or(status_class = 'ok') AS good FROM spans GROUP BY 1, 2) "
+        "GROUP BY 1 HAVING bool_or(bad) AND bool_or(good)",
     )
     q["e08_exact_distinct"] = _spans(
         "SELECT operation, count(DISTINCT tenant_id) AS tenants, count(DISTINCT tenant_id) "
@@ -528,12 +582,14 @@ def oracle_sql() -> dict[str, str]:
         "FROM lineitem GROUP BY 1, 2"
     )
     q["e12_quantile_sketch_accuracy"] = _spans(
-        f"SELECT operation, count(*) AS n, {quantiles('duration_ms', exact=0.95)}, "
-        "true AS within_5_percent FROM spans WHERE duration_ms > 0 GROUP BY 1"
+        f"SELECT *, round(abs(sketched - exact) / exact, 6) AS relative_error FROM (SELECT operation, count(*) AS n, "
+        f"{quantiles('duration_ms', exact=0.95)}, {_held('duration_ms', 0.95)} AS sketched "
+        "FROM spans WHERE duration_ms > 0 GROUP BY 1)"
     )
     q["e12_quantile_sketch_lineitem"] = (
-        f"SELECT l_returnflag, count(*) AS n, {quantiles('l_extendedprice', exact=0.99)}, "
-        "true AS within_5_percent FROM lineitem WHERE l_extendedprice > 0 GROUP BY 1"
+        "SELECT *, round(abs(sketched - exact) / exact, 6) AS relative_error FROM (SELECT l_returnflag, count(*) AS n, "
+        f"{quantiles('l_extendedprice', exact=0.99)}, {_held('l_extendedprice', 0.99)} AS sketched "
+        "FROM lineitem WHERE l_extendedprice > 0 GROUP BY 1)"
     )
     q["e15_state_cascade"] = _minute(
         f"SELECT date_trunc('day', ts_minute) AS day, {_sum('spans')}, {_sum('input_tokens')}, "
@@ -552,12 +608,8 @@ def oracle_sql() -> dict[str, str]:
         GROUP BY 1, 2"""
     )
 
-    q["g01_minute_rollup"] = _minute(_rounded_states("ts_minute", "SELECT * FROM minute"))
-    q["g02_hour_rollup"] = _minute(
-        _rounded_states(
-            "ts_hour", _states(f"date_trunc('hour', ts_minute) AS ts_hour, {_DIM_LIST}")
-        )
-    )
+    q["g01_minute_rollup"] = _whole_states("minute")
+    q["g02_hour_rollup"] = _whole_states("hour")
     q["g04_backfill"] = _minute(
         f"SELECT CAST(ts_minute AS DATE) AS day, {_sum('spans')}, {_sum('output_tokens')}, "
         "CAST(sum(errors) AS BIGINT) AS errors FROM minute WHERE "
@@ -626,8 +678,7 @@ def oracle_sql() -> dict[str, str]:
         f"{_r6('(count(*) - count(DISTINCT span_id)) / count(*)', 'duplicate_share')} FROM lake"
     )
     q["g16_lake_stats"] = _lake(
-        "SELECT count(*) AS rows, count(DISTINCT dt) AS partitions, true AS a_file_per_day, "
-        "true AS has_bytes FROM lake"
+        "SELECT count(*) AS rows, count(DISTINCT dt) AS partitions, count(*) AS rows_by_size FROM lake"
     )
     q["g18_rollup_reduction"] = _minute(
         "SELECT round((SELECT count(*) FROM spans) / count(*), 1) AS value FROM "
@@ -746,6 +797,7 @@ def oracle_sql() -> dict[str, str]:
     q["q01_spans_per_sec_of_range"] = _spans(
         "SELECT round(count(*) / (31 * 86400), 6) AS value FROM spans"
     )
+    q["q02_traces"] = _spans("SELECT count(DISTINCT trace_id) AS value FROM spans")
     q["q03_output_tokens_per_sec"] = _spans(
         "SELECT round(sum(output_tokens) / 60, 6) AS value FROM spans"
     )
@@ -761,19 +813,14 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT ts_minute AS time, {_sum('input_tokens')}, {_sum('output_tokens')} "
         "FROM minute GROUP BY 1"
     )
-    # Minutes with up to 2000 values are held without loss, and the reader returns
-    # an observed value.
-    sketched = ", ".join(
-        f"round(quantile_disc(ttft_ms, {p}) FILTER (WHERE ttft_ms > 0), 6) AS {c}"
-        for c, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99))
-    )
+    sketched = ", ".join(f"{_held('ttft_ms', p)} AS {c}" for c, p in (("p50", 0.5), ("p95", 0.95), ("p99", 0.99)))
     q["q08_ttft_quantiles"] = _spans(
         f"SELECT date_trunc('minute', ts) AS time, {sketched} FROM spans GROUP BY 1"
     )
     q["q09_ttft_by_model"] = _with(
         [_SPANS, _ALLOW, _GUARDED],
         "SELECT date_trunc('minute', ts) AS time, model, "
-        "round(quantile_disc(ttft_ms, 0.95) FILTER (WHERE ttft_ms > 0), 6) AS p95 "
+        f"{_held('ttft_ms', 0.95)} AS p95 "
         "FROM guarded WHERE model <> '__none__' GROUP BY 1, 2",
     )
     q["q10_kv_cache_series"] = _minute(
@@ -787,6 +834,13 @@ def oracle_sql() -> dict[str, str]:
         "round(sum(errors) / nullif(sum(spans), 0), 4) AS error_rate FROM minute GROUP BY 1 "
         "ORDER BY span_count DESC, tenant LIMIT 20"
     )
+    q["q11_top_tenants"] = _with(
+        [_SPANS, _ALLOW, _GUARDED],
+        "SELECT tenant_id AS tenant, min(tenant_tier) AS tier, count(*) AS span_count, "
+        f"count(DISTINCT trace_id) AS trace_count, {_sum('output_tokens')}, {_held('ttft_ms', 0.95, 1)} AS ttft_p95_ms, "
+        "round(count(*) FILTER (WHERE failed) / count(*), 4) AS error_rate FROM guarded GROUP BY 1 "
+        "ORDER BY span_count DESC, tenant LIMIT 20",
+    )
     q["q12_errors_by_class"] = _minute(
         f"SELECT ts_minute AS time, status_class, {_sum('spans', 'error_spans')} FROM minute "
         "WHERE status_class <> 'ok' GROUP BY 1, 2"

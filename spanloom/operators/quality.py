@@ -47,6 +47,7 @@ def latency_stats(
         base = timed.agg(*figures)
         return with_quantiles(base, timed, [], F.col("s"), names).select(*order)
     sketched = timed.agg(*figures, K.quantile_state(F.col("s")).alias("q"))
+    sketched = sketched.withColumn("q", K.bucket_counts(F.col("q")))
     return sketched.select(
         "*", *[K.read_quantile(F.col("q"), p).alias(c) for c, p in names.items()]
     ).select(*order)
@@ -108,7 +109,7 @@ def sketch_accuracy(
     seen = spans.select(*by, measured(F.col(column)).alias("v")).filter(F.col("v").isNotNull())
     sketched = seen.groupBy(*by).agg(
         F.count("*").alias("n"),
-        K.read_quantile(K.quantile_state(F.col("v")), p).alias("sketched"),
+        K.read_quantile(K.bucket_counts(K.quantile_state(F.col("v"))), p).alias("sketched"),
     )
     both = with_quantiles(sketched, seen, by, F.col("v"), {"exact": p})
     error = F.abs(F.col("sketched") - F.col("exact")) / F.col("exact")

@@ -37,7 +37,7 @@ SUM_STATES = (
 QUANTILE_STATES = ("ttft", "duration")
 
 
-def initial_states(k: int) -> list[Column]:
+def initial_states() -> list[Column]:
     def total(column: str, name: str) -> Column:
         return F.sum(F.col(column).cast("bigint")).alias(name)
 
@@ -54,8 +54,8 @@ def initial_states(k: int) -> list[Column]:
         total("input_tokens", "input_tokens"),
         total("output_tokens", "output_tokens"),
         total("cached_prompt_tokens", "cached_tokens"),
-        K.quantile_state(S.measured(F.col("ttft_ms")), k).alias("ttft"),
-        K.quantile_state(S.measured(F.col("duration_ms")), k).alias("duration"),
+        K.quantile_state(S.measured(F.col("ttft_ms"))).alias("ttft"),
+        K.quantile_state(S.measured(F.col("duration_ms"))).alias("duration"),
         *average("itl_ms", "itl"),
         *average("queue_time_ms", "queue_time"),
         *average("kv_cache_utilization", "kv_cache"),
@@ -64,24 +64,22 @@ def initial_states(k: int) -> list[Column]:
     ]
 
 
-def _merged_states() -> list[Column]:
+def _merged_states(without: Sequence[str] = ()) -> list[Column]:
     return [
         *[F.sum(c).alias(c) for c in SUM_STATES],
         K.merge_distinct_states(F.col("traces")).alias("traces"),
-        *[K.merge_quantile_states(F.col(c)).alias(c) for c in QUANTILE_STATES],
+        *[K.merge_quantile_states(F.col(c)).alias(c) for c in QUANTILE_STATES if c not in without],
         F.max("kv_cache_max").alias("kv_cache_max"),
     ]
 
 
-def rollup_1m(
-    spans: DataFrame, allowlist: DataFrame, registry: Registry, k: int = K.QUANTILE_K
-) -> DataFrame:
+def rollup_1m(spans: DataFrame, allowlist: DataFrame, registry: Registry) -> DataFrame:
     """Guard the dimensions and aggregate to one state row per minute and dimension values."""
     # Failure is judged on the span's own status, before the guard rewrites it.
     marked = spans.withColumn("__failed", F.col("status_class") != "ok")
     guarded = guard_dimensions(marked, allowlist, registry)
     return guarded.groupBy(S.minute_of(F.col("ts")).alias(MINUTE), *registry.columns).agg(
-        *initial_states(k)
+        *initial_states()
     )
 
 
@@ -105,8 +103,18 @@ def finalize(
     Every figure a reader may want is declared; those not selected afterwards
     are pruned from the aggregate, sketches included.
     """
-    merged = states.groupBy(*by).agg(*extra, *_merged_states())
+    if by:
+        merged = states.groupBy(*by).agg(*extra, *_merged_states())
+    else:
+        # One row even without states, in which case there is nothing to merge.
+        counted = states.groupBy(F.lit(0).alias("__all")).agg(
+            *[K.merge_quantile_states(F.col(c)).alias(c) for c in QUANTILE_STATES]
+        )
+        held = S.single_row(counted)
+        plain = states.agg(*extra, *_merged_states(without=QUANTILE_STATES))
+        merged = plain.withColumns({c: held[c] for c in QUANTILE_STATES})
     keys = merged.columns[: len(by) + len(extra)]
+    merged = merged.withColumns({c: K.bucket_counts(F.col(c)) for c in QUANTILE_STATES})
     zero = F.lit(0).cast("bigint")
 
     def count(c: str) -> Column:

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from spanloom.functions import sketches as K
 from spanloom.operators.decode import dead_letters_of, decode_messages, spans_of
 from spanloom.operators.guard import guard_dimensions
 from spanloom.operators.rollup import MINUTE, initial_states, rollup_1h, rollup_1m
@@ -109,7 +108,6 @@ def windowed_states(
     allowlist: DataFrame,
     registry: Registry,
     delay: str = "10 minutes",
-    k: int = K.QUANTILE_K,
 ) -> DataFrame:
     """Minute states kept in streaming state and emitted when a minute closes.
 
@@ -122,7 +120,7 @@ def windowed_states(
     )
     guarded = guard_dimensions(marked, allowlist, registry)
     states = guarded.groupBy(F.window("ts", "1 minute").alias("w"), *registry.columns).agg(
-        *initial_states(k)
+        *initial_states()
     )
     rest = [c for c in states.columns if c != "w"]
     return states.select(F.col("w.start").alias(MINUTE), *rest)
