@@ -380,6 +380,10 @@ def oracle_sql() -> dict[str, str]:
         "count(DISTINCT event_id // 4) AS messages, CAST(200 AS BIGINT) AS longest "
         "FROM events WHERE (event_id // 4) % 13 = 0"
     )
+    q["s02_replay"] = (
+        "SELECT 'otel.spans' AS topic, 'malformed JSON' AS error, TIMESTAMP '2024-02-01 00:01:00' AS ingested_at, "
+        "count(DISTINCT event_id // 4) AS messages FROM events WHERE (event_id // 4) % 13 = 0"
+    )
     q["s03_raw_sink"] = _decoded(
         "SELECT CAST(ts AS DATE) AS dt, count(*) AS spans, count(DISTINCT tenant_id) AS tenants "
         "FROM decoded GROUP BY 1"
@@ -758,6 +762,7 @@ def oracle_sql() -> dict[str, str]:
     q["j01_two_streams"] = _spans(
         f"SELECT operation, count(*) AS spans, {_sum('input_tokens')} FROM spans GROUP BY 1"
     )
+    q["j11_late_scrapes"] = q["s07_health_sink"]
     q["j11_health_samples"] = q["s07_health_sink"]
     q["m04_late_reexport"] = _spans(
         f"SELECT CAST(ts AS DATE) AS dt, count(*) AS spans, {_sum('output_tokens')} FROM spans GROUP BY 1"

@@ -75,6 +75,17 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@register("s02_replay")
+def _(t: Tables) -> DataFrame:
+    """A batch of dead letters written before midnight and replayed after it: each counts once."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "replay"))
+    for arrived in (LAST - timedelta(minutes=1), LAST + timedelta(minutes=1)):
+        store.write(decode.dead_letters(t.messages, arrived), "dead_letters", "batch-0")
+    return store.read("dead_letters").groupBy("topic", "error", "ingested_at").agg(
+        F.count("*").alias("messages")
+    )
+
+
 @register("s03_raw_sink")
 def _(t: Tables) -> DataFrame:
     """Raw spans per day partition."""
@@ -819,10 +830,8 @@ def _(t: Tables) -> DataFrame:
     )
 
 
-@register("j11_health_samples")
-def _(t: Tables) -> DataFrame:
-    """Health rows added in two passes from lag samples and scraped metrics lines."""
-    store = TableStore(t.spark, scratch_dir(t.spark, "health-passes"))
+def _health_samples(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Lag samples and scraped metrics lines."""
     counters = F.array(
         *[
             F.concat(F.lit(f"{prefix} "), F.col(column).cast("string"))
@@ -833,7 +842,27 @@ def _(t: Tables) -> DataFrame:
         F.date_format("sampled_at", "yyyy-MM-dd HH:mm:ss").alias("scrape"),
         F.explode(counters).alias("line"),
     )
-    lag = t.health.select("sampled_at", "total_lag", "max_partition_lag", "partitions")
+    return t.health.select("sampled_at", "total_lag", "max_partition_lag", "partitions"), lines
+
+
+@register("j11_late_scrapes")
+def _(t: Tables) -> DataFrame:
+    """Every seventh scrape comes after later minutes were recorded; no minute is missing."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "late-scrapes"))
+    lag, lines = _health_samples(t)
+    late = F.pmod(F.hour(F.col("scrape").cast("timestamp")), F.lit(7)) == 3
+    for scraped in (lines.filter(~late), lines, lines):
+        monitor.health_pass(store, lag, scraped, LAST, margin=timedelta(days=31))
+    return store.read("health").select(
+        "sampled_at", "total_lag", "accepted_spans", "sent_spans", "queue_size"
+    )
+
+
+@register("j11_health_samples")
+def _(t: Tables) -> DataFrame:
+    """Health rows added in two passes from lag samples and scraped metrics lines."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "health-passes"))
+    lag, lines = _health_samples(t)
     for until in (datetime(2024, 1, 12, 7), LAST, LAST):
         monitor.health_pass(store, lag, lines, until)
     return store.read("health").select(

@@ -1,11 +1,12 @@
 """Exact quantiles without gathering a group.
 
 ``percentile`` keeps every distinct value of a group in one task's memory and a window over
-a group sorts it in one task. Here equal values are first counted together. Then each wanted
-rank is located from coarse to fine: in its power of two, in one of 2**17 slices of that,
-and for 64-bit values in one of 2**17 slices of the slice. Only the values of the last
-slices are ranked. No window ever holds more rows than one step has slices (2**17), or than
-a last slice has different values: 64 floats or 2**18 doubles, whatever the group's size.
+a group sorts it in one task. Here equal values are first counted together; all that follows
+reads these counts, so the source is scanned once. Then each wanted rank is located from
+coarse to fine: in one of 2**14 slices of each power of two, and for 64-bit values in one of
+2**19 slices of the slice. Only the values of the last slices are ranked. No window ever
+holds more rows than one step has slices in use, or than a last slice has different values:
+2**9 floats or 2**19 doubles, whatever the group's size.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from spanloom.functions.scalars import single_row
 
-SLICE_BITS = 17
+FIRST_BITS, NEXT_BITS = 14, 19
 # Above the exponent of the smallest positive double, so that signs do not mix.
 _OFFSET = 1080
 
@@ -30,13 +31,13 @@ def value_slices(v: Column, levels: int) -> list[Column]:
     """
     exponent = F.floor(F.log2(F.abs(v)))
     sign = F.signum(v)
-    out = [F.when(v == 0, 0).otherwise(sign * (exponent + _OFFSET)).cast("bigint")]
-    rest = F.abs(v) / F.pow(F.lit(2.0), exponent) - 1
+    # Where the logarithm falls just short of a power of two, the slice is that power's first one.
+    scaled = (F.abs(v) / F.pow(F.lit(2.0), exponent) - 1) * float(1 << FIRST_BITS)
+    out = [(exponent + _OFFSET) * (1 << FIRST_BITS) + F.floor(scaled)]
     for _ in range(levels):
-        scaled = rest * float(1 << SLICE_BITS)
-        out.append(F.when(v == 0, 0).otherwise(sign * F.floor(scaled)).cast("bigint"))
-        rest = scaled - F.floor(scaled)
-    return out
+        scaled = (scaled - F.floor(scaled)) * float(1 << NEXT_BITS)
+        out.append(F.floor(scaled))
+    return [F.when(v == 0, 0).otherwise(sign * s).cast("bigint") for s in out]
 
 
 def _ranks(p: float, n: Column, method: str) -> list[Column]:
@@ -70,7 +71,7 @@ def exact_quantiles(
     names = list(by)
     keys = [f"__k{i}" for i in range(len(names))]
     source = df.select(*[F.col(c).alias(k) for c, k in zip(names, keys)], value.alias("__v"))
-    levels = 1 if isinstance(source.schema["__v"].dataType, T.FloatType) else 2
+    levels = 0 if isinstance(source.schema["__v"].dataType, T.FloatType) else 1
     digits = [f"__b{i}" for i in range(levels + 1)]
     # Adding 0.0 turns -0.0 into 0.0, which sorts the same as it does elsewhere.
     counted = (

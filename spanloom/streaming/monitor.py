@@ -16,6 +16,10 @@ from spanloom.sources.metrics import progress_offsets, read_metrics_dumps
 from spanloom.sources.tables import TableStore
 
 
+# How late a scrape or a progress event may come and still be recorded.
+LATE_MARGIN = timedelta(hours=1)
+
+
 class ProgressLog(StreamingQueryListener):
     """Keeps the progress events of all streams as small files in a shared folder.
 
@@ -63,10 +67,8 @@ def per_minute(samples: DataFrame) -> DataFrame:
     )
 
 
-def record_health(
-    store: TableStore, lag: DataFrame, metrics_lines: DataFrame, write_id: str
-) -> None:
-    """Join lag samples and scraped counters by minute and add them to the health table.
+def sampled_minutes(lag: DataFrame, metrics_lines: DataFrame) -> DataFrame:
+    """Health rows of the minutes that have both a lag sample and a scrape.
 
     ``metrics_lines`` is ``(scrape, line)`` with the time of the scrape as text. A
     minute in which either side is missing gets no row: a gap is not a zero.
@@ -76,7 +78,14 @@ def record_health(
         F.col("scrape").try_cast("timestamp").alias("sampled_at"),
         *[c for c in counters.columns if c != "scrape"],
     ).filter(F.col("sampled_at").isNotNull())
-    store.write(health_rows(per_minute(lag), per_minute(counters)), "health", write_id)
+    return health_rows(per_minute(lag), per_minute(counters))
+
+
+def record_health(
+    store: TableStore, lag: DataFrame, metrics_lines: DataFrame, write_id: str
+) -> None:
+    """Add the minutes of some samples to the health table."""
+    store.write(sampled_minutes(lag, metrics_lines), "health", write_id)
 
 
 def expire_progress(spark: SparkSession, folder: str, as_of: datetime, ttl: timedelta) -> list[str]:
@@ -93,23 +102,31 @@ def expire_progress(spark: SparkSession, folder: str, as_of: datetime, ttl: time
 
 
 def health_pass(
-    store: TableStore, lag: DataFrame, metrics_lines: DataFrame, until: datetime
+    store: TableStore,
+    lag: DataFrame,
+    metrics_lines: DataFrame,
+    until: datetime,
+    margin: timedelta = LATE_MARGIN,
 ) -> tuple[datetime | None, datetime]:
-    """Add the samples between the newest one recorded and ``until`` to the health table.
+    """Add the minutes before ``until`` that are complete and not recorded yet; returns the range looked at.
 
-    The write is named by its range, so a pass that failed half-way and runs again
-    replaces its own rows. Returns the range.
+    It begins ``margin`` before the newest minute recorded, so that a scrape or progress
+    event which comes late, after later minutes were recorded, still gets its row. The write
+    is named by the range, and its own earlier rows do not count as recorded: a pass that
+    failed half-way and runs again replaces them.
     """
     newest = store.read("health").agg(utc_text(F.max("sampled_at")).alias("t")).first()["t"]
-    since = datetime.fromisoformat(newest) if newest else None
+    since = datetime.fromisoformat(newest) - margin if newest else None
+    name = f"health-{since:%Y%m%dT%H%M%S}" if since else "health-first"
+    write_id = f"{name}-{until:%Y%m%dT%H%M%S}"
     due = F.col("sampled_at") < instant(until)
     if since is not None:
-        due = due & (F.date_trunc("minute", "sampled_at") > instant(since))
+        due = due & (F.date_trunc("minute", "sampled_at") >= instant(since))
     scraped = metrics_lines.withColumn("sampled_at", F.col("scrape").try_cast("timestamp"))
-    write_id = f"health-{since:%Y%m%dT%H%M%S}" if since else "health-first"
-    record_health(
-        store, lag.filter(due), scraped.filter(due).drop("sampled_at"), f"{write_id}-{until:%Y%m%dT%H%M%S}"
-    )
+    complete = sampled_minutes(lag.filter(due), scraped.filter(due).drop("sampled_at"))
+    recorded = store.read("health", since, until).filter(F.col("write_id") != write_id)
+    fresh = complete.join(recorded.select("sampled_at").distinct(), "sampled_at", "left_anti")
+    store.write(fresh, "health", write_id)
     return since, until
 
 

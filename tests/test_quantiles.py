@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from spanloom.functions.quantiles import SLICE_BITS, exact_quantiles, value_slices, with_quantiles
+from spanloom.functions.quantiles import NEXT_BITS, exact_quantiles, value_slices, with_quantiles
 
 PS = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p99": 0.99, "p100": 1.0}
 
@@ -71,18 +71,18 @@ def test_buckets_never_decrease_and_stay_small(spark):
         [rng.uniform(-1, 1) * 10 ** rng.randint(-30, 30) for _ in range(3000)] + [0.0]
     )
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    for levels in (1, 2):
+    for levels in (0, 1):
         rows = df.select("v", F.array(*value_slices(F.col("v"), levels)).alias("b")).orderBy("v").collect()
         slices = [tuple(r["b"]) for r in rows]
         assert slices == sorted(slices)
-        assert all(abs(d) <= 1 << SLICE_BITS for s in slices for d in s[1:])
-    # Neighbouring 32-bit floats: at most 64 share a slice.
+        assert all(abs(d) <= 1 << NEXT_BITS for s in slices for d in s[1:])
+    # Neighbouring 32-bit floats: at most 512 share a slice.
     floats = [np.float32(123.456)]
     for _ in range(4000):
         floats.append(np.nextafter(floats[-1], np.float32(1e9)))
     df = spark.createDataFrame([(float(v),) for v in floats], "v double")
-    sizes = df.groupBy(*value_slices(F.col("v"), 1)).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 64
+    sizes = df.groupBy(*value_slices(F.col("v"), 0)).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 512
 
 
 def test_a_million_neighbouring_doubles(spark):
@@ -90,3 +90,14 @@ def test_a_million_neighbouring_doubles(spark):
     df = spark.range(1_000_000).select((F.lit(1.0) + F.col("id") * step).alias("v"))
     row = exact_quantiles(df, [], F.col("v"), {"a": 0.5, "b": 0.999}, "disc").first()
     assert row["a"] == 1.0 + 499_999 * step and row["b"] == 1.0 + 998_999 * step
+
+
+def test_the_source_is_scanned_once(spark, folder):
+    """All levels read the counts of one exchange."""
+    path = f"{folder}/values"
+    spark.range(5000).select((F.col("id") % 7).alias("g"), F.sqrt("id").alias("v")).write.parquet(path)
+    found = exact_quantiles(spark.read.parquet(path), ["g"], F.col("v"), {"p50": 0.5, "p99": 0.99})
+    assert found.count() == 7
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan

@@ -5,12 +5,19 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanloom.operators.backfill import backfill, backfill_window
-from spanloom.operators.decode import decode_spans
+from spanloom.operators.decode import dead_letters, decode_spans
+from spanloom.operators.health import METRIC_PREFIXES
 from spanloom.operators.rollup import finalize
 from spanloom.sources.messages import load_messages, read_message_files
 from spanloom.sources.tables import TableStore
 from spanloom.streaming.ingest import ingest_batch, once_per_span, start_ingest, windowed_states
-from spanloom.streaming.monitor import ProgressLog, expire_progress, lag_samples, record_health
+from spanloom.streaming.monitor import (
+    ProgressLog,
+    expire_progress,
+    health_pass,
+    lag_samples,
+    record_health,
+)
 
 NOW = datetime(2024, 2, 1)
 FIGURES = ("spans", "input_tokens", "output_tokens", "errors")
@@ -254,3 +261,32 @@ def test_health_is_recorded_by_minute_without_invented_rows(spark, folder):
         (0, 2, 15),
         (2, 4, 30),
     ]
+
+
+def test_a_late_scrape_gets_its_minute(spark, folder):
+    store = TableStore(spark, folder)
+    at = [datetime(2024, 1, 1, 12, m) for m in range(4)]
+    lag = spark.createDataFrame([(t, 5, 5, 1) for t in at], "sampled_at timestamp, total_lag long, max_partition_lag long, partitions long")
+
+    def scrapes(minutes):
+        rows = [(f"{at[m]:%Y-%m-%d %H:%M:%S}", f"{p} {m + 1}") for m in minutes for p in METRIC_PREFIXES]
+        return spark.createDataFrame(rows, "scrape string, line string")
+
+    def recorded():
+        rows = store.read("health").orderBy("sampled_at").collect()
+        return [(r["sampled_at"], r["accepted_spans"]) for r in rows]
+
+    health_pass(store, lag, scrapes([0, 2]), at[3])
+    assert recorded() == [(at[0], 1), (at[2], 3)]
+    for _ in range(2):  # the second time as a pass that failed half-way and runs again
+        health_pass(store, lag, scrapes([0, 1, 2, 3]), at[3] + timedelta(minutes=1))
+        assert recorded() == [(t, m + 1) for m, t in enumerate(at)]
+
+
+def test_a_batch_replayed_on_another_day_replaces_itself(spark, folder):
+    store = TableStore(spark, folder)
+    messages = spark.createDataFrame([("{", "t", 0, k) for k in range(5)], "value string, topic string, partition int, offset long")
+    for minute, kept in ((datetime(2024, 1, 1, 23, 59), messages), (datetime(2024, 1, 2, 0, 1), messages.limit(3))):
+        store.write(dead_letters(kept, minute), "dead_letters", "batch-0")
+    rows = store.read("dead_letters").collect()
+    assert len(rows) == 3 and {r["ingested_at"] for r in rows} == {datetime(2024, 1, 2, 0, 1)}
