@@ -641,6 +641,27 @@ def oracle_sql() -> dict[str, str]:
         f"WHERE ts > {jan.format('29')} AND ts <= {jan.format('30')} AND tenant_id <> '' "
         "GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 20"
     )
+    def bound(total: str) -> str:
+        return f"CAST(ceil(({total}) * (3.5::DOUBLE / 2048::DOUBLE)) AS BIGINT) AS bound"
+
+    day = f"ts >= {jan.format('29')} AND ts < {jan.format('30')} AND tenant_id <> ''"
+    q["g07_from_states"] = _spans(
+        "SELECT 'tenant_id' AS dimension, tenant_id AS value, count(*) AS spans, "
+        f"{bound(f'SELECT count(*) FROM spans WHERE {day}')} FROM spans WHERE {day} "
+        "GROUP BY 2 ORDER BY 3 DESC, 2 LIMIT 20"
+    )
+    q["q26_from_states"] = _with(
+        [_SPANS, _ALLOW],
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{d.name}' AS dimension, {d.column} AS value, count(*) AS spans, "
+            + bound(f"SELECT count(*) FROM spans WHERE {d.column} <> ''")
+            + f" FROM spans WHERE {d.column} <> '' AND {d.column} NOT IN "
+            f"(SELECT value FROM allow WHERE dimension = '{d.name}') GROUP BY 2"
+            for d in _R.dimensions
+        )
+        + ") ORDER BY spans DESC, dimension, value LIMIT 50",
+    )
     q["g09_allowlist"] = _with(
         [_SPANS, _ALLOW],
         "SELECT dimension, count(*) AS n, min(value) AS first, max(value) AS last "

@@ -12,7 +12,7 @@ from registered.tables import FIRST, LAST, PERIOD, Tables, comparable
 from spanloom.functions import sketches
 from spanloom.functions.quantiles import exact_quantiles
 from spanloom.functions.scalars import hour_of, minute_of, single_row
-from spanloom.operators import decode, dedup, grading, guard, health, quality, rollup
+from spanloom.operators import decode, dedup, grading, guard, health, heavy, quality, rollup
 from spanloom.operators.backfill import backfill_states
 from spanloom.plans import bi, dashboards, live, readback
 from spanloom.plans import lake as lake_plans
@@ -590,6 +590,13 @@ def _(t: Tables) -> DataFrame:
     return guard.top_k_values(t.spans, day, datetime(2024, 1, 30))
 
 
+@register("g07_from_states")
+def _(t: Tables) -> DataFrame:
+    """The same top values from the counters the stream wrote, with the counts' bound."""
+    day = t.registry.with_dimension("tenant_id", budget=20, top_k_window_hours=24)
+    return heavy.top_k_from_states(t.store.read("values_1m"), day, datetime(2024, 1, 30))
+
+
 @register("g09_allowlist")
 def _(t: Tables) -> DataFrame:
     return t.allowlist.groupBy("dimension").agg(
@@ -952,6 +959,9 @@ _STATES: dict[str, Callable[[Tables], DataFrame]] = {
     "q26_which_unregistered": lambda t: dashboards.which_unregistered(
         t.spans, t.allowlist, t.registry, PERIOD
     ),
+    "q26_from_states": lambda t: heavy.unregistered_from_states(
+        dashboards.between(t.store.read("values_1m"), "ts_minute", PERIOD), t.store.read_allowlist()
+    ),
     "q27_bucket_breakdown": lambda t: dashboards.bucket_breakdown(t.minute, t.registry, PERIOD),
     "q28_unregistered_series": lambda t: dashboards.unregistered_series(
         t.minute, t.registry, PERIOD

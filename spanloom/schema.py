@@ -152,6 +152,7 @@ RETENTION = {
     "spans_raw": timedelta(hours=48),
     "spans_1m": timedelta(days=7),
     "spans_1h": timedelta(days=90),
+    "values_1m": timedelta(days=7),
     "dead_letters": timedelta(days=7),
     "health": timedelta(days=30),
 }

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from spanloom.functions.scalars import instant
+from spanloom.operators.heavy import merge_value_states
 from spanloom.operators.rollup import HOUR, MINUTE, QUANTILE_STATES, SUM_STATES, merge_states
 from spanloom.registry import Registry
 from spanloom.schema import (
@@ -51,6 +52,18 @@ TABLES: dict[str, tuple[T.StructType, str, tuple[str, ...]]] = {
     "spans_raw": (SPANS, "ts", ("tenant_id", "model", "ts")),
     "spans_1m": (_states_schema(MINUTE), MINUTE, (*DIMENSION_COLUMNS, MINUTE)),
     "spans_1h": (_states_schema(HOUR), HOUR, (*DIMENSION_COLUMNS, HOUR)),
+    "values_1m": (
+        T.StructType(
+            [
+                T.StructField(MINUTE, T.TimestampType()),
+                T.StructField("dimension", T.StringType()),
+                T.StructField("spans", T.LongType()),
+                T.StructField("sketch", T.BinaryType()),
+            ]
+        ),
+        MINUTE,
+        ("dimension", MINUTE),
+    ),
     "dead_letters": (DEAD_LETTERS, "ingested_at", ("ingested_at", "topic", "partition")),
     "health": (HEALTH, "sampled_at", ("sampled_at",)),
 }
@@ -295,6 +308,8 @@ class TableStore:
         snapshot = f"{_SNAPSHOT}{uuid.uuid4().hex[:12]}"
         if table in ("spans_1m", "spans_1h"):
             rows = merge_states(rows, [time_column, *DIMENSION_COLUMNS])
+        if table == "values_1m":
+            rows = merge_value_states(rows, [time_column, "dimension"])
         self.write(rows, table, snapshot)
 
         def conflict(entered: DataFrame) -> str | None:

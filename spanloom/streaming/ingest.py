@@ -1,4 +1,4 @@
-"""The continuous chain: messages to raw spans, dead letters, minute and hour states.
+"""The continuous chain: messages to raw spans, dead letters, minute and hour states, frequent values.
 
 Each micro-batch writes its own partial states under its batch id; readers merge
 them. That makes every step stateless: late spans always count, totals equal the
@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from spanloom.operators.decode import dead_letters_of, decode_messages, spans_of
 from spanloom.operators.guard import guard_dimensions
+from spanloom.operators.heavy import value_states
 from spanloom.operators.rollup import MINUTE, initial_states, rollup_1h, rollup_1m
 from spanloom.registry import Registry
 from spanloom.sources.tables import TableStore
@@ -64,6 +65,7 @@ def ingest_batch(
         lambda: store.write(spans, "spans_raw", write_id),
         lambda: store.write(dead, "dead_letters", write_id),
         lambda: _write_states(spans, write_id, store, registry),
+        lambda: store.write(value_states(spans, registry), "values_1m", write_id),
     )
     try:
         with ThreadPoolExecutor(len(writes)) as pool:
