@@ -380,6 +380,39 @@ def oracle_sql() -> dict[str, str]:
         "count(DISTINCT event_id // 4) AS messages, CAST(200 AS BIGINT) AS longest "
         "FROM events WHERE (event_id // 4) % 13 = 0"
     )
+    q["s01_offset_gaps"] = (
+        "WITH m AS (SELECT event_id % 6 AS p, event_id // 6 AS o, ts >= TIMESTAMP '2024-01-10 06:00:00' AND "
+        "ts < TIMESTAMP '2024-01-10 18:00:00' AS lost FROM events), "
+        "b AS (SELECT p, max(o) FILTER (WHERE NOT lost AND o < l) + 1 AS f, min(o) FILTER (WHERE NOT lost AND o > l) - 1 AS t "
+        "FROM m JOIN (SELECT p, min(o) AS l FROM m WHERE lost GROUP BY p) USING (p) GROUP BY p) "
+        "SELECT 'events' AS topic, CAST(p AS INTEGER) AS partition, f AS from_offset, t AS to_offset, t - f + 1 AS missing FROM b"
+    )
+    q["s12_empty_lake"] = _spans(
+        "SELECT count(*) AS rows, max(ts) AS last_ts, CAST(sum(output_tokens) AS BIGINT) AS output_tokens "
+        "FROM spans WHERE ts < TIMESTAMP '2023-12-02'"
+    )
+    q["c09_event_time_latency"] = _with(
+        [_SPANS, _AGAIN],
+        f"SELECT count(*) AS n, {_r6('avg(s)', 'avg_s')}, "
+        + ", ".join(_r6(f"quantile_cont(s, {p})", f"p{int(p * 100)}_s") for p in (0.5, 0.95, 0.99))
+        + f", {_r6('max(s)', 'max_s')} FROM (SELECT {_LATENCY} AS s FROM again "
+        "WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-06 12:00:00')",
+    )
+    q["j05_lag_margin"] = _spans(
+        "SELECT a AS window_start, b AS window_end, count(*) AS rows FROM spans JOIN (VALUES "
+        "(TIMESTAMP '2024-01-02 12:00:00', TIMESTAMP '2024-01-02 12:25:00'), "
+        "(TIMESTAMP '2024-01-02 12:25:00', TIMESTAMP '2024-01-02 12:57:00')) w(a, b) ON ts >= a AND ts < b GROUP BY 1, 2"
+    )
+    q["j09_allowlist_refresh"] = _with(
+        [_SPANS, _ALLOW],
+        "SELECT second, CASE WHEN tenant_id = '' THEN '__none__' WHEN second AND tenant_id IN (SELECT value FROM allow "
+        "WHERE dimension = 'tenant_id') THEN tenant_id ELSE '__other__' END AS tenant_id, count(*) AS spans "
+        "FROM (SELECT *, (event_id // 4) % 2 = 1 AS second FROM spans) GROUP BY 1, 2",
+    )
+    q["j10_bounded_batch"] = (
+        "SELECT 'otel.spans' AS topic, count(DISTINCT event_id // 4) + count(DISTINCT event_id // 4) "
+        "FILTER (WHERE (event_id // 4) % 13 = 0) AS messages, CAST(4 AS BIGINT) AS batches FROM events"
+    )
     q["s02_replay"] = (
         "SELECT 'otel.spans' AS topic, 'malformed JSON' AS error, TIMESTAMP '2024-02-01 00:01:00' AS ingested_at, "
         "count(DISTINCT event_id // 4) AS messages FROM events WHERE (event_id // 4) % 13 = 0"

@@ -12,7 +12,7 @@ from registered.tables import FIRST, LAST, PERIOD, Tables, comparable
 from spanloom.functions import sketches
 from spanloom.functions.quantiles import exact_quantiles
 from spanloom.functions.scalars import hour_of, minute_of, single_row
-from spanloom.operators import decode, dedup, grading, guard, health, heavy, quality, rollup
+from spanloom.operators import decode, dedup, grading, guard, health, heavy, offsets, quality, rollup
 from spanloom.operators.backfill import backfill_states
 from spanloom.plans import bi, dashboards, live, readback
 from spanloom.plans import lake as lake_plans
@@ -24,6 +24,7 @@ from spanloom.sources.tables import TableStore
 from spanloom.streaming import monitor
 from spanloom.streaming.ingest import (
     complete_windows,
+    ingest_batch,
     once_per_span,
     start_ingest,
     windowed_states,
@@ -66,6 +67,87 @@ def _(t: Tables) -> DataFrame:
     )
 
 
+@register("s01_offset_gaps")
+def _(t: Tables) -> DataFrame:
+    """Offsets that the batches of a month never covered: an outage of half a day, in batches of six hours."""
+    messages = t.events.select(
+        "ts",
+        F.lit("events").alias("topic"),
+        (F.col("event_id") % 6).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 6).alias("offset"),
+    )
+    outage = (F.col("ts") >= F.lit(datetime(2024, 1, 10, 6))) & (F.col("ts") < F.lit(datetime(2024, 1, 10, 18)))
+    # Ranges are taken within a batch: it goes along with the topic and is cut off again.
+    batch = F.floor(F.unix_timestamp("ts") / 21600).cast("string")
+    read = messages.filter(~outage).withColumn("topic", F.concat_ws("@", "topic", batch))
+    ledger = offsets.consumed_ranges(read, LAST).withColumn("topic", F.substring_index("topic", "@", 1))
+    return offsets.offset_gaps(ledger)
+
+
+@register("s12_empty_lake")
+def _(t: Tables) -> DataFrame:
+    """A lake to which only windows without spans were exported: the full schema and no rows."""
+    root = scratch_dir(t.spark, "empty-lake")
+    old = datetime(2023, 12, 1)
+    L.run_export(t.spans, root, now=old + timedelta(days=1), since=old)
+    spans, deduped = L.open_lake(t.spark, root)
+    return spans.unionByName(deduped).agg(
+        F.count("*").alias("rows"), F.max("ts").alias("last_ts"), F.sum("output_tokens").alias("output_tokens")
+    )
+
+
+@register("c09_event_time_latency")
+def _(t: Tables) -> DataFrame:
+    """Ingest latency of a range of event time, whenever its spans arrived."""
+    return quality.latency_stats(t.redelivered, None, datetime(2024, 1, 5), datetime(2024, 1, 6, 12))
+
+
+@register("j05_lag_margin")
+def _(t: Tables) -> DataFrame:
+    """An export at half past leaves the newest minutes for the next run, which takes up there."""
+    root = scratch_dir(t.spark, "margin")
+    for now in (datetime(2024, 1, 2, 12, 30), datetime(2024, 1, 2, 13, 2)):
+        L.run_export(t.spans, root, now=now, since=None if L.read_watermark(t.spark, root) else FIRST)
+    recent = F.col("window_end") > F.lit(datetime(2024, 1, 2, 12))
+    return L.read_manifest(t.spark, root).filter(recent).select("window_start", "window_end", "rows")
+
+
+@register("j09_allowlist_refresh")
+def _(t: Tables) -> DataFrame:
+    """Each batch is guarded by the newest allowlist: one published between two counts for the second."""
+    store = TableStore(t.spark, scratch_dir(t.spark, "refresh"))
+    messages = load_messages(t.spark, t.message_files)
+    trace = F.get_json_object("value", "$.resourceSpans[0].scopeSpans[0].spans[0].traceId")
+    halves = [messages.filter(F.substring(trace, 2, 20).cast("bigint") % 2 == k) for k in (0, 1)]
+    store.publish_allowlist(t.allowlist.filter("dimension <> 'tenant_id'"), t.registry)
+    ingest_batch(halves[0], 0, store, t.registry)
+    store.publish_allowlist(t.allowlist, t.registry)
+    ingest_batch(halves[1], 1, store, t.registry)
+    second = F.col("write_id").endswith("1").alias("second")
+    return rollup.finalize(store.read("spans_1m"), [second, F.col("tenant_id")]).select("second", "tenant_id", "spans")
+
+
+@register("j10_bounded_batch")
+def _(t: Tables) -> DataFrame:
+    """A stream that takes two files a batch: what its batches hold adds up to all messages."""
+    files_of = read_message_files(t.spark, t.message_files, max_files=2)
+    out = scratch_dir(t.spark, "bounded")
+    query = (
+        files_of.select("topic", "offset")
+        .writeStream.foreachBatch(
+            lambda batch, n: batch.groupBy("topic").agg(F.count("*").alias("messages")).withColumn("batch", F.lit(n))
+            .write.mode("append").parquet(out)
+        )
+        .option("checkpointLocation", scratch_dir(t.spark, "bounded-checkpoint"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return t.spark.read.parquet(out).groupBy("topic").agg(
+        F.sum("messages").alias("messages"), F.count_distinct("batch").alias("batches")
+    )
+
+
 @register("s02_dead_letters")
 def _(t: Tables) -> DataFrame:
     dead = t.store.read("dead_letters")

@@ -119,6 +119,17 @@ DEAD_LETTERS = T.StructType(
     ]
 )
 
+OFFSETS = T.StructType(
+    [
+        T.StructField("consumed_at", T.TimestampType()),
+        T.StructField("topic", T.StringType()),
+        T.StructField("partition", T.IntegerType()),
+        T.StructField("first_offset", T.LongType()),
+        T.StructField("last_offset", T.LongType()),
+        T.StructField("messages", T.LongType()),
+    ]
+)
+
 HEALTH_COUNTERS = (
     "accepted_spans",
     "refused_spans",
@@ -153,6 +164,7 @@ RETENTION = {
     "spans_1m": timedelta(days=7),
     "spans_1h": timedelta(days=90),
     "values_1m": timedelta(days=7),
+    "offsets": timedelta(days=30),
     "dead_letters": timedelta(days=7),
     "health": timedelta(days=30),
 }

@@ -24,6 +24,7 @@ from spanloom.schema import (
     DEAD_LETTERS,
     DIMENSION_COLUMNS,
     HEALTH,
+    OFFSETS,
     RETENTION,
     SPANS,
 )
@@ -64,6 +65,7 @@ TABLES: dict[str, tuple[T.StructType, str, tuple[str, ...]]] = {
         MINUTE,
         ("dimension", MINUTE),
     ),
+    "offsets": (OFFSETS, "consumed_at", ("topic", "partition", "first_offset")),
     "dead_letters": (DEAD_LETTERS, "ingested_at", ("ingested_at", "topic", "partition")),
     "health": (HEALTH, "sampled_at", ("sampled_at",)),
 }

@@ -18,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from spanloom.operators.decode import dead_letters_of, decode_messages, spans_of
 from spanloom.operators.guard import guard_dimensions
 from spanloom.operators.heavy import value_states
+from spanloom.operators.offsets import consumed_ranges, lost_before
 from spanloom.operators.rollup import MINUTE, initial_states, rollup_1h, rollup_1m
 from spanloom.registry import Registry
 from spanloom.sources.tables import TableStore
@@ -48,9 +49,14 @@ def ingest_batch(
     store: TableStore,
     registry: Registry,
     stream_id: str = "manual",
+    record_losses: bool = False,
 ) -> None:
     """Process one block of messages; running it again with the same ids changes nothing.
 
+    ``record_losses`` enters the offsets it covers in the ledger, and what was skipped since
+    the batches before as dead letters. It reads the messages' offsets once more, and is for
+    sources that hand out a partition's messages in order but may leave some out.
+
     Batch numbers start at 0 in every stream, so a write is named by both.
 
     The tables are written side by side, so that the tail of one write does not
@@ -61,11 +67,18 @@ def ingest_batch(
     # Read for each of the tables. Lost blocks are decoded again from the source.
     decoded = decode_messages(messages, arrived).persist(StorageLevel.MEMORY_AND_DISK)
     spans, dead = spans_of(decoded), dead_letters_of(decoded)
+    ledger: tuple = ()
+    if record_losses:
+        covered = consumed_ranges(messages, arrived)
+        earlier = store.read("offsets").filter(F.col("write_id") < write_id)
+        dead = dead.unionByName(lost_before(covered, earlier, arrived).select(*dead.columns))
+        ledger = (lambda: store.write(covered, "offsets", write_id),)
     writes = (
         lambda: store.write(spans, "spans_raw", write_id),
         lambda: store.write(dead, "dead_letters", write_id),
         lambda: _write_states(spans, write_id, store, registry),
         lambda: store.write(value_states(spans, registry), "values_1m", write_id),
+        *ledger,
     )
     try:
         with ThreadPoolExecutor(len(writes)) as pool:
@@ -84,6 +97,7 @@ def start_ingest(
     registry: Registry,
     checkpoint: str,
     trigger: dict | None = None,
+    record_losses: bool = False,
 ) -> StreamingQuery:
     """Run the chain over a message stream. The default trigger is every minute.
 
@@ -92,7 +106,9 @@ def start_ingest(
     return (
         messages.writeStream.queryName("span_ingest")
         .foreachBatch(
-            lambda batch, n: ingest_batch(batch, n, store, registry, _stream_id(batch))
+            lambda batch, n: ingest_batch(
+                batch, n, store, registry, _stream_id(batch), record_losses
+            )
         )
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "1 minute"}))
