@@ -808,13 +808,12 @@ def _run_stream(t: Tables, stream: DataFrame, name: str, mode: str = "append") -
 
 @register("j04_windowed_states")
 def _(t: Tables) -> DataFrame:
-    """Minutes closed by a watermark of a day, completed from the raw spans."""
-    spans = decode.decode_spans(read_message_files(t.spark, t.message_files), LAST)
-    states = windowed_states(spans, t.store.read_allowlist(), t.registry, "1 day")
+    """Minutes closed by a watermark that drops most late spans, completed from the stored states."""
+    files = read_message_files(t.spark, t.message_files, max_files=1)
+    spans = decode.decode_spans(files, LAST)
+    states = windowed_states(spans, t.store.read_allowlist(), t.registry, "10 minutes")
     closed = _run_stream(t, states, "windowed")
-    whole = complete_windows(
-        closed, t.store.read("spans_raw"), t.store.read_allowlist(), t.registry
-    )
+    whole = complete_windows(closed, t.store.read("spans_1m").drop("dt", "write_id"))
     return rollup.finalize(whole, [F.to_date("ts_minute").alias("day")]).select(
         "day", "spans", "input_tokens", "errors"
     )

@@ -66,7 +66,7 @@ def bucket_counts(state: Column) -> Column:
     """``array<struct<bucket, n>>`` by bucket; null without a state."""
     held = F.when(state.isNotNull(), F.call_function("approx_top_k_estimate", _sketch(state), F.lit(CAPACITY)))
     held = F.filter(held, lambda e: e["item"].isNotNull())
-    return F.array_sort(F.transform(held, lambda e: F.struct(e["item"].alias("bucket"), e["count"].alias("n"))))
+    return F.sort_array(F.transform(held, lambda e: F.struct(e["item"].alias("bucket"), e["count"].alias("n"))))
 
 
 def read_quantile(counts: Column, p: float) -> Column:

@@ -19,8 +19,9 @@ from spanloom.operators.decode import dead_letters_of, decode_messages, spans_of
 from spanloom.operators.guard import guard_dimensions
 from spanloom.operators.heavy import value_states
 from spanloom.operators.offsets import consumed_ranges, lost_before
-from spanloom.operators.rollup import MINUTE, initial_states, rollup_1h, rollup_1m
+from spanloom.operators.rollup import MINUTE, initial_states, merge_states, rollup_1h, rollup_1m
 from spanloom.registry import Registry
+from spanloom.schema import DIMENSION_COLUMNS
 from spanloom.sources.tables import TableStore
 
 
@@ -131,7 +132,7 @@ def windowed_states(
 
     Gives one row per key and minute, at the price of a delay; spans later than the
     watermark are not in it, nor are minutes still open. ``complete_windows`` adds
-    both from the raw spans. The stateless chain is the default.
+    both from the states the batches stored. The stateless chain is the default.
     """
     marked = spans.withWatermark("ts", delay).withColumn(
         "__failed", F.col("status_class") != "ok"
@@ -144,23 +145,21 @@ def windowed_states(
     return states.select(F.col("w.start").alias(MINUTE), *rest)
 
 
-def complete_windows(
-    closed: DataFrame, spans: DataFrame, allowlist: DataFrame, registry: Registry
-) -> DataFrame:
-    """Closed minutes, with those computed afresh whose span count differs from the raw spans.
+def complete_windows(closed: DataFrame, states: DataFrame) -> DataFrame:
+    """Closed minutes, with those corrected whose span count differs from the stored minute states.
 
-    That covers minutes a watermark has not closed yet and minutes that lost late spans.
+    That covers minutes a watermark has not closed yet and minutes that lost late spans: their
+    rows are merged from the partial states that the batches wrote. Raw spans are not read.
+    ``version`` is 0 for a minute as the watermark closed it and 1 for a corrected one.
     """
     held = closed.groupBy(MINUTE).agg(F.sum("spans").alias("__held"))
-    due = spans.groupBy(F.date_trunc("minute", "ts").alias(MINUTE)).agg(
-        F.count("*").alias("__due")
-    )
+    due = states.groupBy(MINUTE).agg(F.sum("spans").alias("__due"))
     stale = (
         due.join(held, MINUTE, "left")
         .filter(~F.col("__due").eqNullSafe(F.col("__held")))
         .select(MINUTE)
     )
-    minute = F.date_trunc("minute", "ts")
-    again = spans.withColumn(MINUTE, minute).join(stale, MINUTE, "left_semi").drop(MINUTE)
-    fresh = rollup_1m(again, allowlist, registry)
-    return closed.join(stale, MINUTE, "left_anti").unionByName(fresh.select(*closed.columns))
+    again = states.join(stale, MINUTE, "left_semi")
+    fresh = merge_states(again, [MINUTE, *DIMENSION_COLUMNS]).withColumn("version", F.lit(1))
+    kept = closed.join(stale, MINUTE, "left_anti").withColumn("version", F.lit(0))
+    return kept.unionByName(fresh.select(*kept.columns))

@@ -10,7 +10,13 @@ from spanloom.operators.health import METRIC_PREFIXES
 from spanloom.operators.rollup import finalize
 from spanloom.sources.messages import load_messages, read_message_files
 from spanloom.sources.tables import TableStore
-from spanloom.streaming.ingest import ingest_batch, once_per_span, start_ingest, windowed_states
+from spanloom.streaming.ingest import (
+    complete_windows,
+    ingest_batch,
+    once_per_span,
+    start_ingest,
+    windowed_states,
+)
 from spanloom.streaming.monitor import (
     ProgressLog,
     expire_progress,
@@ -290,3 +296,17 @@ def test_a_batch_replayed_on_another_day_replaces_itself(spark, folder):
         store.write(dead_letters(kept, minute), "dead_letters", "batch-0")
     rows = store.read("dead_letters").collect()
     assert len(rows) == 3 and {r["ingested_at"] for r in rows} == {datetime(2024, 1, 2, 0, 1)}
+
+
+def test_minutes_that_lost_late_spans_are_corrected_from_stored_states(spark, tables):
+    """A minute short of spans, one never closed and one that is right."""
+    states = tables.minute
+    minutes = [r[0] for r in states.groupBy("ts_minute").agg(F.sum("spans").alias("n")).filter("n > 1").orderBy("ts_minute").limit(3).collect()]
+    some = states.filter(F.col("ts_minute").isin(minutes))
+    right, short = (some.filter(F.col("ts_minute") == m) for m in minutes[:2])
+    closed = right.unionByName(short.orderBy("spans", *tables.registry.columns).limit(short.count() - 1))
+    whole = complete_windows(closed, some)
+    assert {(r[0], r[1]) for r in whole.select("ts_minute", "version").collect()} == {(m, int(m != minutes[0])) for m in minutes}
+    figures = ["spans", "input_tokens", "errors", "ttft_p95", "traces"]
+    want, got = (finalize(x, ["ts_minute"]).select("ts_minute", *figures).collect() for x in (some, whole))
+    assert sorted(want) == sorted(got)
