@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from registered.queries import STREAMED
 from registered.tables import HALFWAY, registry
 from spanloom.schema import COUNT_ATTRIBUTES, MEASURE_ATTRIBUTES, STRING_ATTRIBUTES
 
@@ -1041,4 +1042,6 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT model, count(*) AS spans, {_sum('output_tokens')} FROM spans "
         f"WHERE ts >= {jan.format('10')} GROUP BY 1"
     )
+    # The same panels over the states the stream wrote.
+    q |= {f"{name}_streamed": q[name] for name in STREAMED}
     return q

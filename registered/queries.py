@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from registered.tables import FIRST, LAST, PERIOD, Tables, comparable
+from registered.tables import FIRST, LAST, PERIOD, StreamedTables, Tables, comparable
 from spanloom.functions import sketches
 from spanloom.functions.quantiles import exact_quantiles
 from spanloom.functions.scalars import hour_of, minute_of, single_row
@@ -1079,6 +1079,20 @@ _STATES: dict[str, Callable[[Tables], DataFrame]] = {
 _REGISTERED.update(_STATES)
 
 
+def _streamed(plan: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+    return lambda t: plan(StreamedTables(t.spark, t.sf_dir))
+
+
+# Panels whose figures come from the states alone, over what the stream stored.
+STREAMED = tuple(
+    name
+    for name in _STATES
+    if name.split("_")[0]
+    in "q01 q02 q03 q04 q05 q06 q07 q08 q09 q10 q11 q12 q22 q23 q24 q27 q28 q30 q31 q43".split()
+)
+_REGISTERED.update({f"{name}_streamed": _streamed(_STATES[name]) for name in STREAMED})
+
+
 @register("q44_user_sql")
 def _(t: Tables) -> DataFrame:
     """User SQL over the lake's two views."""

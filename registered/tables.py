@@ -147,6 +147,18 @@ class Tables:
         return SpanArchive(self.spark, self._once("archive", write), clusters)
 
 
+class StreamedTables(Tables):
+    """The same, with the states that the ingest stream wrote batch by batch."""
+
+    @cached_property
+    def minute(self) -> DataFrame:
+        return self.store.read("spans_1m")
+
+    @cached_property
+    def hour(self) -> DataFrame:
+        return self.store.read("spans_1h")
+
+
 def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating-point columns, whose last digits depend on the order of addition."""
     floating = (T.DoubleType, T.FloatType)

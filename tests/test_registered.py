@@ -27,7 +27,8 @@ QUICK = (
     "c05_lagged_rate d01_repeated_allowlist d05_two_topics j01_two_streams j04_windowed_states "
     "j11_health_samples m04_late_reexport m07_rewrite_after_compaction j07_dedup_stream "
     "c10_indexed_lookup c10_indexed_lookup_hot w01_lake_once j06_feed g07_from_states q26_from_states s02_replay "
-    "j11_late_scrapes e07_shared_traces e12_quantile_sketch_accuracy q11_top_tenants s01_offset_gaps j05_lag_margin"
+    "j11_late_scrapes e07_shared_traces e12_quantile_sketch_accuracy q11_top_tenants s01_offset_gaps j05_lag_margin "
+    "q08_ttft_quantiles_streamed q11_top_tenants_streamed q27_bucket_breakdown_streamed q43_rollup_agreement_streamed"
 ).split()
 NAMES = sorted(ORACLES) if os.environ.get("SPANLOOM_ALL_QUERIES") else QUICK
 
