@@ -822,6 +822,7 @@ def oracle_sql() -> dict[str, str]:
     q["m04_late_reexport"] = _spans(
         f"SELECT CAST(ts AS DATE) AS dt, count(*) AS spans, {_sum('output_tokens')} FROM spans GROUP BY 1"
     )
+    q["m04_late_feed"] = q["m04_late_reexport"]
     q["m09_run_grading"] = _runs('SELECT run_id, "check", passed, detail FROM graded')
     q["m10_span_accounting"] = _runs(
         "SELECT run_id, emitted_total, delivered, sdk_lost, unaccounted, "
