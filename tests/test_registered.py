@@ -57,7 +57,7 @@ def test_equals_sql(spark, engine, sf_dir, name):
 
 def test_every_query_is_covered():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"q02_traces", "q11_top_tenants", "q17_active_files"}
+    assert set(QUERIES) - set(ORACLES) == {"q17_active_files"}
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
