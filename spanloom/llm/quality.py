@@ -52,17 +52,22 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")), F.lit(0)) % 5 == 0
 
 
-def _shapes(data: np.ndarray, words: Words) -> np.ndarray:
+def _shapes(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
+    """A word's shape depends on its own document only, whatever stands beside that in the chunk."""
     start, end = words.start, words.end
     if not len(start):
         return np.zeros(0, dtype=np.uint64)
     kinds = _KIND[data]
-    mask = np.bitwise_or.reduceat(kinds, start)
+    # The blanks after a word count with it, up to the end of the document.
+    cuts = np.union1d(start, offsets[:-1][offsets[:-1] < len(data)])
+    mask = np.bitwise_or.reduceat(kinds, cuts)[np.searchsorted(cuts, start)]
     length = end - start
     first, last = kinds[start], kinds[end - 1]
     twice = (data[np.maximum(end - 2, start)] == data[end - 1]) & (length > 1)
     same = np.zeros(len(start), dtype=bool)
     same[1:] = words.hash[1:] == words.hash[:-1]
+    opening = words.offsets[:-1]
+    same[opening[opening < len(same)]] = False
     size = np.minimum(length, 20) // 3
     shape = mask.astype(np.uint64)
     for part, width in ((first, 64), (last, 64), (twice, 2), (same, 2), (size, 8)):
@@ -81,7 +86,7 @@ def _grams(values: np.ndarray, size: int, salt: int) -> np.ndarray:
 def features(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each kind of n-gram of a chunk: weight indexes and the rows' bounds in them."""
     words = Words(data, offsets, NOT_BLANK, FOLDED_VALUE)
-    shapes = _shapes(data, words)
+    shapes = _shapes(data, offsets, words)
     rows = np.repeat(np.arange(len(offsets) - 1), np.diff(words.offsets))
     for values, size, salt in (
         (words.hash, 1, 11), (words.hash, 2, 12), (shapes, 1, 21), (shapes, 2, 22), (shapes, 3, 23),

@@ -128,6 +128,17 @@ def test_training_and_scores_equal_plain_ftrl(spark):
         assert r.score == pytest.approx(sigmoid(margin), abs=1e-5)
 
 
+def test_a_score_does_not_depend_on_the_neighbours(spark):
+    """A document that begins with the last word of the one before it, or with blanks."""
+    rng = np.random.default_rng(5)
+    model = quality.Model(rng.normal(size=1 << quality.HASH_BITS), 0.1)
+    texts = ["one two", "two three", "  \n four five", "", "five", "  ", "five six "]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for r in quality.score_documents(docs, model).collect():
+        margin = model.bias + sum(model.weights[i] * v for i, v in vector(r.text).items())
+        assert r.score == pytest.approx(sigmoid(margin), abs=1e-9)
+
+
 def test_shards_equal_plain_placement(spark):
     """All rows on one line of bytes in order of (hash, id); a group of equal texts goes by its middle."""
     rng = random.Random(9)
