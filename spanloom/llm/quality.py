@@ -58,15 +58,17 @@ def _shapes(data: np.ndarray, offsets: np.ndarray, words: Words) -> np.ndarray:
     if not len(start):
         return np.zeros(0, dtype=np.uint64)
     kinds = _KIND[data]
-    # The blanks after a word count with it, up to the end of the document.
-    cuts = np.union1d(start, offsets[:-1][offsets[:-1] < len(data)])
-    mask = np.bitwise_or.reduceat(kinds, cuts)[np.searchsorted(cuts, start)]
+    opening = words.offsets[:-1]
+    # The blanks after a word count with it, those a document begins with do not.
+    low, high = offsets[:-1], np.minimum(np.append(start, len(data))[opening], offsets[1:])
+    for i in np.flatnonzero(high > low):
+        kinds[low[i] : high[i]] = 0
+    mask = np.bitwise_or.reduceat(kinds, start)
     length = end - start
     first, last = kinds[start], kinds[end - 1]
     twice = (data[np.maximum(end - 2, start)] == data[end - 1]) & (length > 1)
     same = np.zeros(len(start), dtype=bool)
     same[1:] = words.hash[1:] == words.hash[:-1]
-    opening = words.offsets[:-1]
     same[opening[opening < len(same)]] = False
     size = np.minimum(length, 20) // 3
     shape = mask.astype(np.uint64)
