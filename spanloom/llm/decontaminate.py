@@ -3,13 +3,14 @@
 Words are maximal runs of digits, letters a-z (A-Z lower-cased) and characters beyond ASCII.
 An item's windows are its runs of ``window`` consecutive words, or all its words if it has
 fewer. The distinct windows, keyed by hash, are broadcast while their number is within
-``broadcast_windows``; beyond that the join is shuffled. Every position of every text is
-probed in one pass, and a hit counts only if its words equal the window's.
+``broadcast_windows`` and their words within ``BROADCAST_BYTES``; beyond that the join is
+shuffled, and a position travels with the words of its own window alone. Every position of
+every text is probed in one pass, and a hit counts only if its words equal the window's.
 
 Defined results: null or empty texts have no words and no hits; items without words have no
-windows; equal windows of several items count for each of them; rows that repeat a doc_id
-are one document each only if their ids differ (results are per doc_id, counts add up);
-null doc_ids form one document; an empty benchmark marks nothing.
+windows; equal windows of several items count for each of them; results are per doc_id:
+rows that share one, or have none, are judged one by one, their counts of words and of hits
+add up and their items are put together; an empty benchmark marks nothing.
 """
 
 from __future__ import annotations
@@ -17,10 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import ascii_lower, materialize, split_words, within_bound
+from spanloom.llm.common import ascii_lower, materialize, split_words
 
 # Everything in ASCII but digits and letters; capitals are gone by then.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BROADCAST_BYTES = 128 << 20
 
 
 def item_words(text: Column) -> Column:
@@ -40,10 +42,18 @@ def benchmark_windows(benchmark: DataFrame, window: int, item_id: str, text: str
     )
 
 
-def window_hits(
-    docs: DataFrame, windows: DataFrame, *, text: str, doc_id: str, broadcast_windows: int
-) -> DataFrame:
-    """(doc_id, at, n, h, words): every place of a text where a window begins."""
+def small_enough(windows: DataFrame, rows: int) -> bool:
+    """Whether the windows, as rows and as bytes, can be sent to every executor."""
+    size = F.sum(F.octet_length(F.array_join("words", " ")) + 64 + 16 * F.size("words"))
+    held = windows.agg(F.count("*").alias("n"), F.coalesce(size, F.lit(0)).alias("b")).first()
+    return held["n"] <= rows and held["b"] <= BROADCAST_BYTES
+
+
+def window_hits(docs: DataFrame, windows: DataFrame, *, text: str, doc_id: str, small: bool) -> DataFrame:
+    """(doc_id, row, at, n, words): every place of a text where a window begins.
+
+    ``row`` tells rows of one doc_id apart; it holds within one evaluation only.
+    """
     lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most `window` values
     if not lengths:
         lengths = [1]
@@ -59,16 +69,22 @@ def window_hits(
         )
 
     places = hashes(lengths[0]) if len(lengths) == 1 else F.concat(*map(hashes, lengths))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), item_words(F.col(text)).alias("__w"))
-    probed = rows.select("doc_id", "__w", F.explode(places).alias("__p")).select(
-        "doc_id", "__w", "__p.at", "__p.n", "__p.h"
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        item_words(F.col(text)).alias("__w"),
+        F.monotonically_increasing_id().alias("row"),
     )
-    keys = windows.select("h", F.col("n").alias("__n"), "words")
-    same = F.slice("__w", F.col("at"), F.col("n")) == F.col("words")
-    hits = probed.join(within_bound(keys, broadcast_windows), "h").where(
-        (F.col("n") == F.col("__n")) & same
+    probed = rows.select("doc_id", "row", "__w", F.explode(places).alias("__p")).select(
+        "doc_id", "row", "__w", "__p.at", "__p.n", "__p.h"
     )
-    return hits.select("doc_id", "at", "n", "words")
+    mine = F.slice("__w", F.col("at"), F.col("n"))
+    keys = windows.select("h", F.col("n").alias("__n"), "words")
+    if small:
+        hits = probed.join(F.broadcast(keys), "h").where((F.col("n") == F.col("__n")) & (mine == F.col("words")))
+    else:
+        probed = probed.withColumn("__w", mine)
+        hits = probed.join(keys, "h").where((F.col("n") == F.col("__n")) & (F.col("__w") == F.col("words")))
+    return hits.select("doc_id", "row", "at", "n", "words")
 
 
 def find_contamination(
@@ -84,19 +100,18 @@ def find_contamination(
 ) -> DataFrame:
     """Per document: n_words, n_hit (words inside a window), items (sorted ids), contaminated."""
     windows = materialize(benchmark_windows(benchmark, window, item_id, item_text), "windows")
-    hits = materialize(
-        window_hits(docs, windows, text=text, doc_id=doc_id, broadcast_windows=broadcast_windows), "hits"
-    )
+    small = small_enough(windows, broadcast_windows)
+    hits = materialize(window_hits(docs, windows, text=text, doc_id=doc_id, small=small), "hits")
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    spans = hits.select(key.alias("__d"), "at", "n").distinct()
-    # Words of a span not covered by the spans before it, in one pass over a document's own hits.
-    before = Window.partitionBy("__d").orderBy("at", "n").rowsBetween(Window.unboundedPreceding, -1)
+    spans = hits.select(key.alias("__d"), "row", "at", "n").distinct()
+    # Words of a span not covered by the spans before it, in one pass over a row's own hits.
+    before = Window.partitionBy("__d", "row").orderBy("at", "n").rowsBetween(Window.unboundedPreceding, -1)
     seen = F.coalesce(F.max(F.col("at") + F.col("n")).over(before), F.lit(0))
     fresh = F.greatest(F.lit(0), F.col("at") + F.col("n") - F.greatest("at", seen))
     covered = spans.withColumn("fresh", fresh).groupBy("__d").agg(F.sum("fresh").alias("n_hit"))
     found = hits.select(key.alias("__d"), "words").distinct()
     items = (
-        found.join(within_bound(windows.select("words", "items"), broadcast_windows), "words")
+        found.join(windows.select("words", "items"), "words")
         .select("__d", F.explode("items").alias("item"))
         .groupBy("__d")
         .agg(F.array_sort(F.collect_set("item")).alias("items"))

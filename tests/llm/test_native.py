@@ -24,6 +24,27 @@ def test_contamination_equals_brute_force(spark, edge):
     assert kept.count() == sum(1 for v in want.values() if not v[1])
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_rows_of_one_id_are_judged_one_by_one(spark, limit):
+    item = "a b c d e f g h i j k l"
+    items = [(1, item), (2, "b c d e f g h i j k"), (3, "short one")]
+    rows = [
+        (1, item), (1, item), (2, "x x " + item), (2, "a b short one short one " + item), (2, None), (None, item),
+        (None, "clean"), (3, "a b c d e f g h i"),
+    ]
+    want = collections.defaultdict(lambda: (0, 0, set()))
+    for k, (n, hit, found) in contamination([(k, t) for k, (_, t) in enumerate(rows)], items).items():
+        old = want[rows[k][0]]
+        want[rows[k][0]] = (old[0] + n, old[1] + hit, old[2] | set(found))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for parts in (1, 4):
+        found = decontaminate.find_contamination(docs.repartition(parts), bench, broadcast_windows=limit).collect()
+        assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found} == {
+            k: (n, h, sorted(i)) for k, (n, h, i) in want.items()
+        }
+
+
 def test_contamination_of_nothing(spark, edge, nothing):
     bench = spark.createDataFrame([(1, "some words here")], "item_id long, text string")
     assert decontaminate.find_contamination(nothing, bench).count() == 0
