@@ -2,7 +2,8 @@
 
 1. Shingles that occur in one document only cannot be shared; a document needs three
    quarters of its shingles to occur elsewhere (``features``).
-2. Equal sets become one class, named by its smallest doc_id.
+2. Equal sets become one class. Rows and classes go by a number of their own, so documents
+   that share a doc_id stay apart; doc_ids only name the components in the end.
 3. Shingles are ordered, rare ones first, and two linked sets share one of their leading
    ``n - ceil(3n/4) + 1`` shingles. Classes that share one are chained to its smallest
    class; the connected parts hold every possible link.
@@ -14,7 +15,11 @@
 
 Defined results: words are cut at blanks, A-Z lower-cased; a text of fewer than five words
 is one shingle; null and empty texts have none, and link with nothing; rows with one doc_id
-count as one node; null doc_ids have a null component; extra columns are ignored.
+are documents of their own, linked only if their texts are; a row without doc_id links like
+others, names no component and has a null one itself; extra columns are ignored. Of a group
+``keep_one`` keeps a single row, that of the smallest doc_id (of several such any one); rows
+without doc_id come last. Its doc_ids may be of any type, those of ``near_duplicates`` are
+whole numbers.
 """
 
 from __future__ import annotations
@@ -241,24 +246,28 @@ def near_duplicates(
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id): one row for each row of ``docs``."""
     found = shared_features(docs, shingles, doc_id=doc_id, text=text, bucket_bits=bucket_bits)
-    enough = (F.col("size") > 0) & (4 * F.col("n_shared") >= 3 * F.col("size")) & F.col("doc_id").isNotNull()
+    enough = (F.col("size") > 0) & (4 * F.col("n_shared") >= 3 * F.col("size"))
+    # Equal digests with all shingles shared are equal sets; others stay alone.
+    whole = F.octet_length("shared") == 8 * F.col("size")
+    alone = F.concat_ws("/", F.md5("shared"), F.when(~whole, F.col("row").cast("string")))
     found = materialize(
-        found.select(
+        found.withColumn("row", F.monotonically_increasing_id()).select(
             "doc_id",
             "size",
+            "row",
             F.when(enough, F.col("shared")).alias("shared"),
-            F.when(enough, F.md5("shared")).alias("digest"),
+            F.when(enough, alone).alias("class"),
         ),
         "sets",
     )
-    candidates = found.where("digest is not null")
-    # Equal digests with all shingles shared are equal sets; others stay alone.
-    whole = F.octet_length("shared") == 8 * F.col("size")
-    alone = F.concat_ws("/", "digest", F.when(~whole, F.col("doc_id").cast("string")))
-    named = candidates.withColumn("class", alone)
-    classes = materialize(named.groupBy("class").agg(F.min("doc_id").alias("rep")), "classes")
+    named = found.where("class is not null")
+    classes = materialize(
+        named.groupBy("class").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")), "classes"
+    )
     sets = materialize(
-        named.join(classes, "class").where("doc_id = rep").select("rep", "size", "shared").dropDuplicates(["rep"]),
+        named.join(classes.select("rep"), F.col("row") == F.col("rep"), "left_semi").select(
+            F.col("row").alias("rep"), "size", "shared"
+        ),
         "reps",
     )
     leading = sets.mapInArrow(_leading, "feature long, rep long")
@@ -296,22 +305,37 @@ def near_duplicates(
     )
     links = tasks.groupBy("group").applyInPandas(_join_group, "src long, dst long")
     joined = materialize(components(links), "components")
-    final = (
-        named.select("doc_id", "class")
-        .join(classes, "class")
-        .join(joined, F.col("rep") == F.col("node"), "left")
-        .groupBy("doc_id")
-        .agg(F.min(F.coalesce("component", "rep")).alias("joined"))
+    # Most classes are linked with no other and need no second look.
+    linked = classes.join(joined, F.col("rep") == F.col("node"), "left").select("class", "least", "component")
+    names = linked.where("component is not null").groupBy("component").agg(F.min("least").alias("smallest"))
+    final = linked.join(names, "component", "left").select(
+        F.col("class").alias("of"), F.when(F.col("component").isNull(), F.col("least")).otherwise(F.col("smallest")).alias("name")
     )
-    return found.join(final, "doc_id", "left").select(
-        "doc_id",
-        F.col("size").alias("n_shingles"),
-        F.coalesce("joined", "doc_id").alias("component_id"),
+    component = F.when(F.col("doc_id").isNotNull(), F.col("name")).alias("component_id")
+    together = named.join(final, F.col("class") == F.col("of")).select(
+        "doc_id", F.col("size").alias("n_shingles"), component
+    )
+    return together.unionAll(
+        found.where("class is null").select(
+            "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id")
+        )
     )
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest id."""
-    found = near_duplicates(docs, doc_id=doc_id, text=text, **options)
-    copies = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__copy")).distinct()
-    return docs.join(copies, docs[doc_id] == F.col("__copy"), "left_anti")
+    """``docs`` with one row of each group of near copies: the one with the smallest id."""
+    row = "__row"
+    while row in docs.columns:
+        row += "_"
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    groups = near_duplicates(docs, doc_id=row, text=text, **options)
+    members = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("member"), F.col("component_id").alias("group"))
+    members = materialize(members, "members")
+    members = members.unionAll(members.select(F.col("group").alias("member"), "group").distinct())
+    ids = docs.select(F.col(row).alias("member"), F.col(doc_id).alias("id"))
+    # Null ids sort behind all others.
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "member")
+    ranked = materialize(members.join(ids, "member").select("group", rank.alias("rank")), "ranked")
+    kept = ranked.groupBy("group").agg(F.min("rank").alias("best"))
+    copies = ranked.join(kept, "group").where("rank.member <> best.member").select(F.col("rank.member").alias(row))
+    return docs.join(copies, row, "left_anti").drop(row)

@@ -47,6 +47,45 @@ def test_keep_one(documents):
     assert kept == {k for k, c in jaccard_components(rows)[1].items() if k == c}
 
 
+def repeated_ids():
+    rng = random.Random(12)
+    a, b = (" ".join("w%d" % rng.randrange(10**6) for _ in range(60)) for _ in range(2))
+    near, bridge = b.split(), a.split()
+    near[30], bridge[59] = "changed", "other"
+    return [
+        (1, a), (5, a), (1, b), (9, " ".join(near)), (1, a), (None, b), (None, a), (5, "alone here"), (3, "alone here"),
+        (7, None), (7, ""), (None, None), (8, " ".join(bridge)),
+    ]
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5])
+def test_texts_of_one_id_stay_apart(spark, parts):
+    rows = repeated_ids()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    # Plain version: rows are documents, named by their place.
+    names = jaccard_components(list(enumerate(t for _, t in rows)))[1]
+    least = {}
+    for k, c in names.items():
+        if rows[k][0] is not None:
+            least[c] = min(least.get(c, rows[k][0]), rows[k][0])
+    want = sorted((str(rows[k][0]), None if rows[k][0] is None else least[c]) for k, c in names.items())
+    found = jaccard.near_duplicates(docs).collect()
+    assert sorted(((str(r.doc_id), r.component_id) for r in found), key=str) == sorted(want, key=str)
+    kept = sorted((str(r.doc_id), r.text) for r in jaccard.keep_one(docs).collect() if r.text)
+    assert kept == sorted([("1", rows[0][1]), ("1", rows[2][1]), ("3", "alone here")])
+    assert jaccard.keep_one(docs).columns == docs.columns
+
+
+def test_keep_one_of_text_ids_and_of_none(spark):
+    text = "one two three four five six seven"
+    rows = [("b", text, "x"), ("a", text, "y"), (None, text, "z"), (None, "one of its own", "z"), ("c", "", "q")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, __row string")
+    kept = jaccard.keep_one(docs)
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+    nameless = docs.where("doc_id is null").unionAll(docs.where("doc_id is null"))
+    assert sorted(r.text for r in jaccard.keep_one(nameless).collect()) == ["one of its own", text]
+
+
 def test_registered_query(spark, sf_dir, documents):
     check(documents, queries.op5_jaccard(spark, sf_dir))
 
