@@ -2,18 +2,19 @@
 
 Equal vectors become one, with a count. Centroids are fitted on at most ``sample_rows``
 vectors (a documented bound); every vector has a home cell, that of its nearest centroid,
-and visits each further cell whose centroid is at most ``slack`` farther by cosine. A
-vector is compared with all vectors at home in the cells it visits. A pair that spans two
-cells is found if either visits the other's home; it then counts for both, once. The share
-of links found is measured against brute force in the tests.
+and visits each further cell whose border with its own is at most half the angle of a link
+away. No link is lost by that: the arc between two linked vectors crosses the border of
+their cells, so one of them is within half its length of it. A vector is compared with all
+vectors at home in the cells it visits. A pair that spans two cells is found by whichever
+visits the other's home, and counts for both, once.
 
 Cells are cut in blocks, so a task compares at most ``block_rows`` visitors with as many
-residents, and returns counts and spanning links, never pairs.
+residents, strip by strip, and returns counts and spanning links, never pairs.
 
 Defined results: null or empty vectors, zero vectors and vectors that hold null or
 non-finite components link with nothing; vectors of another length than the most common
-form a cell of their own per length; rows that share a vec_id are vectors of their own with
-one component; null vec_ids link with nothing and have a null component.
+form a cell of their own per length; rows that share a vec_id are vectors of their own;
+null vec_ids link with nothing and have a null component.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from spanloom.llm.common import components, materialize
 
 SAMPLE_ROWS = 20_000
 MAX_CELLS = 1024
+STRIP = 512
 
 
 def fit_cells(sample: np.ndarray, cells: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
@@ -57,8 +59,11 @@ def _unit(vectors: pa.Array) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _visits(centres: np.ndarray, slack: float):
+def _visits(centres: np.ndarray, threshold: float):
     """(cell, home, visited, rep, copies, unit vector): a row for each cell a vector visits."""
+    apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+    # The sine of half a link's angle, and a margin for rounding.
+    reach = np.sqrt((1 - threshold) / 2) * apart + 1e-6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,7 +78,7 @@ def _visits(centres: np.ndarray, slack: float):
                     if dims == centres.shape[1]:
                         near = some @ centres.T
                         best = near.argmax(axis=1)
-                        goes = near >= near.max(axis=1, keepdims=True) - slack
+                        goes = near.max(axis=1, keepdims=True) - near <= reach[best]
                     else:
                         best, goes = np.zeros(len(some), np.int64), np.ones((len(some), 1), bool)
                     row, cell = np.nonzero(goes)
@@ -109,50 +114,52 @@ def _compare(threshold: float):
         cell = int(group["cell"].iloc[0])
         resident = group[group["side"] == 0].reset_index(drop=True)
         visitor = group[group["side"] == 1].reset_index(drop=True)
-        empty = pd.DataFrame({"node": [], "n": [], "label": []}, dtype="int64")
+        none = pd.DataFrame({"node": [], "n": [], "label": []}, dtype="int64")
         if resident.empty or visitor.empty:
-            return empty
+            return none
         a = np.frombuffer(b"".join(visitor["unit"]), dtype=np.float64).reshape(len(visitor), -1)
         b = np.frombuffer(b"".join(resident["unit"]), dtype=np.float64).reshape(len(resident), -1)
-        rows, cols = [], []
-        for low in range(0, len(a), 512):
-            r, c = np.nonzero(a[low : low + 512] @ b.T >= threshold)
-            rows.append(r + low)
-            cols.append(c)
-        row, col = np.concatenate(rows), np.concatenate(cols)
         ids_a, ids_b = visitor["rep"].to_numpy(), resident["rep"].to_numpy()
-        other = ids_a[row] != ids_b[col]
-        row, col = row[other], col[other]
-        if not len(row):
-            return empty
+        copies_a, copies_b = visitor["copies"].to_numpy(), resident["copies"].to_numpy()
         homes = visitor["home"].to_numpy()
         # A resident that visits the other's home finds the pair there by itself.
         visits = [frozenset(np.frombuffer(v, dtype=np.int32).tolist()) for v in resident["visits"]]
-        n_a = np.bincount(row, weights=resident["copies"].to_numpy()[col], minlength=len(a))
-        alone = np.ones(len(row), dtype=bool)
-        away = homes[row] != cell
-        alone[~away] = False
-        for home in np.unique(homes[row[away]]):
-            sees = np.array([int(home) in v for v in visits])
-            mine = away & (homes[row] == home)
-            alone[mine] = ~sees[col[mine]]
-        n_b = np.bincount(col[alone], weights=visitor["copies"].to_numpy()[row[alone]], minlength=len(b))
-        # Labels spread over the block's links until they stand still.
-        label_a, label_b = ids_a.copy(), ids_b.copy()
-        while True:
-            before = (label_a.copy(), label_b.copy())
-            np.minimum.at(label_a, row, label_b[col])
-            np.minimum.at(label_b, col, label_a[row])
-            if (label_a == before[0]).all() and (label_b == before[1]).all():
-                break
-        touched_a, touched_b = np.unique(row), np.unique(col)
-        return pd.DataFrame(
-            {
-                "node": np.r_[ids_a[touched_a], ids_b[touched_b]],
-                "n": np.r_[n_a[touched_a], n_b[touched_b]].astype(np.int64),
-                "label": np.r_[label_a[touched_a], label_b[touched_b]],
-            }
-        )
+        sees = {int(h): np.array([int(h) in v for v in visits]) for h in np.unique(homes) if h != cell}
+        sees[cell] = np.ones(len(b), dtype=bool)
+        found = [none]
+        # No more pairs are held at once than a strip of visitors has.
+        for low in range(0, len(a), STRIP):
+            row, col = np.nonzero(a[low : low + STRIP] @ b.T >= threshold)
+            other = ids_a[row + low] != ids_b[col]
+            row, col = row[other] + low, col[other]
+            if not len(row):
+                continue
+            touched_a, at_a = np.unique(row, return_inverse=True)
+            touched_b, at_b = np.unique(col, return_inverse=True)
+            n_a = np.bincount(at_a, weights=copies_b[col])
+            alone = np.zeros(len(row), dtype=bool)
+            for home in np.unique(homes[touched_a]):
+                mine = homes[row] == home
+                alone[mine] = ~sees[int(home)][col[mine]]
+            n_b = np.bincount(at_b[alone], weights=copies_a[row[alone]], minlength=len(touched_b))
+            # Labels spread over the strip's links until they stand still.
+            label_a, label_b = ids_a[touched_a].copy(), ids_b[touched_b].copy()
+            while True:
+                before = (label_a.copy(), label_b.copy())
+                np.minimum.at(label_a, at_a, label_b[at_b])
+                np.minimum.at(label_b, at_b, label_a[at_a])
+                if (label_a == before[0]).all() and (label_b == before[1]).all():
+                    break
+            found.append(
+                pd.DataFrame(
+                    {
+                        "node": np.r_[ids_a[touched_a], ids_b[touched_b]],
+                        "n": np.r_[n_a, n_b].astype(np.int64),
+                        "label": np.r_[label_a, label_b],
+                    }
+                )
+            )
+        return pd.concat(found)
 
     return run
 
@@ -167,7 +174,6 @@ def near_vectors(
     max_cells: int = MAX_CELLS,
     sample_rows: int = SAMPLE_ROWS,
     block_rows: int = 4096,
-    slack: float = 0.2,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row for each row of ``vectors``."""
     raw = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
@@ -183,9 +189,11 @@ def near_vectors(
     named = rows.where("digest is not null")
     classes = materialize(
         named.groupBy("digest").agg(
-            F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("dims").alias("dims"),
+            F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("dims").alias("dims"),
             F.first("vector").alias("vector"),
-        ),
+        )
+        # Vectors that share a vec_id stay apart.
+        .withColumn("rep", F.monotonically_increasing_id()),
         "classes",
     )
     by_length = classes.groupBy("dims").count().orderBy(F.desc("count"), "dims").first()
@@ -193,7 +201,7 @@ def near_vectors(
     total = by_length["count"] if by_length else 0
     sample = (
         classes.where(F.col("dims") == dims)
-        .orderBy(F.xxhash64(F.lit("sample"), "rep"), "rep")
+        .orderBy(F.xxhash64(F.lit("sample"), "digest"), "digest")
         .limit(sample_rows)
         .select("vector")
         .toArrow()
@@ -202,7 +210,7 @@ def near_vectors(
     centres = fit_cells(_unit(sample.column(0).combine_chunks()), cells) if total else np.zeros((1, 1))
     visits = materialize(
         classes.select("rep", "copies", "dims", "vector").mapInArrow(
-            _visits(centres, slack),
+            _visits(centres, threshold),
             "dims int, cell int, home int, visits binary, rep long, copies long, unit binary",
         ),
         "visits",
@@ -235,16 +243,19 @@ def near_vectors(
     links = found.groupBy("node").agg(F.sum("n").alias("n"))
     parts = components(found.select(F.col("node").alias("src"), F.col("label").alias("dst")))
     per_class = (
-        classes.select("digest", "rep", "copies")
+        classes.select("digest", "rep", "copies", "least")
         .join(links, F.col("rep") == F.col("node"), "left")
         .drop("node")
         .join(parts, F.col("rep") == F.col("node"), "left")
         .select(
             "digest",
             (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
+            F.coalesce("component", "rep").alias("component"),
+            "least",
         )
     )
+    names = per_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    per_class = per_class.join(names, "component").drop("component", "least")
     return rows.select("vec_id", "digest").join(per_class, "digest", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

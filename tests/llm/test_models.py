@@ -98,6 +98,39 @@ def test_neighbours_edges(spark):
     assert neighbours.near_vectors(vectors(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("dims", [8, 64])
+def test_no_link_is_lost_between_hundreds_of_cells(spark, dims):
+    rng = np.random.default_rng(dims)
+    x = rng.normal(size=(2400, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    # Partners at cosines just above and just below the threshold.
+    for i in range(1200, 2400):
+        base = x[rng.integers(0, 1200)]
+        side = rng.normal(size=dims)
+        side -= (side @ base) * base
+        cosine = rng.choice([0.9499, 0.9501, 0.951, 0.96, 0.99])
+        x[i] = cosine * base + np.sqrt(1 - cosine**2) * side / np.linalg.norm(side)
+    rows = [(int(i), [float(v) for v in r * rng.uniform(0.1, 9)], 0, "x") for i, r in enumerate(x)]
+    frame = vectors(spark, rows, "array<double>").repartition(4)
+    found = neighbours.near_vectors(frame, cell_rows=8, block_rows=256).toPandas().sort_values("vec_id")
+    n, label = exact(np.arange(len(x)), x, 0.95)
+    assert n.sum() > 1000
+    assert (found.n_links.to_numpy() == n).all() and (found.component_id.to_numpy() == label).all()
+
+
+def test_vectors_of_one_id_stay_apart(spark):
+    rows = [
+        (1, [1.0, 0.0]), (1, [0.0, 1.0]), (4, [1.0, 0.01]), (4, [1.0, 0.0]), (6, [-1.0, 0.0]), (6, [-1.0, 0.0]),
+        (9, [0.7, 0.7]), (9, [0.0, -1.0]), (2, [0.01, -1.0]),
+    ]
+    for parts in (1, 3):
+        frame = vectors(spark, [(*r, 0, "x") for r in rows], "array<double>").repartition(parts)
+        found = sorted((r.vec_id, r.n_links, r.component_id) for r in neighbours.near_vectors(frame).collect())
+        assert found == [
+            (1, 0, 1), (1, 2, 1), (2, 1, 2), (4, 2, 1), (4, 2, 1), (6, 1, 6), (6, 1, 6), (9, 0, 9), (9, 1, 2),
+        ]
+
+
 def test_neighbours_query_recall(spark):
     sf_dir = "/root/testdata/sf0.01"
     frame = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas().sort_values("vec_id")
