@@ -58,12 +58,12 @@ TABLES: dict[str, tuple[T.StructType, str, tuple[str, ...]]] = {
             [
                 T.StructField(MINUTE, T.TimestampType()),
                 T.StructField("dimension", T.StringType()),
+                T.StructField("value", T.StringType()),
                 T.StructField("spans", T.LongType()),
-                T.StructField("sketch", T.BinaryType()),
             ]
         ),
         MINUTE,
-        ("dimension", MINUTE),
+        ("dimension", "value", MINUTE),
     ),
     "offsets": (OFFSETS, "consumed_at", ("topic", "partition", "first_offset")),
     "dead_letters": (DEAD_LETTERS, "ingested_at", ("ingested_at", "topic", "partition")),

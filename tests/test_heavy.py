@@ -65,3 +65,28 @@ def test_compaction_keeps_the_counts(spark, tables, folder):
     back = heavy.heavy_values(store.read("values_1m", day, day + timedelta(days=1))).collect()
     inside = states.filter((F.col("ts_minute") >= F.lit(day)) & (F.col("ts_minute") < F.lit(day + timedelta(days=1))))
     assert sorted(back) == sorted(heavy.heavy_values(inside).collect())
+
+
+def test_many_values_of_even_shares_are_counted_exactly(spark, tables, folder):
+    """More values than are ever listed, all about as frequent: none is lost or counted too high."""
+    rows = [(k % 4_000 if k % 5 else k % 40,) for k in range(24_000)]
+    even = spark.createDataFrame(rows, "v int").select(
+        F.lit(datetime(2024, 1, 29, 12)).alias("ts"), F.concat(F.lit("t"), F.col("v")).alias("tenant_id"),
+        *[F.lit("").alias(c) for c in tables.registry.columns if c != "tenant_id"],
+    )
+    exact = Counter(f"t{v}" for (v,) in rows)
+    wanted = sorted(exact.items(), key=lambda e: (-e[1], e[0]))
+    store = TableStore(spark, folder)
+    for k, part in enumerate(even.randomSplit([0.5, 0.5], seed=3)):
+        store.write(heavy.value_states(part, tables.registry), "values_1m", f"batch-{k}")
+    states = store.read("values_1m")
+    day = tables.registry.with_dimension("tenant_id", budget=30, top_k_window_hours=24)
+    found = heavy.top_k_from_states(states, day, AS_OF).collect()
+    assert sorted((-r["spans"], r["value"]) for r in found) == [(-n, v) for v, n in wanted[:30]]
+    assert {r["bound"] for r in found} == {42}
+    assert len(heavy.heavy_values(states).collect()) == heavy.TRACKED
+    known = tables.allowlist.limit(0).select("dimension", "value").unionByName(
+        spark.createDataFrame([("tenant_id", wanted[0][0])], "dimension string, value string")
+    )
+    rest = heavy.unregistered_from_states(states, known, None).collect()
+    assert [(r["value"], r["spans"]) for r in rest] == wanted[1:]
