@@ -66,6 +66,11 @@ class Tables:
     def hour(self) -> DataFrame:
         return rollup_1h(self.minute)
 
+    @property
+    def counted(self) -> DataFrame:
+        """The spans that the minute states were made of."""
+        return self.spans
+
     @cached_property
     def health(self) -> DataFrame:
         return E.health_from_events(self.events)
@@ -158,6 +163,10 @@ class StreamedTables(Tables):
     def hour(self) -> DataFrame:
         return self.store.read("spans_1h")
 
+    @property
+    def counted(self) -> DataFrame:
+        return self.store.read("spans_raw")
+
 
 def comparable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round floating-point columns, whose last digits depend on the order of addition."""

@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import instant, ratio, single_row
+from spanloom.functions.scalars import instant, minute_of, ratio, single_row
 from spanloom.operators import guard, health, quality
 from spanloom.operators.rollup import MINUTE, finalize
 from spanloom.registry import Registry
@@ -63,10 +63,16 @@ def spans_per_second(
 
 
 def traces(states: DataFrame, period: Range = ALL) -> DataFrame:
-    """Distinct traces, from mergeable sketches."""
+    """Distinct traces, from mergeable sketches: 1.6 % off (one sigma) beyond 4,096."""
     return _total(states, period).select(F.coalesce("traces", F.lit(0)).alias("value"))
 
 
+def exact_traces(spans: DataFrame, period: Range = ALL) -> DataFrame:
+    """Distinct traces, counted in the spans of the same minutes; reads their time and trace id only."""
+    timed = spans.withColumn(MINUTE, minute_of(F.col("ts")))
+    return between(timed, MINUTE, period).agg(F.count_distinct("trace_id").alias("value"))
+
+
 def output_tokens_per_second(
     states: DataFrame, period: Range = ALL, window_seconds: float | None = None
 ) -> DataFrame:
