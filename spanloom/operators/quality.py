@@ -102,6 +102,27 @@ def attribute_counts(spans: DataFrame) -> DataFrame:
     )
 
 
+def shared_traces(spans: DataFrame) -> DataFrame:
+    """``(day, traces)``: traces with both failed and good spans, for days with spans of both kinds.
+
+    Exact at any size; ``sketches.shared_distinct`` estimates the same from two stored states.
+    """
+    failed = F.col("status_class") != "ok"
+    per_trace = spans.groupBy(F.date_trunc("day", "ts").alias("day"), "trace_id").agg(
+        F.bool_or(failed).alias("bad"), F.bool_or(~failed).alias("good")
+    )
+    return (
+        per_trace.groupBy("day")
+        .agg(
+            F.count_if(F.col("bad") & F.col("good")).alias("traces"),
+            F.bool_or("bad").alias("__bad"),
+            F.bool_or("good").alias("__good"),
+        )
+        .filter(F.col("__bad") & F.col("__good"))
+        .select("day", "traces")
+    )
+
+
 def sketch_accuracy(
     spans: DataFrame, by: list[str], column: str = "ttft_ms", p: float = 0.95
 ) -> DataFrame:

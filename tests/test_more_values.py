@@ -39,6 +39,10 @@ def check(spark, larger, name):
     assert ordered(df.collect(), df.columns) == ordered(cursor.fetchall(), columns)
 
 
+def test_shared_traces_are_exact(spark, larger):
+    check(spark, larger, "e07_shared_traces")
+
+
 @pytest.mark.parametrize("name", ["q02_traces", "q02_traces_streamed"])
 def test_distinct_traces_are_exact(spark, larger, name):
     check(spark, larger, name)
