@@ -10,7 +10,8 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.scalars import instant, minute_of, ratio, single_row
+from spanloom.functions.quantiles import with_quantiles
+from spanloom.functions.scalars import instant, measured, minute_of, ratio, single_row
 from spanloom.operators import guard, health, quality
 from spanloom.operators.rollup import MINUTE, finalize
 from spanloom.registry import Registry
@@ -116,6 +117,18 @@ def time_to_first_token(states: DataFrame, period: Range = ALL) -> DataFrame:
     )
 
 
+def exact_time_to_first_token(spans: DataFrame, period: Range = ALL) -> DataFrame:
+    """The same panel from the spans of those minutes: observed values, not middles of buckets.
+
+    A minute without measured values has a row of nulls.
+    """
+    timed = spans.select(minute_of(F.col("ts")).alias("time"), measured(F.col("ttft_ms")).alias("ttft"))
+    timed = between(timed, "time", period)
+    shares = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    minutes = timed.select("time").distinct()
+    return with_quantiles(minutes, timed, ["time"], F.col("ttft"), shares, "disc").orderBy("time")
+
+
 def ttft_by_model(states: DataFrame, registry: Registry, period: Range = ALL) -> DataFrame:
     """Spans without a model are left out; unregistered models stay in."""
     named = states.filter(F.col("model") != registry.none_bucket)

@@ -43,6 +43,13 @@ def test_shared_traces_are_exact(spark, larger):
     check(spark, larger, "e07_shared_traces")
 
 
+def test_quantiles_of_a_minute_are_observed_values(spark, larger):
+    check(spark, larger, "q08_ttft_quantiles")
+    seen = {r[0] for r in spark.read.parquet(f"{larger}/events.parquet").select("value").distinct().collect()}
+    rows = QUERIES["q08_ttft_quantiles"](spark, larger).collect()
+    assert {r[p] for r in rows for p in ("p50", "p95", "p99")} <= seen
+
+
 @pytest.mark.parametrize("name", ["q02_traces", "q02_traces_streamed"])
 def test_distinct_traces_are_exact(spark, larger, name):
     check(spark, larger, name)
