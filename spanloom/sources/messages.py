@@ -48,9 +48,14 @@ def read_message_files(
     reader = spark.readStream.schema(MESSAGES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.json(path)
+    return _spread(reader.json(path))
 
 
 def load_messages(spark: SparkSession, path: str) -> DataFrame:
     """The same files as a batch."""
-    return spark.read.schema(MESSAGES).json(path)
+    return _spread(spark.read.schema(MESSAGES).json(path))
+
+
+def _spread(messages: DataFrame) -> DataFrame:
+    """A compressed file is unpacked by one task; what follows, decoding above all, is dealt to all of them."""
+    return messages.repartition("partition", "offset")
