@@ -12,11 +12,24 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BLANKS = r"[\x20\x09-\x0D]+"
 
 
+# Removes the shuffle files of a query when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back: cuts lineage, survives executors."""
+    """Write ``df`` to the shared scratch folder and read it back: cuts lineage, survives executors.
+
+    The table takes the place of the shuffles that made it. Their files would otherwise stay on the
+    disks until the driver collects garbage, and those of all steps add up.
+    """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

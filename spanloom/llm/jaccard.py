@@ -262,13 +262,14 @@ def near_duplicates(
     )
     named = found.where("class is not null")
     classes = materialize(
-        named.groupBy("class").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least")), "classes"
+        named.groupBy("class").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least"), F.count("*").alias("n")),
+        "classes",
     )
+    # The few rows that are copies of another are taken out, so that the sets stay where they lie.
+    several = classes.where("n > 1").select("class", "rep")
+    copies = materialize(named.select("class", "row").join(several, "class").where("row <> rep").select("row"), "copies")
     sets = materialize(
-        named.join(classes.select("rep"), F.col("row") == F.col("rep"), "left_semi").select(
-            F.col("row").alias("rep"), "size", "shared"
-        ),
-        "reps",
+        named.join(copies, "row", "left_anti").select(F.col("row").alias("rep"), "size", "shared"), "reps"
     )
     leading = sets.mapInArrow(_leading, "feature long, rep long")
     pivots = leading.groupBy("feature").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1")

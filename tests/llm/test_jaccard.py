@@ -1,11 +1,14 @@
 import random
+import time
 
 import numpy as np
 import pandas as pd
 import pytest
 from brute import components, jaccard_components
+from pyspark.sql import functions as F
 
 from spanloom.llm import jaccard, queries
+from spanloom.llm.common import CLEAN_UP, materialize
 from spanloom.llm.common import components as spark_components
 
 
@@ -115,3 +118,46 @@ def test_components_of_chains_and_stars(spark):
     assert {n: c for n, c in want.items() if n != 3} == found
     none = spark.createDataFrame([], "src long, dst long")
     assert spark_components(none).count() == 0
+
+
+def test_sets_are_not_shuffled_to_leave_out_copies(spark, monkeypatch):
+    """Where the classes are too many to be broadcast, the few copies still are."""
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(12)) for _ in range(600)]
+    rows = [(i, t) for i, t in enumerate([*texts, *texts[:5], *texts])]
+    rows = rows[: len(texts) + 5] + [(i, t + " tail of a near copy") for i, t in rows[len(texts) + 5 :]]
+    plans = {}
+
+    def spied(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return materialize(df, name)
+
+    monkeypatch.setattr(jaccard, "materialize", spied)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4KB")
+    try:
+        found = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert found == jaccard_components(rows)[1]
+    assert "Exchange hashpartitioning" not in plans["reps"] and "LeftAnti" in plans["reps"]
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in files.mkString(" ").split() if "/shuffle_" in f}
+
+    before = shuffled()
+    rows = spark.range(5000).groupBy((F.col("id") % 700).alias("k")).agg(F.collect_list("id").alias("ids"))
+    written = materialize(rows, "tidy")
+    # Removed in the background.
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.1)
+    assert not shuffled() - before
+    # Frames that were written can be used again.
+    assert written.agg(F.sum(F.size("ids")).alias("n")).first().n == 5000
+    assert materialize(rows, "again").count() == rows.count() == 700
+    assert spark.conf.get(CLEAN_UP) == "false"
