@@ -78,9 +78,8 @@ class Tables:
     @cached_property
     def messages(self) -> DataFrame:
         """One whole message per trace, and a damaged copy beside every thirteenth."""
-        messages = E.messages_from_spans(self.spans)
-        trace = F.get_json_object("value", "$.resourceSpans[0].scopeSpans[0].spans[0].traceId")
-        copied = F.substring(trace, 2, 20).cast("bigint") % 13 == 0
+        messages = E.messages_from_spans(self.spans, "trace_id")
+        copied = F.substring("trace_id", 2, 20).cast("bigint") % 13 == 0
         whole = F.struct("value", "topic", "partition", "offset")
         damaged = F.struct(
             F.substring("value", 1, 200).alias("value"),

@@ -99,11 +99,12 @@ def lake_rows(spans: DataFrame) -> DataFrame:
     )
 
 
-def messages_from_spans(spans: DataFrame) -> DataFrame:
+def messages_from_spans(spans: DataFrame, *kept: str) -> DataFrame:
     """Spans as trace messages in the wire format: ``(value, topic, partition, offset)``.
 
     The spans of one trace travel in one message; a trace of the event log has four. Spans are
     gathered by their columns: the wire format takes eight times the room, and is written last.
+    ``trace_id`` can be kept beside it, which saves finding it in the message again.
     """
     columns = ["trace_id", "span_id", "parent_span_id", "span_name", "span_kind", "service_name", "ts", "duration_ms"]
     measured = [*STRING_ATTRIBUTES.values(), *(c for c, _ in COUNT_ATTRIBUTES.values()), *MEASURE_ATTRIBUTES.values()]
@@ -111,6 +112,7 @@ def messages_from_spans(spans: DataFrame) -> DataFrame:
     per_trace = spans.groupBy("trace_id").agg(F.collect_list(F.struct(*columns)).alias("members"))
     number_of_trace = F.xxhash64("trace_id")
     return per_trace.select(
+        *kept,
         F.to_json(F.struct(F.transform("members", _wire_span).alias("resourceSpans"))).alias("value"),
         F.lit("otel.spans").alias("topic"),
         F.pmod(number_of_trace, F.lit(6)).cast("int").alias("partition"),

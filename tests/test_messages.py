@@ -4,6 +4,7 @@ import itertools
 from pyspark.sql import functions as F
 
 from registered.queries import queries
+from spanloom.operators import decode
 from spanloom.sources.events import messages_from_spans
 from spanloom.sources.messages import load_messages, read_message_files
 
@@ -43,3 +44,21 @@ def test_the_parts_of_two_streams_are_compressed(spark, sf_dir, tmp_path, monkey
     for part in (0, 1):
         files = glob.glob(f"{tmp_path}/stream-{part}-*/*.json*")
         assert files and all(f.endswith(".gz") for f in files)
+
+
+def test_messages_are_not_searched_for_the_trace_they_were_made_of(tables):
+    assert "get_json_object(value" not in plan(tables.messages)
+    trace = F.get_json_object("value", "$.resourceSpans[0].scopeSpans[0].spans[0].traceId")
+    copied = F.substring(trace, 2, 20).cast("bigint") % 13 == 0
+    whole = tables.messages.filter(F.col("offset") < 1 << 41).select("offset", copied.alias("copied"))
+    damaged = tables.messages.filter(F.col("offset") >= 1 << 41).select(F.col("offset") - (1 << 41))
+    assert whole.filter("copied").select("offset").exceptAll(damaged).count() == 0
+    assert damaged.exceptAll(whole.filter("copied").select("offset")).count() == 0
+
+
+def test_a_replayed_batch_is_decoded_once(spark, sf_dir, monkeypatch):
+    calls, once = [], decode.dead_letters
+    monkeypatch.setattr(decode, "dead_letters", lambda *a: calls.append(a) or once(*a))
+    row = queries()["s02_replay"](spark, sf_dir).collect()
+    assert len(calls) == 1
+    assert [(r.error, r.ingested_at.minute) for r in row] == [("malformed JSON", 1)] and row[0].messages > 0
