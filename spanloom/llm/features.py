@@ -64,7 +64,7 @@ def _distinct(values: np.ndarray, times: int) -> np.ndarray:
 
 def _blocks(extract: Extract, bits: int, times: int, counted: bool) -> Callable:
     """Rows (bucket, block, data) of a partition; bucket 2**bits + block tells its documents."""
-    from spanloom.llm.tokens import chunks
+    from spanloom.llm.tokens import CACHED_BYTES, chunks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, count = TaskContext.get().partitionId(), 0
@@ -111,7 +111,7 @@ def _blocks(extract: Extract, bits: int, times: int, counted: bool) -> Callable:
 
         for batch in batches:
             known = batch.column(0)
-            for first, data, offsets in chunks(batch.column(1)):
+            for first, data, offsets in chunks(batch.column(1), CACHED_BYTES):
                 rows = len(offsets) - 1
                 if docs and (docs + rows > BLOCK_DOCS or features > BLOCK_FEATURES):
                     yield flush()

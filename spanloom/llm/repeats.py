@@ -27,10 +27,11 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.common import materialize
 from spanloom.llm.features import ID_BITS, bucket_bits_for, shared_features
-from spanloom.llm.tokens import Anchors, Prefix, chunks
+from spanloom.llm.tokens import CACHED_BYTES, Anchors, Prefix, chunks
 
 SHARD_SYMBOLS = 1 << 20
 RUN_WINDOWS = 64
+PIECE_WINDOWS = 1 << 18
 HOT_STRINGS = 1 << 13
 LAST = np.iinfo(np.int64).max
 
@@ -95,7 +96,7 @@ def _strings_of_hot(rule: Rule, hot):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, data, offsets in chunks(batch.column("text")):
+            for _, data, offsets in chunks(batch.column("text"), CACHED_BYTES):
                 _, prefix, begin, end, _, feature = _runs(rule, data, offsets)
                 mine = _listed(feature, hot.value)
                 begin, end, feature = begin[mine], end[mine] - 1 + rule.size, feature[mine]
@@ -141,7 +142,7 @@ def _strings(rule: Rule, shards: int, heavy, single: bool):
             number: dict[bytes, int] = {}
             shard_of: list[int] = []
             string, doc, start = [], [], []
-            for first, data, offsets in chunks(batch.column("text")):
+            for first, data, offsets in chunks(batch.column("text"), CACHED_BYTES):
                 runs = _shared_runs(rule, data, offsets, shared.slice(first, len(offsets) - 1), heavy.value, single)
                 if runs is None:
                     continue
@@ -310,7 +311,7 @@ def _resolve(rule: Rule):
         # Every window of every place, in pieces of bounded size.
         out: list[tuple[np.ndarray, ...]] = []
         total = windows[which]
-        piece = np.searchsorted(np.cumsum(total), np.arange(0, int(total.sum()) + 1, 1 << 21))
+        piece = np.searchsorted(np.cumsum(total), np.arange(0, int(total.sum()) + 1, PIECE_WINDOWS))
         for a, b in zip(piece, np.r_[piece[1:], len(which)]):
             if a == b:
                 continue
@@ -346,39 +347,51 @@ def depth_order(symbols: np.ndarray, depth: int, widest: int) -> tuple[np.ndarra
     bits = max(1, int(n).bit_length())
     width = max(1, int(widest).bit_length())
     take = max(1, min(depth - 1, (63 - bits) // width))
+    kind = np.uint32 if n < 1 << 31 else np.uint64
+
+    def ranks(at: np.ndarray, new: np.ndarray) -> np.ndarray:
+        out, number = np.empty(n, dtype=kind), np.cumsum(new, dtype=kind)
+        number -= 1
+        out[at] = number
+        return out
 
     def ordered(high: np.ndarray, low: np.ndarray, shift: int) -> tuple[np.ndarray, np.ndarray]:
         """Order by (high, low), and the rows' equality with the row before."""
-        key = (high.astype(np.uint64) << np.uint64(shift)) | low.astype(np.uint64)
+        # In place: arrays as long as the text that come and go cost more than what is done to them.
+        key = high.astype(np.uint64)
+        if shift:
+            key <<= np.uint64(shift)
+            key |= low
         if shift + shift + bits <= 64 or shift == 0:
-            packed = np.sort((key << np.uint64(bits)) | np.arange(n, dtype=np.uint64))
-            at = (packed & np.uint64((1 << bits) - 1)).astype(np.int64)
-            same = (packed[1:] >> np.uint64(bits)) == (packed[:-1] >> np.uint64(bits))
+            key <<= np.uint64(bits)
+            key |= np.arange(n, dtype=np.uint64)
+            key.sort()
+            at = (key & np.uint64((1 << bits) - 1)).view(np.int64)
+            key >>= np.uint64(bits)
+            same = key[1:] == key[:-1]
         else:
             at = np.argsort(key, kind="stable")
             same = key[at[1:]] == key[at[:-1]]
         return at, np.r_[True, ~same]
 
     def ahead(values: np.ndarray, by: int) -> np.ndarray:
-        out = np.zeros(n, dtype=np.int64)
+        out = np.zeros(n, dtype=kind)
         if by < n:
-            out[: n - by] = values[by:] + 1
+            np.add(values[by:], 1, out=out[: n - by])
         return out
 
     first = np.zeros(n, dtype=np.uint64)
     for k in range(take):
         first <<= np.uint64(width)
         first[: n - k] |= symbols[k:].astype(np.uint64)
-    at, new = ordered(first, np.zeros(n, np.uint64), 0)
-    rank = np.empty(n, dtype=np.int64)
-    rank[at] = np.cumsum(new) - 1
+    at, new = ordered(first, first, 0)
+    rank = ranks(at, new)
     reach = take
     while reach < depth:
         step = min(reach, depth - reach)
         before, before_reach = rank, reach
         at, new = ordered(rank, ahead(rank, step), bits)
-        rank = np.empty(n, dtype=np.int64)
-        rank[at] = np.cumsum(new) - 1
+        rank = ranks(at, new)
         reach += step
     if depth == 1:
         return at, new, np.arange(n) == 0

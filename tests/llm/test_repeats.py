@@ -6,7 +6,7 @@ import pytest
 from brute import repeated
 
 from spanloom.llm import fmindex, queries, repeats, rlbwt
-from spanloom.llm.tokens import Anchors, Prefix
+from spanloom.llm.tokens import Anchors, Prefix, sliding
 
 BYTES = dict(size=50, split=lambda b: b, join=bytes, within=False)
 WORDS = dict(size=20, split=lambda b: b.split(), join=b" ".join, within=True)
@@ -144,3 +144,39 @@ def test_heavy_anchors_equal_brute_force(request, source):
     assert got(rlbwt.repeated_bytes(docs, hot_strings=2), 4)[0] == repeated(pairs(docs), **BYTES)
     want = {k: (v[0], v[1], v[3]) for k, v in repeated(pairs(docs), **WORDS).items()}
     assert got(fmindex.repeated_words(docs, hot_strings=2), 3)[0] == want
+
+
+def test_an_interval_within_one_run_moves_without_a_search(monkeypatch):
+    rng = np.random.default_rng(5)
+    word = rng.integers(1, 4, 60)
+    text = np.concatenate([np.r_[word, rng.integers(1, 4, 5), 0] for _ in range(40)])
+    order = repeats.depth_order(text, 50, 4)[0]
+    index, bwt = rlbwt.RunIndex(text, order), text[order - 1]
+    rows = np.arange(len(text))
+    assert (index.carried[index.run_of(rows)] == bwt).all()
+    searched, above = [], index.above
+    monkeypatch.setattr(index, "above", lambda symbol, row: searched.append(len(row)) or above(symbol, row))
+    lo, hi = np.array([0]), np.array([len(text)])
+    sizes = []
+    for symbol in word[::-1]:
+        held = [sum(bwt[:at] == symbol) + sum(text < symbol) for at in (int(lo[0]), int(hi[0]))]
+        lo, hi = index.narrow(np.array([symbol]), lo, hi)
+        assert [lo[0], hi[0]] == held
+        sizes.append(int(hi[0] - lo[0]))
+    assert sizes[-1] >= 40
+    assert sum(searched) < len(word)
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 7, 35, 50])
+def test_sliding_takes_every_stretch_in_whole_passes(size):
+    values = np.random.default_rng(size).integers(0, 2**63, 50, dtype=np.uint64)
+    passes = []
+
+    def least(a, b):
+        passes.append(len(a))
+        return np.minimum(a, b)
+
+    found = sliding(values, size, least)
+    assert found.tolist() == [min(values[i : i + size]) for i in range(50 - size + 1)]
+    assert len(passes) == (size - 1).bit_length() and not np.shares_memory(found, values)
+    assert len(sliding(values, 51, least)) == 0
