@@ -58,32 +58,27 @@ def window_hits(docs: DataFrame, windows: DataFrame, *, text: str, doc_id: str,
     if not lengths:
         lengths = [1]
 
-    def hashes(n: int) -> Column:
+    def stretches(n: int) -> Column:
         last = F.size("__w") - n + 1
         at = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
         return F.transform(
-            at,
-            lambda i: F.struct(
-                i.alias("at"), F.lit(n).alias("n"), F.xxhash64(F.slice("__w", i, F.lit(n))).alias("h")
-            ),
+            at, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.slice("__w", i, F.lit(n)).alias("words"))
         )
 
-    places = hashes(lengths[0]) if len(lengths) == 1 else F.concat(*map(hashes, lengths))
+    places = stretches(lengths[0]) if len(lengths) == 1 else F.concat(*map(stretches, lengths))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         item_words(F.col(text)).alias("__w"),
         F.monotonically_increasing_id().alias("row"),
     )
-    probed = rows.select("doc_id", "row", "__w", F.explode(places).alias("__p")).select(
-        "doc_id", "row", "__w", "__p.at", "__p.n", "__p.h"
+    # A place takes its own words along: the whole text at each of its places would be its square.
+    probed = rows.select("doc_id", "row", F.explode(places).alias("__p")).select(
+        "doc_id", "row", "__p.at", "__p.n", "__p.words", F.xxhash64("__p.words").alias("h")
     )
-    mine = F.slice("__w", F.col("at"), F.col("n"))
-    keys = windows.select("h", F.col("n").alias("__n"), "words")
+    keys = windows.select("h", F.col("n").alias("__n"), F.col("words").alias("__words"))
     if small:
-        hits = probed.join(F.broadcast(keys), "h").where((F.col("n") == F.col("__n")) & (mine == F.col("words")))
-    else:
-        probed = probed.withColumn("__w", mine)
-        hits = probed.join(keys, "h").where((F.col("n") == F.col("__n")) & (F.col("__w") == F.col("words")))
+        keys = F.broadcast(keys)
+    hits = probed.join(keys, "h").where((F.col("n") == F.col("__n")) & (F.col("words") == F.col("__words")))
     return hits.select("doc_id", "row", "at", "n", "words")
 
 

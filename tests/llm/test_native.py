@@ -163,3 +163,14 @@ def test_repeated_rows_mix_one_by_one(spark):
     plan = mixing.plan_mix(docs).collect()
     assert len(plan) == 80
     assert mixing.mix_documents(docs).count() == sum(r.copies for r in plan)
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_a_place_takes_only_its_own_words_along(edge, spark, small):
+    items = spark.createDataFrame([("1", "one two three four")], "item_id string, text string")
+    windows = decontaminate.benchmark_windows(items, 3, "item_id", "text")
+    hits = decontaminate.window_hits(edge, windows, text="text", doc_id="doc_id", small=small)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    generated = next(line for line in plan.split("\n") if "Generate explode" in line and "__p" in line)
+    above = plan[: plan.index(generated)]
+    assert "__w#" not in above and "__p" in above
