@@ -8,8 +8,11 @@ their cells, so one of them is within half its length of it. A vector is compare
 vectors at home in the cells it visits. A pair that spans two cells is found by whichever
 visits the other's home, and counts for both, once.
 
-Cells are cut in blocks, so a task compares at most ``block_rows`` visitors with as many
-residents, strip by strip, and returns counts and spanning links, never pairs.
+Neighbouring cells form a region. A vector goes once to each region it visits, with the cells
+it visits there, not once to each cell. Regions are cut in blocks, so a task compares a block
+of visitors with a block of residents, cell by cell and strip by strip, and returns counts and
+spanning links, never pairs. A block grows with the table up to ``BLOCK_BYTES``: copies of a
+vector are as many as there are blocks, twice at most, and a task's memory has a bound.
 
 Defined results: null or empty vectors, zero vectors and vectors that hold null or
 non-finite components link with nothing; vectors of another length than the most common
@@ -24,14 +27,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanloom.llm.common import components, materialize
 
 SAMPLE_ROWS = 20_000
 MAX_CELLS = 1024
-STRIP = 512
+STRIP = 1024
+# Cosines held at once.
+PAIRS = 1 << 21
+# Components of a block, as doubles.
+BLOCK_BYTES = 32 << 20
 
 
 def fit_cells(sample: np.ndarray, cells: int, rounds: int = 8, seed: int = 5) -> np.ndarray:
@@ -55,111 +64,114 @@ def _unit(vectors: pa.Array) -> np.ndarray:
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     rows = flat.reshape(len(vectors), -1)
     # Scaled first, so that very large or small components neither overflow nor vanish.
-    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
-    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+    rows /= np.abs(rows).max(axis=1, keepdims=True)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    return rows
 
 
-def _visits(centres: np.ndarray, threshold: float):
-    """(cell, home, visited, rep, copies, unit vector): a row for each cell a vector visits."""
-    apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
-    # The sine of half a link's angle, and a margin for rounding.
-    reach = np.sqrt((1 - threshold) / 2) * apart + 1e-6
+def _place(centres: np.ndarray, regions: np.ndarray, threshold: float):
+    """(dims, home, region, visits, rep, copies, vector): ``visits`` are regions with the cells visited there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        apart = np.sqrt(np.maximum(2 - 2 * centres @ centres.T, 0))
+        # The sine of half a link's angle, and a margin for rounding.
+        reach = np.sqrt((1 - threshold) / 2) * apart + 1e-6
         for batch in batches:
             size = batch.column("dims").to_numpy()
             for dims in np.unique(size):
                 rows = np.flatnonzero(size == dims)
-                part = batch.take(pa.array(rows))
-                unit = _unit(part.column("vector"))
-                cells, homes, who, visited = [], [], [], []
-                for low in range(0, len(unit), 1024):
-                    some = unit[low : low + 1024]
+                for low in range(0, len(rows), STRIP):
+                    part = batch.take(pa.array(rows[low : low + STRIP]))
                     if dims == centres.shape[1]:
-                        near = some @ centres.T
-                        best = near.argmax(axis=1)
-                        goes = near.max(axis=1, keepdims=True) - near <= reach[best]
+                        near = _unit(part.column("vector")) @ centres.T
+                        home = near.argmax(axis=1)
+                        goes = near.max(axis=1, keepdims=True) - near <= reach[home]
                     else:
-                        best, goes = np.zeros(len(some), np.int64), np.ones((len(some), 1), bool)
+                        home, goes = np.zeros(len(part), np.int64), np.ones((len(part), 1), bool)
                     row, cell = np.nonzero(goes)
-                    cells.append(cell)
-                    homes.append(best[row])
-                    who.append(row + low)
-                    edges = np.searchsorted(row, np.arange(len(some) + 1))
-                    lists = [cell[a:b].astype(np.int32).tobytes() for a, b in zip(edges, edges[1:])]
-                    visited.extend(lists[r] if best[r] == c else b"" for r, c in zip(row, cell))
-                cells, homes, who = map(np.concatenate, (cells, homes, who))
-                raw = unit.tobytes()
-                wide = unit.shape[1] * 8
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(who), dims), pa.int32()),
-                        pa.array(cells, pa.int32()),
-                        pa.array(homes, pa.int32()),
-                        pa.array(visited, pa.binary()),
-                        part.column("rep").take(pa.array(who)).cast(pa.int64()),
-                        part.column("copies").take(pa.array(who)).cast(pa.int64()),
-                        pa.array([raw[i * wide : (i + 1) * wide] for i in who], pa.binary()),
-                    ],
-                    names=["dims", "cell", "home", "visits", "rep", "copies", "unit"],
-                )
+                    # Cells are numbered by region, so those of one region follow each other.
+                    first = np.flatnonzero(np.diff(row, prepend=-1) | np.diff(regions[cell], prepend=-1))
+                    cells = pa.ListArray.from_arrays(
+                        np.append(first, len(cell)).astype(np.int32), pa.array(cell, pa.int32())
+                    )
+                    stays = pa.StructArray.from_arrays(
+                        [pa.array(regions[cell[first]], pa.int32()), cells], ["region", "cells"]
+                    )
+                    begins = np.searchsorted(row[first], np.arange(len(part) + 1)).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column("dims"),
+                            pa.array(home, pa.int32()),
+                            pa.array(regions[home], pa.int32()),
+                            pa.ListArray.from_arrays(begins, stays),
+                            part.column("rep"),
+                            part.column("copies"),
+                            part.column("vector"),
+                        ],
+                        names=["dims", "home", "region", "visits", "rep", "copies", "vector"],
+                    )
 
     return run
 
 
-def _compare(threshold: float):
+def _lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and values of a column of lists."""
+    lists = column.combine_chunks()
+    return pc.list_parent_indices(lists).to_numpy(), lists.flatten().to_numpy()
+
+
+def _compare(cells: int, threshold: float):
     """Counts and spanning links of one block of visitors against one block of residents."""
 
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        cell = int(group["cell"].iloc[0])
-        resident = group[group["side"] == 0].reset_index(drop=True)
-        visitor = group[group["side"] == 1].reset_index(drop=True)
-        none = pd.DataFrame({"node": [], "n": [], "label": []}, dtype="int64")
-        if resident.empty or visitor.empty:
-            return none
-        a = np.frombuffer(b"".join(visitor["unit"]), dtype=np.float64).reshape(len(visitor), -1)
-        b = np.frombuffer(b"".join(resident["unit"]), dtype=np.float64).reshape(len(resident), -1)
+    def run(group: pa.Table) -> pa.Table:
+        resident = group.filter(pc.equal(group["side"], 0)).sort_by("home")
+        visitor = group.filter(pc.equal(group["side"], 1))
+        if not len(resident) or not len(visitor):
+            return pa.table({c: pa.array([], pa.int64()) for c in ("node", "n", "label")})
+        a, b = (_unit(side["vector"].combine_chunks()) for side in (visitor, resident))
         ids_a, ids_b = visitor["rep"].to_numpy(), resident["rep"].to_numpy()
         copies_a, copies_b = visitor["copies"].to_numpy(), resident["copies"].to_numpy()
-        homes = visitor["home"].to_numpy()
-        # A resident that visits the other's home finds the pair there by itself.
-        visits = [frozenset(np.frombuffer(v, dtype=np.int32).tolist()) for v in resident["visits"]]
-        sees = {int(h): np.array([int(h) in v for v in visits]) for h in np.unique(homes) if h != cell}
-        sees[cell] = np.ones(len(b), dtype=bool)
-        found = [none]
-        # No more pairs are held at once than a strip of visitors has.
-        for low in range(0, len(a), STRIP):
-            row, col = np.nonzero(a[low : low + STRIP] @ b.T >= threshold)
-            other = ids_a[row + low] != ids_b[col]
-            row, col = row[other] + low, col[other]
-            if not len(row):
-                continue
-            touched_a, at_a = np.unique(row, return_inverse=True)
-            touched_b, at_b = np.unique(col, return_inverse=True)
-            n_a = np.bincount(at_a, weights=copies_b[col])
-            alone = np.zeros(len(row), dtype=bool)
-            for home in np.unique(homes[touched_a]):
-                mine = homes[row] == home
-                alone[mine] = ~sees[int(home)][col[mine]]
-            n_b = np.bincount(at_b[alone], weights=copies_a[row[alone]], minlength=len(touched_b))
-            # Labels spread over the strip's links until they stand still.
-            label_a, label_b = ids_a[touched_a].copy(), ids_b[touched_b].copy()
-            while True:
-                before = (label_a.copy(), label_b.copy())
-                np.minimum.at(label_a, at_a, label_b[at_b])
-                np.minimum.at(label_b, at_b, label_a[at_a])
-                if (label_a == before[0]).all() and (label_b == before[1]).all():
-                    break
-            found.append(
-                pd.DataFrame(
-                    {
-                        "node": np.r_[ids_a[touched_a], ids_b[touched_b]],
-                        "n": np.r_[n_a, n_b].astype(np.int64),
-                        "label": np.r_[label_a, label_b],
-                    }
-                )
-            )
-        return pd.concat(found)
+        home_a, home_b = visitor["home"].to_numpy(), resident["home"].to_numpy()
+        guest, visited = _lists(visitor["cells"])
+        order = np.argsort(visited, kind="stable")
+        guest, visited = guest[order], visited[order]
+        host, seen = _lists(resident["cells"])
+        n_a, n_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        label_a, label_b = ids_a.copy(), ids_b.copy()
+        links = []
+        for cell in np.unique(home_b):
+            first, last = np.searchsorted(home_b, [cell, cell + 1])
+            guests = guest[slice(*np.searchsorted(visited, [cell, cell + 1]))]
+            # A resident that visits the other's home finds the pair there by itself.
+            sees = np.zeros((last - first, cells), dtype=bool)
+            mine = slice(*np.searchsorted(host, [first, last]))
+            sees[host[mine] - first, seen[mine]] = True
+            strip = max(1, PAIRS // (last - first))
+            for low in range(0, len(guests), strip):
+                some = guests[low : low + strip]
+                row, col = np.nonzero(a[some] @ b[first:last].T >= threshold)
+                row, col = some[row], first + col
+                other = ids_a[row] != ids_b[col]
+                row, col = row[other], col[other]
+                if not len(row):
+                    continue
+                np.add.at(n_a, row, copies_b[col])
+                alone = ~sees[col - first, home_a[row]]
+                np.add.at(n_b, col[alone], copies_a[row[alone]])
+                # Labels spread over the strip's links until they stand still.
+                before = np.r_[label_a, label_b]
+                while True:
+                    least = np.minimum(label_a[row], label_b[col])
+                    if (least == label_a[row]).all() and (least == label_b[col]).all():
+                        break
+                    np.minimum.at(label_a, row, least)
+                    np.minimum.at(label_b, col, least)
+                # A label that gives way is linked to the one that takes its place.
+                moved = pd.DataFrame({"node": before, "n": 0, "label": np.r_[label_a, label_b]})
+                links.append(moved[moved["node"] != moved["label"]].drop_duplicates())
+        ids, n = np.r_[ids_a, ids_b], np.r_[n_a, n_b]
+        counts = pd.DataFrame({"node": ids, "n": n, "label": ids})[n > 0]
+        return pa.Table.from_pandas(pd.concat([counts, *links]), preserve_index=False)
 
     return run
 
@@ -175,8 +187,14 @@ def near_vectors(
     sample_rows: int = SAMPLE_ROWS,
     block_rows: int = 4096,
 ) -> DataFrame:
-    """(vec_id, n_links, component_id, kept): one row for each row of ``vectors``."""
+    """(vec_id, n_links, component_id, kept): one row for each row of ``vectors``.
+
+    A block holds an eighth of the vectors, but ``block_rows`` at least and ``BLOCK_BYTES`` at most.
+    """
     raw = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
+    # Vectors given as floats travel as floats.
+    given = vectors.select(vector).schema[0].dataType
+    travels = given if given == T.ArrayType(T.FloatType()) else T.ArrayType(T.DoubleType())
     bad = F.exists(
         "vector", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))
     )
@@ -190,7 +208,7 @@ def near_vectors(
     classes = materialize(
         named.groupBy("digest").agg(
             F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("dims").alias("dims"),
-            F.first("vector").alias("vector"),
+            F.first("vector").cast(travels).alias("vector"),
         )
         # Vectors that share a vec_id stay apart.
         .withColumn("rep", F.monotonically_increasing_id()),
@@ -208,45 +226,48 @@ def near_vectors(
     )
     cells = int(min(max_cells, max(1, total // cell_rows)))
     centres = fit_cells(_unit(sample.column(0).combine_chunks()), cells) if total else np.zeros((1, 1))
-    visits = materialize(
+    share = max(block_rows, -(-total // 8))
+    hubs = fit_cells(centres, max(1, min(cells, total // min(share, max(1, BLOCK_BYTES // (8 * dims))))))
+    regions = (centres @ hubs.T).argmax(axis=1)
+    order = np.argsort(regions, kind="stable")
+    centres, regions = centres[order], regions[order]
+    placed = materialize(
         classes.select("rep", "copies", "dims", "vector").mapInArrow(
-            _visits(centres, threshold),
-            "dims int, cell int, home int, visits binary, rep long, copies long, unit binary",
+            _place(centres, regions, threshold),
+            "dims int, home int, region int, visits array<struct<region int, cells array<int>>>, "
+            f"rep long, copies long, vector {classes.schema['vector'].dataType.simpleString()}",
         ),
-        "visits",
+        "placed",
     )
-    counts = visits.groupBy("dims", "cell").agg(
-        F.count(F.when(F.col("home") == F.col("cell"), 1)).alias("nr"), F.count("*").alias("nv")
-    )
-    counts = counts.select(
-        "dims", "cell",
-        F.ceil(F.col("nr") / block_rows).cast("int").alias("br"),
-        F.ceil(F.col("nv") / block_rows).cast("int").alias("bv"),
-    ).where("br > 0")
-    # At most max_cells rows, and one for each odd length.
-    held = visits.join(F.broadcast(counts), ["dims", "cell"])
+    every = ["dims", "region", "side", "home", "cells", "rep", "copies", "vector"]
+    residents = placed.withColumn("side", F.lit(0)).withColumn("cells", F.flatten("visits.cells")).select(every)
+    visitors = placed.drop("region").withColumn("side", F.lit(1)).select("*", F.inline("visits")).select(every)
+    held = F.greatest(F.lit(1), F.least(F.lit(share), F.lit(BLOCK_BYTES) / (8 * F.col("dims"))))
+    # At most max_cells regions, and one for each odd length.
+    parts = (
+        residents.unionAll(visitors).groupBy("dims", "region")
+        .agg(F.count_if(F.col("side") == 0).alias("nr"), F.count_if(F.col("side") == 1).alias("nv"))
+        .where("nr > 0")
+        .select("dims", "region", *[
+            F.greatest(F.lit(1), F.round(F.col(n) / held)).cast("int").alias(b) for n, b in (("nr", "br"), ("nv", "bv"))
+        ])
+    )
 
-    def block(side: int) -> DataFrame:
-        mine, theirs = ("br", "bv") if side == 0 else ("bv", "br")
-        at = F.pmod(F.xxhash64("rep"), F.col(mine)).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col(theirs) - 1))
-        rows = held.where("home = cell") if side == 0 else held
-        return rows.withColumn("at", at).withColumn("other", other).select(
-            "dims", "cell",
-            (F.col("at") if side == 0 else F.col("other")).alias("r"),
-            (F.col("other") if side == 0 else F.col("at")).alias("v"),
-            F.lit(side).alias("side"), "home", "visits", "rep", "copies", "unit",
-        )
+    def block(rows: DataFrame, own: str, others: str) -> DataFrame:
+        cut = rows.join(F.broadcast(parts), ["dims", "region"])
+        cut = cut.withColumn(own, F.pmod(F.xxhash64("rep"), F.col(f"b{own}")).cast("int"))
+        cut = cut.withColumn(others, F.explode(F.sequence(F.lit(0), F.col(f"b{others}") - 1)))
+        return cut.select(*every, "r", "v")
 
-    compared = block(0).unionAll(block(1)).groupBy("dims", "cell", "r", "v")
-    found = materialize(compared.applyInPandas(_compare(threshold), "node long, n long, label long"), "found")
+    compared = block(residents, "r", "v").unionAll(block(visitors, "v", "r")).groupBy("dims", "region", "r", "v")
+    found = materialize(compared.applyInArrow(_compare(cells, threshold), "node long, n long, label long"), "found")
     links = found.groupBy("node").agg(F.sum("n").alias("n"))
-    parts = components(found.select(F.col("node").alias("src"), F.col("label").alias("dst")))
+    joined = components(found.select(F.col("node").alias("src"), F.col("label").alias("dst")))
     per_class = (
         classes.select("digest", "rep", "copies", "least")
         .join(links, F.col("rep") == F.col("node"), "left")
         .drop("node")
-        .join(parts, F.col("rep") == F.col("node"), "left")
+        .join(joined, F.col("rep") == F.col("node"), "left")
         .select(
             "digest",
             (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"),

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,6 +119,35 @@ def test_no_link_is_lost_between_hundreds_of_cells(spark, dims):
     assert (found.n_links.to_numpy() == n).all() and (found.component_id.to_numpy() == label).all()
 
 
+def test_a_vector_is_not_written_for_each_cell_it_visits(spark, monkeypatch):
+    x = np.random.default_rng(3).normal(size=(1200, 64))
+    frame = vectors(spark, [(i, [float(v) for v in r], 0, "x") for i, r in enumerate(x)], "array<double>").repartition(4)
+    written, write = {}, neighbours.materialize
+
+    def record(df, name):
+        written[name] = (rows := write(df, name)).count()
+        return rows
+
+    monkeypatch.setattr(neighbours, "materialize", record)
+    # 150 cells, of which a vector visits a third.
+    neighbours.near_vectors(frame, cell_rows=8, block_rows=256).collect()
+    assert max(written.values()) == 1200
+
+
+def test_links_of_a_dense_block_are_folded_over_its_strips(monkeypatch):
+    n = 400
+    x = np.random.default_rng(4).normal(size=(n, 8)) * 0.01 + 1
+    side = {"rep": range(n), "copies": [1] * n, "home": [0] * n, "cells": [[0]] * n, "vector": x.tolist()}
+    group = pa.concat_tables(pa.table({"side": [s] * n, **side}) for s in (0, 1))
+    monkeypatch.setattr(neighbours, "PAIRS", 4 * n)  # four visitors a strip
+    found = neighbours._compare(1, 0.95)(group).to_pandas()
+    assert (found.groupby("node").n.sum() == n - 1).all() and found.node.nunique() == n
+    # Counts come once, and each label gives way to the least one a few times at most.
+    assert len(found) < 6 * n
+    links = found[found.node != found.label]
+    assert set(links.node) == set(range(1, n)) and (links.label < links.node).all()
+
+
 def test_vectors_of_one_id_stay_apart(spark):
     rows = [
         (1, [1.0, 0.0]), (1, [0.0, 1.0]), (4, [1.0, 0.01]), (4, [1.0, 0.0]), (6, [-1.0, 0.0]), (6, [-1.0, 0.0]),
