@@ -29,6 +29,9 @@ LAST = datetime(2024, 2, 1)
 PERIOD = (FIRST, LAST)
 HALFWAY = datetime(2024, 1, 16)
 
+# Message files come in multiples of 8, with so many spans in a file at most.
+FILES, SPANS_A_FILE = 8, 100_000
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -75,10 +78,17 @@ class Tables:
     def health(self) -> DataFrame:
         return E.health_from_events(self.events)
 
+    @cached_property
+    def message_parts(self) -> int:
+        """How many files the messages make: one is packed and unpacked by one task, so they do not grow with the log."""
+        return FILES * max(1, -(-self.events.count() // (FILES * SPANS_A_FILE)))
+
     @cached_property
     def messages(self) -> DataFrame:
         """One whole message per trace, and a damaged copy beside every thirteenth."""
-        messages = E.messages_from_spans(self.spans, "trace_id")
+        # Traces are gathered in the parts they are written in; the text is not shuffled again.
+        dealt = self.spans.repartition(self.message_parts, "trace_id")
+        messages = E.messages_from_spans(dealt, "trace_id")
         copied = F.substring("trace_id", 2, 20).cast("bigint") % 13 == 0
         whole = F.struct("value", "topic", "partition", "offset")
         damaged = F.struct(
@@ -105,10 +115,14 @@ class Tables:
     def message_files(self) -> str:
         def write(path: str) -> None:
             # As text the messages take ten times what they take packed.
-            self.messages.repartition(8, "offset").write.option("compression", "gzip").json(path)
+            self.messages.write.option("compression", "gzip").json(path)
 
         return self._once("messages", write)
 
+    def message_stream(self, batches: int) -> DataFrame:
+        """The message files as a stream of so many batches, a divisor of ``FILES``."""
+        return read_message_files(self.spark, self.message_files, max_files=self.message_parts // batches)
+
     @property
     def store(self) -> TableStore:
         """The hot tables, filled by the streaming chain from the message files."""
@@ -116,7 +130,7 @@ class Tables:
         def write(path: str) -> None:
             store = TableStore(self.spark, path)
             store.publish_allowlist(self.allowlist, self.registry)
-            stream = read_message_files(self.spark, self.message_files, max_files=4)
+            stream = self.message_stream(batches=2)
             checkpoint = scratch_dir(self.spark, "ingest-checkpoint")
             start_ingest(
                 stream, store, self.registry, checkpoint, {"availableNow": True}

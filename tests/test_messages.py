@@ -3,7 +3,9 @@ import itertools
 
 from pyspark.sql import functions as F
 
+import registered.queries
 from registered.queries import queries
+from registered.tables import Tables
 from spanloom.operators import decode
 from spanloom.sources.events import messages_from_spans
 from spanloom.sources.messages import load_messages, read_message_files
@@ -62,3 +64,32 @@ def test_a_replayed_batch_is_decoded_once(spark, sf_dir, monkeypatch):
     row = queries()["s02_replay"](spark, sf_dir).collect()
     assert len(calls) == 1
     assert [(r.error, r.ingested_at.minute) for r in row] == [("malformed JSON", 1)] and row[0].messages > 0
+
+
+def test_message_files_are_bounded_and_batches_stay(spark, sf_dir, monkeypatch):
+    monkeypatch.setattr("registered.tables._written", {})
+    monkeypatch.setattr("registered.tables.SPANS_A_FILE", 50)
+    small = Tables(spark, sf_dir)
+    parts = small.message_parts
+    assert parts > 8 and parts % 8 == 0 and parts * 50 >= small.events.count()
+    assert len(glob.glob(f"{small.message_files}/*.json.gz")) == parts
+    assert [r.batches for r in queries()["j10_bounded_batch"](spark, sf_dir).collect()] == [4]
+
+
+def test_the_text_of_messages_is_not_shuffled(tables):
+    shuffled = tables.messages._jdf.queryExecution().executedPlan().toString()
+    assert shuffled.count("Exchange hashpartitioning(trace_id") == shuffled.count("Exchange") == 1
+
+
+def test_windowed_states_neither_decode_again_nor_keep_sketches(spark, sf_dir, monkeypatch):
+    seen, run = [], registered.queries._run_stream
+
+    def look(t, stream, name):
+        seen.append((stream.columns, stream._jdf.queryExecution().analyzed().toString()))
+        return run(t, stream, name)
+
+    monkeypatch.setattr("registered.queries._run_stream", look)
+    found = queries()["j04_windowed_states"](spark, sf_dir)
+    assert sum(r.spans for r in found.collect()) == spark.read.parquet(f"{sf_dir}/events.parquet").count()
+    [(columns, analyzed)] = seen
+    assert not {"traces", "ttft", "duration"} & set(columns) and "from_json" not in analyzed
