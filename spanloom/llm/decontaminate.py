@@ -5,7 +5,8 @@ An item's windows are its runs of ``window`` consecutive words, or all its words
 fewer. The distinct windows, keyed by hash, are broadcast while their number is within
 ``broadcast_windows`` and their words within ``BROADCAST_BYTES``; beyond that the join is
 shuffled, and a position travels with the words of its own window alone. Every position of
-every text is probed in one pass, and a hit counts only if its words equal the window's.
+every text is probed in one pass: by the hash of its first words, where the windows are broadcast,
+then by that of the whole window. A hit counts only if its words equal the window's.
 
 Defined results: null or empty texts have no words and no hits; items without words have no
 windows; equal windows of several items count for each of them; results are per doc_id:
@@ -20,8 +21,10 @@ from pyspark.sql import functions as F
 
 from spanloom.llm.common import ascii_lower, materialize, split_words
 
-# Everything in ASCII but digits and letters; capitals are gone by then.
-SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Everything in ASCII but digits and letters.
+SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Words of a window that tell nearly all other places of a text from it.
+HEAD = 3
 BROADCAST_BYTES = 128 << 20
 
 
@@ -49,6 +52,11 @@ def small_enough(windows: DataFrame, rows: int) -> bool:
     return held["n"] <= rows and held["b"] <= BROADCAST_BYTES
 
 
+def _head(words: Column, at: Column, n: Column) -> Column:
+    """Hash of the first words of the window of ``n`` words at ``at``; what it does not have is null and skipped."""
+    return F.xxhash64(*[F.when(n > i, F.get(words, at + (i - 1))) for i in range(HEAD)])
+
+
 def window_hits(docs: DataFrame, windows: DataFrame, *, text: str, doc_id: str, small: bool) -> DataFrame:
     """(doc_id, row, at, n, words): every place of a text where a window begins.
 
@@ -58,23 +66,21 @@ def window_hits(docs: DataFrame, windows: DataFrame, *, text: str, doc_id: str,
     if not lengths:
         lengths = [1]
 
-    def stretches(n: int) -> Column:
-        last = F.size("__w") - n + 1
-        at = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(
-            at, lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.slice("__w", i, F.lit(n)).alias("words"))
-        )
-
-    places = stretches(lengths[0]) if len(lengths) == 1 else F.concat(*map(stretches, lengths))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         item_words(F.col(text)).alias("__w"),
         F.monotonically_increasing_id().alias("row"),
     )
+    cut = rows.withColumn("n", F.explode(F.lit(lengths))).where(F.size("__w") >= F.col("n"))
+    starts = F.sequence(F.lit(1), F.size("__w") - F.col("n") + 1)
+    places = cut.select("doc_id", "row", "n", "__w", F.explode(starts).alias("at"))
+    if small:
+        heads = windows.select(_head(F.col("words"), F.lit(1), F.col("n")).alias("__head")).distinct()
+        here = _head(F.col("__w"), F.col("at"), F.col("n"))
+        places = places.join(F.broadcast(heads), here == F.col("__head"), "left_semi")
     # A place takes its own words along: the whole text at each of its places would be its square.
-    probed = rows.select("doc_id", "row", F.explode(places).alias("__p")).select(
-        "doc_id", "row", "__p.at", "__p.n", "__p.words", F.xxhash64("__p.words").alias("h")
-    )
+    words = F.slice("__w", F.col("at"), F.col("n")).alias("words")
+    probed = places.select("doc_id", "row", "at", "n", words).withColumn("h", F.xxhash64("words"))
     keys = windows.select("h", F.col("n").alias("__n"), F.col("words").alias("__words"))
     if small:
         keys = F.broadcast(keys)
@@ -112,7 +118,8 @@ def find_contamination(
         .agg(F.array_sort(F.collect_set("item")).alias("items"))
     )
     sizes = (
-        docs.select(F.col(doc_id).alias("doc_id"), F.size(item_words(F.col(text))).cast("long").alias("n"))
+        # Counted as they stand: capitals do not part words.
+        docs.select(F.col(doc_id).alias("doc_id"), F.size(split_words(F.col(text), SEPARATORS)).cast("long").alias("n"))
         .groupBy("doc_id")
         .agg(F.sum("n").alias("n_words"))
         .withColumn("__d", key)

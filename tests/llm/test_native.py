@@ -1,4 +1,5 @@
 import collections
+import re
 
 import duckdb
 import pytest
@@ -45,6 +46,30 @@ def test_rows_of_one_id_are_judged_one_by_one(spark, limit):
         }
 
 
+@pytest.mark.parametrize("limit", [1_000_000, 0])
+def test_windows_shorter_than_a_head_are_found_to_the_last_word(spark, limit):
+    items = [(1, "a"), (2, "b c"), (3, "D e F"), (4, "d e f g"), (5, "d e x"), (6, "h i j k l m n o p q r s")]
+    texts = [
+        "z A", "a", "z b c", "b z c", "z d e f", "z d e f g", "d e", "z h i j", "z h i j k l m n o p q", "i j k l m n o p q r, s!",
+        "b", "z", "d e f g d e x b c a",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.find_contamination(docs, bench, broadcast_windows=limit).collect()
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found} == contamination(list(enumerate(texts)), items)
+
+
+def test_places_are_sifted_before_their_windows_are_cut(spark, documents, sf_dir):
+    windows = decontaminate.benchmark_windows(spark.read.parquet(f"{sf_dir}/benchmark.parquet"), 10, "item_id", "text")
+    hits = decontaminate.window_hits(documents, windows, text="text", doc_id="doc_id", small=True)
+    assert hits.collect()
+    plan = hits._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    cut, sifted, made = (plan.index(step) for step in ("slice(__w", "LeftSemi", "Generate explode(sequence"))
+    # From the last step upwards. All of it runs in generated code, which does not copy the text for each place.
+    assert cut < sifted < made and "transform(" not in plan
+    assert re.search(r"\*\(\d+\) Generate explode\(sequence", plan)
+
+
 def test_contamination_of_nothing(spark, edge, nothing):
     bench = spark.createDataFrame([(1, "some words here")], "item_id long, text string")
     assert decontaminate.find_contamination(nothing, bench).count() == 0
